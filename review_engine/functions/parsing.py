@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,16 +20,27 @@ FALSE_TEXTS = ("false", "0", "no", "n")
 RELEASE_PREFIX = r"(?i)^(?:Opened|Streaming)\s*"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value computed once, however often the body uses it.
+
+    Without this the input expression is repeated at every use, and a chain of
+    parsers outgrows the size of a generated method.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def parse_timestamp(c: Column) -> Column:
     """ISO text to a UTC instant; text without an offset is UTC."""
-    text = to_null(c)
-    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}"), F.try_to_timestamp(text))
-    return F.coalesce(iso, parse_date(c).cast("timestamp"))
+    iso = lambda t: F.when(t.rlike(r"^\d{4}-\d{1,2}"), F.try_to_timestamp(t))
+    return bind(to_null(c), lambda t: F.coalesce(iso(t), _date_of(t).cast("timestamp")))
 
 
 def parse_date(c: Column) -> Column:
     """Calendar date from the usual spellings, month first where ambiguous."""
-    text = to_null(c)
+    return bind(to_null(c), _date_of)
+
+
+def _date_of(text: Column) -> Column:
     spoken = F.regexp_replace(F.regexp_replace(text, r"[,.]", " "), r"\s+", " ")
     return (
         F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text))
@@ -38,10 +51,16 @@ def parse_date(c: Column) -> Column:
         )
         .when(text.rlike(r"^\d{4}(-\d{1,2}){0,2}$"), F.to_date(F.try_to_timestamp(text)))
         .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "M/d/yyyy"))
-        .when(spoken.rlike(r"^[A-Za-z]{3} \d{1,2} \d{4}$"), F.try_to_date(spoken, "MMM d yyyy"))
-        .when(spoken.rlike(r"^[A-Za-z]{4,9} \d{1,2} \d{4}$"), F.try_to_date(spoken, "MMMM d yyyy"))
-        .when(spoken.rlike(r"^[A-Za-z]{3} \d{4}$"), F.try_to_date(spoken, "MMM yyyy"))
-        .when(spoken.rlike(r"^[A-Za-z]{4,9} \d{4}$"), F.try_to_date(spoken, "MMMM yyyy"))
+        .when(text.rlike(r"^[A-Za-z]{3}"), bind(spoken, _spoken_date))
+    )
+
+
+def _spoken_date(text: Column) -> Column:
+    return (
+        F.when(text.rlike(r"^[A-Za-z]{3} \d{1,2} \d{4}$"), F.try_to_date(text, "MMM d yyyy"))
+        .when(text.rlike(r"^[A-Za-z]{4,9} \d{1,2} \d{4}$"), F.try_to_date(text, "MMMM d yyyy"))
+        .when(text.rlike(r"^[A-Za-z]{3} \d{4}$"), F.try_to_date(text, "MMM yyyy"))
+        .when(text.rlike(r"^[A-Za-z]{4,9} \d{4}$"), F.try_to_date(text, "MMMM yyyy"))
     )
 
 

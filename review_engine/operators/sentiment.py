@@ -41,7 +41,8 @@ def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFram
     )
     scored = long.join(rated, "word", "left").join(scales, "before", "left")
     value = F.avg(F.col("polarity") * F.coalesce("scale", F.lit(1.0)))
-    mean = F.round(F.coalesce(value, F.lit(0.0)), 6)
+    # adding 0 turns a negative zero into zero
+    mean = F.round(F.coalesce(value, F.lit(0.0)), 6) + F.lit(0.0)
     return scored.groupBy(key).agg(mean.alias("polarity")).withColumn("sentiment_label", label_of(F.col("polarity")))
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Set on every session an operator runs in; all are session-scoped.
 SESSION_SETTINGS = {
@@ -49,3 +52,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="review_engine_")
     return f"{base.rstrip('/')}/review_engine/{label}-{uuid.uuid4().hex}"
+
+
+def small_table(spark: SparkSession, schema: T.StructType | str, rows: list[tuple]) -> DataFrame:
+    """A constant table the planner knows the size of, so it can broadcast it on its own.
+
+    (``createDataFrame`` on a list hides the size behind an RDD.)
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = pa.table({f.name: [r[i] for r in rows] for i, f in enumerate(schema.fields)}, to_arrow_schema(schema))
+    return spark.createDataFrame(arrow, schema)

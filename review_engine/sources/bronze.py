@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from review_engine.schemas import FAMILY_BY_SOURCE_TYPE, IGNORED_FAMILY, SOURCE_TYPE_BY_PREFIX
+from review_engine.session import small_table
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.json", recursive: bool = False) -> DataFrame:
@@ -70,7 +71,7 @@ def route(files: DataFrame, families: DataFrame, type_column: str = "source_type
 
 
 def family_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FAMILY_BY_SOURCE_TYPE.items()), "source_type string, family string")
+    return small_table(spark, "source_type string, family string", list(FAMILY_BY_SOURCE_TYPE.items()))
 
 
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
