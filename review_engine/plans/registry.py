@@ -15,7 +15,7 @@ Run = Callable[[SparkSession, str], DataFrame]
 _RUNS: dict[str, Run] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ("shapes",)
+MODULES = ("scans","checks","pages")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
