@@ -74,10 +74,16 @@ def ingest_idempotent(stream: DataFrame, output: str, checkpoint: str) -> Stream
     )
 
 
-def replace_writer(output: str) -> Callable[[DataFrame, int], None]:
-    """Writer for complete results, which are small: each batch replaces the last."""
+def publish_complete(counted: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+    """Running totals, which are small: the whole result replaces the last one."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(output)
 
-    return write
+    return (
+        counted.writeStream.foreachBatch(write)
+        .outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
