@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from review_engine.functions.text import SPACE_CLASS, to_null
+from review_engine.functions.text import collapse_space, has_text
 
 # The reference that may follow an ampersand.
 REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
@@ -80,16 +80,12 @@ def _decode_piece(piece: Column) -> Column:
 
 def html_unescape(c: Column) -> Column:
     """Decode named, decimal and hexadecimal references once, left to right."""
-    pieces = F.split(c, "&")
-    decoded = F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_piece), ""),
-    )
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    # the piece before the first ampersand is kept as it is
+    pieces = F.transform(F.split(c, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(_decode_piece(piece)))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
 
 
 def clean_review_text(c: Column) -> Column:
-    """Decoded, lower-case text with single spaces and single full stops."""
-    text = F.lower(html_unescape(to_null(c)))
-    text = F.btrim(F.regexp_replace(text, SPACE_CLASS + "+", " "), F.lit(" "))
-    return F.regexp_replace(text, r"\.{2,}", ".")
+    """Decoded, lower-case text with single spaces and single full stops; blank becomes NULL."""
+    text = collapse_space(F.lower(html_unescape(c)))
+    return F.when(has_text(c), F.regexp_replace(text, r"\.{2,}", "."))

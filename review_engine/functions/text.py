@@ -12,6 +12,9 @@ SPACE_CHARS = (
     + "".join(chr(point) for point in range(0x2000, 0x200B))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
+# What collapsing has to touch: runs of whitespace, and single ones that are not a space.
+SPACE_TO_COLLAPSE = SPACE_CLASS + r"{2,}|[\t-\r\x1c-\x1f\x85\p{Z}&&[^ ]]"
+NOT_SPACE = r"[^\t-\r\x1c-\x20\x85\p{Z}]"
 WORD_CLASS = r"[\p{L}\p{N}_]"
 
 # Texts that older writers left behind in place of NULL.
@@ -41,9 +44,18 @@ def to_null(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
+def collapse_space(c: Column) -> Column:
+    """Runs of whitespace become one space; none at the ends."""
+    return F.trim(F.regexp_replace(c, SPACE_TO_COLLAPSE, " "))
+
+
 def normalize_space(c: Column) -> Column:
-    """Runs of whitespace become one space; blank becomes NULL."""
-    return F.nullif(F.btrim(F.regexp_replace(c, SPACE_CLASS + "+", " "), F.lit(" ")), F.lit(""))
+    """Collapsed text; blank becomes NULL."""
+    return F.nullif(collapse_space(c), F.lit(""))
+
+
+def has_text(c: Column) -> Column:
+    return c.rlike(NOT_SPACE)
 
 
 def canonical_title(c: Column) -> Column:

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from review_engine.functions.markup import html_unescape
 from review_engine.functions.text import (
     MONTHS,
-    SPACE_CLASS,
     clean_title,
     critics_and_audience_percent,
     date_text,
+    normalize_space,
 )
 from review_engine.operators.dedup import first_per_key
 
@@ -44,8 +44,7 @@ def find(html: Column, pattern: str) -> Column:
 def plain_text(html: Column, separator: str = "") -> Column:
     """Text of a fragment: tags out, references decoded, blank is NULL."""
     bare = html_unescape(F.regexp_replace(html, "(?s)<!--.*?-->|<[^>]*>", separator))
-    spaced = F.btrim(F.regexp_replace(bare, SPACE_CLASS + "+", " "), F.lit(" "))
-    return F.nullif(spaced, F.lit(""))
+    return normalize_space(bare)
 
 
 @dataclass(frozen=True)

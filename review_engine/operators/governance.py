@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,12 +34,12 @@ DEFINITIONS = (
 )
 
 
+@dataclass(frozen=True)
 class Run:
     """Stamp and time that every fact of a run carries."""
 
-    def __init__(self, run_stamp: str, computed_at: str):
-        self.run_stamp = run_stamp
-        self.computed_at = computed_at
+    run_stamp: str
+    computed_at: str
 
 
 def _entry(kpi: str, metric: Column | str, column: Column | str | None, value: Column, unit: str) -> Column:
@@ -139,9 +140,19 @@ def _frequency(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
     )
 
 
+def _definitions(spec: FamilySpec, m: _Measures) -> None:
+    """The fixed rows of a family that has rows."""
+    for suffix, title in DEFINITIONS:
+        value = F.when(F.col("_rows") > 0, 1.0)
+        m.entries.append(_entry("definition", f"governance_definition_{suffix}", title, value, "definition"))
+
+
+PROFILE_PARTS = ("null_rate", "volume", "text", "compliance", "frequency", "definition")
+
+
 def profile(df: DataFrame, spec: FamilySpec, run: Run, with_mean: bool = False,
-            parts: tuple[str, ...] = ("null_rate", "volume", "text", "compliance", "frequency")) -> DataFrame:
-    """Null rates, volume, text lengths, compliance and frequency from one scan."""
+            parts: tuple[str, ...] = PROFILE_PARTS) -> DataFrame:
+    """Null rates, volume, text lengths, compliance, frequency and definitions from one scan."""
     m = _Measures()
     steps = {
         "null_rate": lambda: _null_rates(df, spec, m),
@@ -149,6 +160,7 @@ def profile(df: DataFrame, spec: FamilySpec, run: Run, with_mean: bool = False,
         "text": lambda: _text_lengths(df, spec, m, with_mean),
         "compliance": lambda: _compliance(df, spec, m),
         "frequency": lambda: _frequency(df, spec, m),
+        "definition": lambda: _definitions(spec, m),
     }
     for part in parts:
         steps[part]()
@@ -215,16 +227,6 @@ def outlier_rate(df: DataFrame, spec: FamilySpec, run: Run, approx: bool = False
     return _facts(numbers.agg(*m.aggregates), entries, spec, run) if entries else None
 
 
-def definitions(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame:
-    """The fixed definition rows of a family that has rows."""
-    present = df.agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
-    entries = [
-        _entry("definition", f"governance_definition_{suffix}", title, F.lit(1.0), "definition")
-        for suffix, title in DEFINITIONS
-    ]
-    return _facts(present, entries, spec, run)
-
-
 # --- reports -----------------------------------------------------------------
 
 
@@ -234,7 +236,6 @@ def family_facts(df: DataFrame, spec: FamilySpec, run: Run, approx: bool = False
         duplicate_rate(df, spec, run),
         volume_by_source(df, spec, run),
         outlier_rate(df, spec, run, approx),
-        definitions(df, spec, run),
     ]
     return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from review_engine.functions.parsing import double_of
-from review_engine.functions.text import keyword_letters, strip
+from review_engine.functions.text import has_text, keyword_letters
 
 # Keywords that carry no meaning in a keyword ranking.
 BANNED_KEYWORDS = (
@@ -30,7 +30,7 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
 
 def with_text(df: DataFrame, column: str) -> DataFrame:
     """Rows whose text is neither NULL nor blank."""
-    return df.filter(strip(F.col(column)) != "")
+    return df.filter(has_text(F.col(column)))
 
 
 def where_equal(df: DataFrame, column: str, value: str) -> DataFrame:

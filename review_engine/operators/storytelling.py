@@ -30,26 +30,24 @@ DEFINITIONS = (
 )
 
 
-def _fact(kind: str, metric: Column, dimension: str, dimension_value: Column, value: Column, unit: str) -> Column:
-    return F.struct(
+def _fact(kind: str, metric: Column, dimension: str, dimension_value: Column, value: Column, unit: str) -> list[Column]:
+    """The columns of a fact that differ within a family."""
+    return [
         F.lit(kind).alias("aggregation_type"),
         metric.alias("metric_name"),
         F.lit(dimension).alias("dimension"),
         dimension_value.cast("string").alias("dimension_value"),
         value.cast("double").alias("value"),
         F.lit(unit).alias("unit"),
-    )
+    ]
 
 
-def _facts(df: DataFrame, fact: Column, family: str, run: Run) -> DataFrame:
-    return df.select(fact.alias("f")).select(
-        "f.aggregation_type",
-        "f.metric_name",
-        "f.dimension",
-        "f.dimension_value",
+def _facts(df: DataFrame, fact: list[Column], family: str, run: Run) -> DataFrame:
+    """One fact per row. A single projection, so that a top-k below it stays one operator."""
+    return df.select(
+        *fact[:4],
         F.lit(family).alias("family"),
-        "f.value",
-        "f.unit",
+        *fact[4:],
         F.lit(run.computed_at).alias("computed_at"),
         F.lit(run.run_stamp).alias("run_stamp"),
     )
@@ -116,8 +114,9 @@ def activity(df: DataFrame, spec: FamilySpec, run: Run,
             "avg_rating_by_source", F.lit(f"{p}_avg_rating"), "source", F.lit(p),
             F.round("rating", 2), "score")),
     }
-    chosen = F.coalesce(*[F.when(F.col("level") == facts[w][0], facts[w][1]) for w in wanted])
-    return _facts(grouped, chosen, spec.name, run).filter(F.col("value").isNotNull())
+    chosen = F.coalesce(*[F.when(F.col("level") == facts[w][0], F.struct(*facts[w][1])) for w in wanted])
+    long = grouped.select(F.inline(F.array(chosen))).filter(F.col("value").isNotNull())
+    return _facts(long, [F.col(c) for c in long.columns], spec.name, run)
 
 
 def rating_trend(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST_GROUPS) -> DataFrame | None:
@@ -226,14 +225,13 @@ def avg_popularity(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | Non
 
 def definitions(once: DataFrame, run: Run) -> DataFrame:
     """The fixed definition rows, for each row of ``once``."""
-    entries = F.array(
-        *[
-            _fact("definition", F.lit(f"storytelling_definition_{suffix}"), dimension, F.lit(text), F.lit(1.0),
-                  "definition")
-            for suffix, dimension, text in DEFINITIONS
-        ]
-    )
-    return _facts(once.select(F.explode(entries).alias("entry")), F.col("entry"), "dashboard", run)
+    entries = [
+        F.struct(*_fact("definition", F.lit(f"storytelling_definition_{suffix}"), dimension, F.lit(text), F.lit(1.0),
+                        "definition"))
+        for suffix, dimension, text in DEFINITIONS
+    ]
+    long = once.select(F.inline(F.array(*entries)))
+    return _facts(long, [F.col(c) for c in long.columns], "dashboard", run)
 
 
 # --- reports -----------------------------------------------------------------

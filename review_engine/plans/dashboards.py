@@ -1,4 +1,4 @@
-"""Queries over the long-format facts."""
+"""Queries over the stored facts: the marts read the newest gold snapshot, not the reviews."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from review_engine.operators import marts, storytelling as st
 from review_engine.operators.shaping import BANNED_KEYWORDS
-from review_engine.plans import opinion, quality
+from review_engine.plans import gold, opinion, quality
 from review_engine.plans.registry import query
 from review_engine.plans.tables import RUN, SPECS, critic_reviews, families, table
 
@@ -21,37 +21,37 @@ STO = f"WITH facts AS ({opinion.REPORT_SQL}) "
 SELECT count(*) AS total_rows, count(DISTINCT family) AS families, count(DISTINCT metric_name) AS metrics,
        round(avg(value) FILTER (WHERE kpi_type = 'null_rate'), 2) AS avg_null_rate, max(run_stamp) AS last_run_stamp FROM facts""")
 def mart_gov_cards(spark, folder):
-    return marts.governance_cards(quality.report(spark, folder))
+    return marts.governance_cards(gold.governance(spark, folder))
 
 
 @query("mart_null_rates", GOV + """
 SELECT coalesce(family, 'unknown') || ' · ' || coalesce(column_name, 'unknown') AS label, value FROM facts WHERE kpi_type = 'null_rate'""")
 def mart_null_rates(spark, folder):
-    return marts.null_rates(quality.report(spark, folder))
+    return marts.null_rates(gold.governance(spark, folder))
 
 
 @query("mart_volume", GOV + """
 SELECT family || ' · ' || coalesce(metric_name, 'volume') AS label, kpi_type, value FROM facts
 WHERE kpi_type IN ('volume', 'volume_by_source')""")
 def mart_volume(spark, folder):
-    return marts.volumes(quality.report(spark, folder))
+    return marts.volumes(gold.governance(spark, folder))
 
 
 @query("mart_compliance", GOV + "SELECT family AS label, value FROM facts WHERE kpi_type = 'schema_compliance'")
 def mart_compliance(spark, folder):
-    return marts.compliance(quality.report(spark, folder))
+    return marts.compliance(gold.governance(spark, folder))
 
 
 @query("mart_outliers", GOV + "SELECT family, column_name, value FROM facts WHERE kpi_type = 'outlier_rate' AND value IS NOT NULL")
 def mart_outliers(spark, folder):
-    return marts.outliers(quality.report(spark, folder))
+    return marts.outliers(gold.governance(spark, folder))
 
 
 @query("mart_quality_summary", GOV + f"""
 SELECT family, kpi_type, metric_name, column_name, value, unit, computed_at, run_stamp FROM facts
 WHERE kpi_type IN ({', '.join(f"'{k}'" for k in marts.QUALITY_KINDS)})""")
 def mart_quality_summary(spark, folder):
-    return marts.quality_summary(quality.report(spark, folder))
+    return marts.quality_summary(gold.governance(spark, folder))
 
 
 @query("mart_last_updated", """
@@ -73,7 +73,7 @@ def mart_last_updated(spark, folder):
 totals AS (SELECT sentiment, sum(value) AS value FROM labelled_facts WHERE sentiment IN ('POSITIVE', 'NEGATIVE', 'NEUTRAL') GROUP BY 1)
 SELECT sentiment, value, round(100.0 * value / sum(value) OVER (), 2) AS share FROM totals""")
 def mart_sentiment_share(spark, folder):
-    return marts.sentiment_share(opinion.report(spark, folder))
+    return marts.sentiment_share(gold.storytelling(spark, folder))
 
 
 @query("mart_sentiment_trend", STO + """
@@ -82,7 +82,7 @@ SELECT CAST(dimension_value AS DATE) AS day, regexp_extract(metric_name, '(POSIT
 WHERE aggregation_type = 'sentiment_trend' AND family = 'user_reviews' AND regexp_matches(metric_name, '(POSITIVE|NEGATIVE|NEUTRAL)')
 GROUP BY 1, 2""")
 def mart_sentiment_trend(spark, folder):
-    return marts.sentiment_trend(opinion.report(spark, folder), "user_reviews")
+    return marts.sentiment_trend(gold.storytelling(spark, folder), "user_reviews")
 
 
 BANNED_SQL = ", ".join(f"'{w}'" for w in BANNED_KEYWORDS)
@@ -104,14 +104,14 @@ def mart_keywords(spark, folder):
 SELECT coalesce(family, 'unknown') || ' · ' || coalesce(dimension_value, 'unknown') AS label, family, aggregation_type,
        sum(value) AS value FROM facts WHERE aggregation_type IN ('source_volume', 'volume_by_source') GROUP BY 1, 2, 3""")
 def mart_sources(spark, folder):
-    return marts.sources(opinion.report(spark, folder))
+    return marts.sources(gold.storytelling(spark, folder))
 
 
 @query("mart_activity", STO + """
 SELECT CAST(dimension_value AS DATE) AS day, family, sum(value) AS value FROM facts
 WHERE aggregation_type = 'volume_by_date' GROUP BY 1, 2""")
 def mart_activity(spark, folder):
-    return marts.activity(opinion.report(spark, folder))
+    return marts.activity(gold.storytelling(spark, folder))
 
 
 @query("mart_evidence", STO + f"""
@@ -119,14 +119,14 @@ SELECT aggregation_type, metric_name, family, dimension, trim(dimension_value) A
 FROM facts WHERE aggregation_type IN ({', '.join(f"'{k}'" for k in marts.EVIDENCE_KINDS)})
   AND trim(dimension_value) NOT IN ('<NA>', 'nan', 'None', 'UNKNOWN', '')""")
 def mart_evidence(spark, folder):
-    return marts.evidence(opinion.report(spark, folder))
+    return marts.evidence(gold.storytelling(spark, folder))
 
 
 @query("mart_sto_cards", STO + """
 SELECT count(*) AS total_rows, count(DISTINCT family) AS families, count(DISTINCT aggregation_type) AS aggregations,
        max(run_stamp) AS last_run_stamp FROM facts""")
 def mart_sto_cards(spark, folder):
-    return marts.story_cards(opinion.report(spark, folder))
+    return marts.story_cards(gold.storytelling(spark, folder))
 
 
 def narrative_sql(facts: str) -> str:
@@ -152,7 +152,7 @@ SELECT concat_ws(' ',
 
 @query("mart_narrative", narrative_sql(STO))
 def mart_narrative(spark, folder):
-    return marts.narrative(opinion.report(spark, folder))
+    return marts.narrative(gold.storytelling(spark, folder))
 
 
 NO_GAP_SQL = "WITH facts AS (" + opinion.with_ctes(

@@ -195,7 +195,7 @@ def gov_outlier_rate(spark, folder):
 
 @query("gov_definitions", _sql_each(ALL, definition_sql))
 def gov_definitions(spark, folder):
-    return _each(spark, folder, ALL, g.definitions)
+    return _each(spark, folder, ALL, _part("definition"))
 
 
 def report(spark: SparkSession, folder: str) -> DataFrame:
