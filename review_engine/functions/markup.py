@@ -68,6 +68,7 @@ def _decode_piece(piece: Column) -> Column:
     legacy = F.regexp_extract(piece, _legacy_pattern(), 1)
     return (
         F.when(ref == "", F.concat(F.lit("&"), piece))
+        .when(ref == "amp;", F.concat(F.lit("&"), rest))  # by far the most frequent
         .when(ref.startswith("#"), F.concat(_code_point(number), rest))
         .when(named.isNotNull(), F.concat(named, rest))
         .when(

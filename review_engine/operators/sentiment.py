@@ -27,14 +27,10 @@ def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFram
     planner, which knows its size. Sums are built per task before the shuffle,
     so what moves is one row per document and task.
     """
-    words = F.col("_words")
-    paired = F.transform(
-        words,
-        lambda word, i: F.struct(
-            word.alias("word"), F.when(i > 0, F.get(words, i - 1)).alias("before")
-        ),
-    )
-    long = df.select(key, tokens(F.col(text)).alias("_words")).select(key, F.inline_outer(paired))
+    words = df.select(key, tokens(F.col(text)).alias("word"))
+    before = F.concat(F.array(F.lit(None).cast("string")), "word")
+    paired = words.select(key, "word", before.alias("before"))
+    long = paired.select(key, F.inline_outer(F.arrays_zip("word", "before")))
     rated = lexicon.filter(F.col("polarity").isNotNull()).select("word", "polarity")
     scales = lexicon.filter(F.col("intensity").isNotNull()).select(
         F.col("word").alias("before"), F.col("intensity").alias("scale")
@@ -72,11 +68,14 @@ def token_counts(df: DataFrame, text: str) -> DataFrame:
 
 def ngram_counts(df: DataFrame, text: str, n: int = 2) -> DataFrame:
     """Mentions per run of ``n`` tokens."""
-    words = F.col("_words")
-    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    enough = df.select(tokens(F.col(text)).alias("_words")).filter(F.size("_words") >= n)
-    return enough.select(F.explode(grams).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("mentions"))
+    names = [f"_w{i}" for i in range(n)]
+    words = df.select(tokens(F.col(text)).alias("_words")).filter(F.size("_words") >= n)
+    # the same words shifted by one place each, cut to the number of n-grams
+    shifted = words.select(
+        *[F.slice("_words", i + 1, F.size("_words") - (n - 1)).alias(name) for i, name in enumerate(names)]
+    )
+    counted = shifted.select(F.inline(F.arrays_zip(*names))).groupBy(*names).agg(F.count(F.lit(1)).alias("mentions"))
+    return counted.select(F.concat_ws(" ", *names).alias("ngram"), "mentions")
 
 
 def top_counts(counts: DataFrame, item: str, k: int, count: str = "mentions") -> DataFrame:

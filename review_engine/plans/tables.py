@@ -9,6 +9,7 @@ from review_engine.functions.markup import clean_review_text
 from review_engine.functions.text import canonical_title
 from review_engine.operators.governance import Run
 from review_engine.schemas import FamilySpec
+from review_engine.sources.bronze import spread
 
 RUN = Run("20250101_000000", "2025-01-01T00:00:00")
 
@@ -16,8 +17,13 @@ SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 WORDS = r"[\p{L}\p{N}_]{3,}"
 
 
+# Tables of long texts, with the key that spreads them evenly.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(scan, TEXT_TABLES[name]) if name in TEXT_TABLES else scan
 
 
 # --- SQL pieces --------------------------------------------------------------

@@ -40,7 +40,7 @@ def file_inventory(files: DataFrame) -> DataFrame:
 
 def missing_outputs(expected: DataFrame, files: DataFrame, key: str = "file_name") -> DataFrame:
     """Expected files that are absent or empty."""
-    return expected.join(files.filter(F.col("bytes") > 0), key, "left_anti")
+    return expected.join(files.filter(F.col("bytes") > 0).select(key).distinct(), key, "left_anti")
 
 
 def require_outputs(expected: DataFrame, files: DataFrame, key: str = "file_name") -> None:
@@ -91,3 +91,20 @@ def read_documents(spark: SparkSession, paths: str | list[str], schema: T.Struct
         .json(paths)
         .select("*", F.col("_metadata.file_name").alias("bronze_file_name"))
     )
+
+
+SPREAD_TASKS_PER_CORE = 3
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a scan that has too few partitions to do so.
+
+    Text work is bound by the processor, and a handful of files that cannot be
+    split would leave most cores idle. A scan with enough partitions, which is
+    every large one, is returned as it is: no shuffle. ``key`` should be unique;
+    the rows are then also in place for a later join or grouping by it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() * 2 > cores:
+        return scan
+    return scan.repartition(cores * SPREAD_TASKS_PER_CORE, key)

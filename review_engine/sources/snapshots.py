@@ -50,21 +50,26 @@ def latest(df: DataFrame, stamp: Column | str = "run_stamp") -> DataFrame:
     return df.filter(stamp == newest)
 
 
+def _run_folders(spark: SparkSession, path: str) -> DataFrame:
+    """The run folders of a family, from a listing alone."""
+    files = list_files(spark, path, "*.parquet", recursive=True)
+    folder = F.regexp_extract("file_path", r"^(.*/run_stamp=[^/]+)/", 1)
+    return files.select(folder.alias("folder")).filter("folder <> ''").distinct()
+
+
 def latest_or_empty(spark: SparkSession, base: str, family: str, schema: T.StructType) -> DataFrame:
-    """The newest run of a family, or an empty table of the given schema."""
+    """The newest run of a family, or an empty table of the given schema.
+
+    The run is chosen by its folder name, so no file of an older run is opened.
+    """
+    path = f"{base}/{family}"
     try:
-        found = scan_family(spark, base, family)
+        newest = _run_folders(spark, path).agg(F.max("folder").alias("folder")).first().folder
     except AnalysisException:
+        newest = None
+    if newest is None:
         return spark.createDataFrame([], schema)
-    return latest(found).select(*schema.fieldNames())
-
-
-def _run_folders(spark: SparkSession, path: str) -> list[str]:
-    files = list_files(spark, path, "*.parquet", recursive=True)
-    folder = F.regexp_extract("file_path", r"^(.*/run_stamp=[^/]+)/", 1)
-    found = files.select(folder.alias("folder")).filter("folder <> ''").distinct()
-    # One name per run: small by nature, and needed to plan the scans.
-    return sorted(row.folder for row in found.toLocalIterator())
+    return spark.read.option("basePath", path).parquet(newest).select(*schema.fieldNames())
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -80,7 +85,8 @@ def read_family_drift(spark: SparkSession, base: str, family: str) -> DataFrame
     """
     path = f"{base}/{family}"
     try:
-        folders = _run_folders(spark, path)
+        # One name per run: few by nature, and needed to plan the scans.
+        folders = sorted(row.folder for row in _run_folders(spark, path).collect())
     except AnalysisException:
         return None
     groups: dict[str, list[str]] = {}
