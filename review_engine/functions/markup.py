@@ -15,11 +15,11 @@ from review_engine.functions.text import collapse_space, has_text
 # The reference that may follow an ampersand.
 REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
-# Numeric references 128..159 mean the Windows-1252 character.
-_C1 = {
-    point: (bytes([point]).decode("cp1252") if point not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(point))
+# Numeric references 128..159 mean the Windows-1252 character, where there is one.
+C1_TEXT = "".join(
+    chr(point) if point in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else bytes([point]).decode("cp1252")
     for point in range(0x80, 0xA0)
-}
+)
 
 
 @lru_cache(maxsize=1)
@@ -44,10 +44,9 @@ def _code_point(number: Column) -> Column:
         | number.between(0xFDD0, 0xFDEF)
         | ((number >= 0xFFFE) & (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
     )
-    c1 = F.create_map(*[F.lit(x) for pair in _C1.items() for x in pair])
     return (
         F.when(number.isNull() | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF) | (number == 0), "\ufffd")
-        .when(number.between(0x80, 0x9F), F.try_element_at(c1, number.cast("int")))
+        .when(number.between(0x80, 0x9F), F.substr(F.lit(C1_TEXT), (number - 0x7F).cast("int"), F.lit(1)))
         .when(number == 0x0D, "\r")
         .when(ignored, "")
         .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))

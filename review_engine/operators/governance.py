@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from review_engine.functions.parsing import double_of, parse_timestamp, rate
-from review_engine.functions.text import metric_name
+from review_engine.functions.parsing import double_of, parse_timestamp
 from review_engine.operators.dedup import duplicate_groups
 from review_engine.operators.quantiles import EXACT_ROWS, approx_quantiles, exact_quantiles
-from review_engine.operators.shaping import all_present
 from review_engine.schemas import GOVERNANCE_FACT, FamilySpec
 
 # First of these columns that exists dates a row.
@@ -42,31 +40,47 @@ class Run:
     computed_at: str
 
 
-def _entry(kpi: str, metric: Column | str, column: Column | str | None, value: Column, unit: str) -> Column:
-    as_column = lambda v: v if isinstance(v, Column) else F.lit(v).cast("string")
-    return F.struct(
-        F.lit(kpi).alias("kpi_type"),
-        as_column(metric).alias("metric_name"),
-        as_column(column).alias("column_name"),
-        value.cast("double").alias("value"),
-        F.lit(unit).alias("unit"),
+# Facts are described by SQL expressions: a report has hundreds of them, and one
+# text handed to the parser is far cheaper to plan than as many column objects.
+
+
+def text_literal(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name_of(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def rate_of(part: str, whole: str, digits: int = 2) -> str:
+    """Rounded percentage; an empty whole gives 0."""
+    return f"CASE WHEN {whole} > 0 THEN round({part} / {whole} * 100, {digits}) ELSE 0.0D END"
+
+
+def _entry(kpi: str, metric: str, column: str | None, value: str, unit: str) -> str:
+    """A fact; ``metric`` and ``value`` are SQL expressions."""
+    return (
+        f"named_struct('kpi_type', '{kpi}', 'metric_name', {metric}, 'column_name', {text_literal(column)}, "
+        f"'value', CAST({value} AS DOUBLE), 'unit', '{unit}')"
     )
 
 
-def _facts(df: DataFrame, entries: list[Column], spec: FamilySpec, run: Run) -> DataFrame:
+def _facts(df: DataFrame, entries: list[str], spec: FamilySpec, run: Run) -> DataFrame:
     """One fact per entry and row of an aggregate; entries without a value give none."""
     return (
-        df.select(F.inline(F.array(*entries)))
-        .filter(F.col("value").isNotNull())
-        .select(
+        df.selectExpr(f"inline(array({', '.join(entries)}))")
+        .filter("value IS NOT NULL")
+        .selectExpr(
             "kpi_type",
             "metric_name",
-            F.lit(spec.name).alias("family"),
+            f"{text_literal(spec.name)} AS family",
             "column_name",
             "value",
             "unit",
-            F.lit(run.computed_at).alias("computed_at"),
-            F.lit(run.run_stamp).alias("run_stamp"),
+            f"{text_literal(run.computed_at)} AS computed_at",
+            f"{text_literal(run.run_stamp)} AS run_stamp",
         )
     )
 
@@ -78,23 +92,23 @@ class _Measures:
     """Aggregates of one pass, and the fact entries made of them."""
 
     def __init__(self):
-        self.aggregates = [F.count(F.lit(1)).alias("_rows")]
-        self.entries: list[Column] = []
+        self.aggregates = ["count(*) AS _rows"]
+        self.entries: list[str] = []
 
-    def add(self, name: str, aggregate: Column) -> Column:
-        self.aggregates.append(aggregate.alias(name))
-        return F.col(f"`{name}`")
+    def add(self, name: str, aggregate: str) -> str:
+        self.aggregates.append(f"{aggregate} AS {name_of(name)}")
+        return name_of(name)
 
 
 def _null_rates(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
     for c in df.columns:
-        present = m.add(f"present {c}", F.count(f"`{c}`"))
-        rows = F.col("_rows")
-        m.entries.append(_entry("null_rate", f"null_rate_{spec.name}_{c}", c, rate(rows - present, rows), "percentage"))
+        present = m.add(f"present {c}", f"count({name_of(c)})")
+        metric = text_literal(f"null_rate_{spec.name}_{c}")
+        m.entries.append(_entry("null_rate", metric, c, rate_of(f"(_rows - {present})", "_rows"), "percentage"))
 
 
 def _volume(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
-    m.entries.append(_entry("volume", f"total_records_{spec.name}", None, F.col("_rows"), "count"))
+    m.entries.append(_entry("volume", text_literal(f"total_records_{spec.name}"), None, "_rows", "count"))
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -102,49 +116,53 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def _text_lengths(df: DataFrame, spec: FamilySpec, m: _Measures, with_mean: bool) -> None:
-    measures = {"min": F.min, "max": F.max} | ({"mean": F.avg} if with_mean else {})
+    functions = {"min": "min", "max": "max"} | ({"mean": "avg"} if with_mean else {})
     for c in text_columns(df):
-        length = F.length(F.coalesce(F.col(c), F.lit("")))
-        for name, function in measures.items():
-            value = m.add(f"{name} length {c}", function(length))
-            m.entries.append(
-                _entry("text_statistics", f"{name}_text_length_{spec.name}_{c}", c, F.round(value, 2), "characters")
-            )
+        for name, function in functions.items():
+            value = m.add(f"{name} length {c}", f"{function}(length(coalesce({name_of(c)}, '')))")
+            metric = text_literal(f"{name}_text_length_{spec.name}_{c}")
+            m.entries.append(_entry("text_statistics", metric, c, f"round({value}, 2)", "characters"))
+
+
+def complete(columns) -> str:
+    return " AND ".join(f"{name_of(c)} IS NOT NULL" for c in columns)
 
 
 def _compliance(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
     required = [c for c in spec.required if c in df.columns]
     if required:
-        complete = m.add("complete", F.count_if(all_present(required)))
-        value = F.when(F.col("_rows") > 0, rate(complete, F.col("_rows")))
-        m.entries.append(
-            _entry("schema_compliance", f"schema_compliance_rate_{spec.name}", ",".join(required), value, "percentage")
-        )
+        rows = m.add("complete", f"count_if({complete(required)})")
+        value = f"CASE WHEN _rows > 0 THEN {rate_of(rows, '_rows')} END"
+        metric = text_literal(f"schema_compliance_rate_{spec.name}")
+        m.entries.append(_entry("schema_compliance", metric, ",".join(required), value, "percentage"))
 
 
-def _day(df: DataFrame, column: str) -> Column:
+def day_of(df: DataFrame, column: str) -> Column:
+    """Calendar day of a date column, text or not."""
     value = F.col(column)
     return F.to_date(parse_timestamp(value) if isinstance(df.schema[column].dataType, T.StringType) else value)
 
 
+def _date_column(df: DataFrame) -> str | None:
+    return next((c for c in DATE_COLUMNS if c in df.columns), None)
+
+
 def _frequency(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
-    column = next((c for c in DATE_COLUMNS if c in df.columns), None)
+    column = _date_column(df)
     if column is None:
         return
-    day = _day(df, column)
-    days = m.add("days", F.count_distinct(day))
-    span = F.datediff(m.add("last day", F.max(day)), m.add("first day", F.min(day))) + 1
-    value = F.round(F.least(days / span * 100, F.lit(100.0)), 2)
-    m.entries.append(
-        _entry("ingestion_frequency", f"ingestion_frequency_compliance_{spec.name}", column, value, "percentage")
-    )
+    days = m.add("days", "count(DISTINCT _day)")
+    first, last = m.add("first day", "min(_day)"), m.add("last day", "max(_day)")
+    value = f"round(least({days} / (datediff({last}, {first}) + 1) * 100, 100.0D), 2)"
+    metric = text_literal(f"ingestion_frequency_compliance_{spec.name}")
+    m.entries.append(_entry("ingestion_frequency", metric, column, value, "percentage"))
 
 
 def _definitions(spec: FamilySpec, m: _Measures) -> None:
     """The fixed rows of a family that has rows."""
     for suffix, title in DEFINITIONS:
-        value = F.when(F.col("_rows") > 0, 1.0)
-        m.entries.append(_entry("definition", f"governance_definition_{suffix}", title, value, "definition"))
+        metric = text_literal(f"governance_definition_{suffix}")
+        m.entries.append(_entry("definition", metric, title, "CASE WHEN _rows > 0 THEN 1.0D END", "definition"))
 
 
 PROFILE_PARTS = ("null_rate", "volume", "text", "compliance", "frequency", "definition")
@@ -166,7 +184,9 @@ def profile(df: DataFrame, spec: FamilySpec, run: Run, with_mean: bool = False,
         steps[part]()
     if not m.entries:
         return df.sparkSession.createDataFrame([], GOVERNANCE_FACT)
-    return _facts(df.agg(*m.aggregates), m.entries, spec, run)
+    column = _date_column(df)
+    dated = df.withColumn("_day", day_of(df, column)) if column and "frequency" in parts else df
+    return _facts(dated.selectExpr(*m.aggregates), m.entries, spec, run)
 
 
 # --- measures that need their own shuffle ------------------------------------
@@ -177,22 +197,20 @@ def duplicate_rate(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | Non
     keys = spec.duplicate_keys
     if not keys or not set(keys) <= set(df.columns):
         return None
-    groups = duplicate_groups(df.filter(all_present(keys)), keys).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys")
+    groups = duplicate_groups(df.filter(complete(keys)), keys).selectExpr(
+        "coalesce(sum(copies), 0) AS rows", "count(*) AS keys"
     )
-    value = rate(F.col("rows") - F.col("keys"), F.col("rows"))
-    entry = _entry("duplicates", f"duplicate_rate_{spec.name}", ",".join(keys), value, "percentage")
+    metric = text_literal(f"duplicate_rate_{spec.name}")
+    entry = _entry("duplicates", metric, ",".join(keys), rate_of("(rows - keys)", "rows"), "percentage")
     return _facts(groups, [entry], spec, run)
 
 
 def volume_by_source(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | None:
     if "source" not in df.columns:
         return None
-    counts = df.groupBy(F.coalesce("source", F.lit("UNKNOWN")).alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    entry = _entry(
-        "volume_by_source", metric_name(f"volume_{spec.name}_", F.col("source")), "source", F.col("n"), "count"
-    )
-    return _facts(counts, [entry], spec, run)
+    counts = df.groupBy(F.expr("coalesce(source, 'UNKNOWN') AS source")).agg(F.expr("count(*) AS n"))
+    metric = f"concat({text_literal(f'volume_{spec.name}_')}, source)"
+    return _facts(counts, [_entry("volume_by_source", metric, "source", "n", "count")], spec, run)
 
 
 def outlier_rate(df: DataFrame, spec: FamilySpec, run: Run, approx: bool = False,
@@ -210,7 +228,7 @@ def outlier_rate(df: DataFrame, spec: FamilySpec, run: Run, approx: bool = False
         approx_quantiles(numbers, names, [0.25, 0.75]) if approx
         else exact_quantiles(numbers, names, [0.25, 0.75], exact_rows)
     )
-    m, entries = _Measures(), []
+    m = _Measures()
     for c in names:
         n, found = quartiles[c]
         if n < MIN_OUTLIER_VALUES:
@@ -219,12 +237,11 @@ def outlier_rate(df: DataFrame, spec: FamilySpec, run: Run, approx: bool = False
         spread = high - low
         if spread == 0 or spread != spread:
             continue
-        value = F.col(c)
-        outside = m.add(c, F.count_if((value < low - FENCE * spread) | (value > high + FENCE * spread)))
-        entries.append(
-            _entry("outlier_rate", f"outlier_rate_{spec.name}_{c}", c, rate(outside, F.lit(n)), "percentage")
-        )
-    return _facts(numbers.agg(*m.aggregates), entries, spec, run) if entries else None
+        fences = [f"double('{fence!r}')" for fence in (low - FENCE * spread, high + FENCE * spread)]
+        outside = m.add(c, f"count_if({name_of(c)} < {fences[0]} OR {name_of(c)} > {fences[1]})")
+        metric = text_literal(f"outlier_rate_{spec.name}_{c}")
+        m.entries.append(_entry("outlier_rate", metric, c, rate_of(outside, str(n)), "percentage"))
+    return _facts(numbers.selectExpr(*m.aggregates), m.entries, spec, run) if m.entries else None
 
 
 # --- reports -----------------------------------------------------------------

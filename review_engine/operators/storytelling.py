@@ -7,9 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from review_engine.functions.parsing import day_text, double_of, zero_if_null
-from review_engine.functions.text import metric_name
-from review_engine.operators.governance import Run, _day
+from review_engine.functions.parsing import double_of
+from review_engine.operators.governance import Run, day_of, name_of, text_literal
 from review_engine.operators.sentiment import fill_labels, token_counts, top_counts
 from review_engine.schemas import STORY_FACT, FamilySpec
 
@@ -30,29 +29,42 @@ DEFINITIONS = (
 )
 
 
-def _fact(kind: str, metric: Column, dimension: str, dimension_value: Column, value: Column, unit: str) -> list[Column]:
-    """The columns of a fact that differ within a family."""
+def _fact(kind: str, metric: str, dimension: str, dimension_value: str, value: str, unit: str) -> list[str]:
+    """The columns of a fact that differ within a family, as SQL expressions."""
     return [
-        F.lit(kind).alias("aggregation_type"),
-        metric.alias("metric_name"),
-        F.lit(dimension).alias("dimension"),
-        dimension_value.cast("string").alias("dimension_value"),
-        value.cast("double").alias("value"),
-        F.lit(unit).alias("unit"),
+        f"'{kind}' AS aggregation_type",
+        f"{metric} AS metric_name",
+        f"{text_literal(dimension)} AS dimension",
+        f"CAST({dimension_value} AS STRING) AS dimension_value",
+        f"CAST({value} AS DOUBLE) AS value",
+        f"'{unit}' AS unit",
     ]
 
 
-def _facts(df: DataFrame, fact: list[Column], family: str, run: Run) -> DataFrame:
+def _metric(prefix: str, *parts: str) -> str:
+    """Metric name of a fixed prefix and computed parts; a missing part reads ``unknown``."""
+    computed = [f"coalesce(CAST({p} AS STRING), 'unknown')" for p in parts]
+    return f"concat({', '.join([text_literal(prefix), *computed])})"
+
+
+def _facts(df: DataFrame, fact: list[str], family: str, run: Run) -> DataFrame:
     """One fact per row. A single projection, so that a top-k below it stays one operator."""
-    return df.select(
+    return df.selectExpr(
         *fact[:4],
-        F.lit(family).alias("family"),
+        f"{text_literal(family)} AS family",
         *fact[4:],
-        F.lit(run.computed_at).alias("computed_at"),
-        F.lit(run.run_stamp).alias("run_stamp"),
+        f"{text_literal(run.computed_at)} AS computed_at",
+        f"{text_literal(run.run_stamp)} AS run_stamp",
     )
 
 
+FACT_NAMES = ["aggregation_type", "metric_name", "dimension", "dimension_value", "value", "unit"]
+
+
+def _as_struct(fact: list[str]) -> str:
+    return f"struct({', '.join(fact)})"
+
+
 def _has(df: DataFrame, *columns: str) -> bool:
     return set(columns) <= set(df.columns)
 
@@ -90,44 +102,39 @@ def activity(df: DataFrame, spec: FamilySpec, run: Run,
     text = F.lit(None).cast("string")
     narrow = df.select(
         (F.col("sentiment_label") if have["distribution"] else text).alias("label"),
-        (_day(df, "review_date") if have["volume"] else text.cast("date")).alias("day"),
+        (day_of(df, "review_date") if have["volume"] else text.cast("date")).alias("day"),
         (double_of(df, "rating") if have["rating"] else text.cast("double")).alias("rating"),
     )
     grouped = narrow.groupingSets([sets[p] for p in wanted], label, day).agg(
         F.grouping_id().alias("level"), _count(), F.avg("rating").alias("rating")
     )
-    p, day_value = spec.prefix, day_text(day)
+    p = spec.prefix
+    day_value, label_value = "date_format(day, 'yyyy-MM-dd')", "coalesce(label, 'UNKNOWN')"
     facts = {
         # grouping id: bit 1 set when the label, bit 0 when the day is left out
-        "distribution": (1, _fact(
-            "sentiment_distribution",
-            metric_name(f"{p}_sentiment_", F.coalesce(label, F.lit("UNKNOWN"))),
-            "sentiment_label", F.coalesce(label, F.lit("UNKNOWN")), F.col("n"), "count")),
-        "trend": (0, _fact(
-            "sentiment_trend",
-            metric_name(f"{p}_sentiment_trend_", day_value, "_", F.coalesce(label, F.lit("UNKNOWN"))),
-            "day", day_value, F.col("n"), "count")),
-        "volume": (2, _fact(
-            "volume_by_date", metric_name(f"{p}_volume_", day_value), "date", day_value,
-            F.when(day.isNotNull(), F.col("n")), "count")),
-        "rating": (3, _fact(
-            "avg_rating_by_source", F.lit(f"{p}_avg_rating"), "source", F.lit(p),
-            F.round("rating", 2), "score")),
+        "distribution": (1, _fact("sentiment_distribution", _metric(f"{p}_sentiment_", label_value), "sentiment_label",
+                                  label_value, "n", "count")),
+        "trend": (0, _fact("sentiment_trend", _metric(f"{p}_sentiment_trend_", day_value, "'_'", label_value), "day",
+                           day_value, "n", "count")),
+        "volume": (2, _fact("volume_by_date", _metric(f"{p}_volume_", day_value), "date", day_value,
+                            "CASE WHEN day IS NOT NULL THEN n END", "count")),
+        "rating": (3, _fact("avg_rating_by_source", text_literal(f"{p}_avg_rating"), "source", text_literal(p),
+                            "round(rating, 2)", "score")),
     }
-    chosen = F.coalesce(*[F.when(F.col("level") == facts[w][0], F.struct(*facts[w][1])) for w in wanted])
-    long = grouped.select(F.inline(F.array(chosen))).filter(F.col("value").isNotNull())
-    return _facts(long, [F.col(c) for c in long.columns], spec.name, run)
+    cases = " ".join(f"WHEN {facts[w][0]} THEN {_as_struct(facts[w][1])}" for w in wanted)
+    long = grouped.selectExpr(f"inline(array(CASE level {cases} END))").filter("value IS NOT NULL")
+    return _facts(long, FACT_NAMES, spec.name, run)
 
 
 def rating_trend(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST_GROUPS) -> DataFrame | None:
     """Mean rating of the first ``k`` days; a day without ratings counts as 0."""
     if not _has(df, "review_date", "rating"):
         return None
-    daily = df.groupBy(_day(df, "review_date").alias("day")).agg(F.avg(double_of(df, "rating")).alias("mean"))
+    daily = df.groupBy(day_of(df, "review_date").alias("day")).agg(F.avg(double_of(df, "rating")).alias("mean"))
     first = daily.orderBy(F.col("day").asc_nulls_last()).limit(k)
-    day = day_text(F.col("day"))
-    fact = _fact("sentiment_trend", metric_name(f"{spec.prefix}_sentiment_trend_", day), "day", day,
-                 F.round(zero_if_null(F.col("mean")), 2), "score")
+    day = "date_format(day, 'yyyy-MM-dd')"
+    fact = _fact("sentiment_trend", _metric(f"{spec.prefix}_sentiment_trend_", day), "day", day,
+                 "round(coalesce(mean, 0.0D), 2)", "score")
     return _facts(first, fact, spec.name, run)
 
 
@@ -143,10 +150,9 @@ def critic_vs_audience(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST
         F.avg(double_of(df, "audience_score")).alias("audience"),
     )
     first = scores.orderBy(F.col("canonical_title").asc_nulls_last()).limit(k)
-    title = F.col("canonical_title")
-    gap = F.round(zero_if_null(F.col("critics")) - zero_if_null(F.col("audience")), 2)
-    fact = _fact("critic_vs_audience", metric_name(f"{spec.prefix}_critic_vs_audience_", title),
-                 "canonical_title", title, gap, "score_delta")
+    gap = "round(coalesce(critics, 0.0D) - coalesce(audience, 0.0D), 2)"
+    fact = _fact("critic_vs_audience", _metric(f"{spec.prefix}_critic_vs_audience_", "canonical_title"),
+                 "canonical_title", "canonical_title", gap, "score_delta")
     return _facts(first, fact, spec.name, run)
 
 
@@ -155,9 +161,7 @@ def top_keywords(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP_KEYWORD
     if not _has(df, text):
         return None
     top = top_counts(token_counts(df, text), "token", k)
-    token = F.col("token")
-    fact = _fact("top_keywords", metric_name(f"{spec.prefix}_top_keyword_", token), "keyword", token,
-                 F.col("mentions"), "count")
+    fact = _fact("top_keywords", _metric(f"{spec.prefix}_top_keyword_", "token"), "keyword", "token", "mentions", "count")
     return _facts(top, fact, spec.name, run)
 
 
@@ -166,8 +170,7 @@ def source_volume(df: DataFrame, spec: FamilySpec, run: Run, kind: str = "source
     if not _has(df, "source"):
         return None
     prefix = f"{spec.prefix}_source_volume_" if kind == "source_volume" else f"{spec.name}_volume_"
-    source = F.col("source")
-    fact = _fact(kind, metric_name(prefix, source), "source", source, F.col("n"), "count")
+    fact = _fact(kind, _metric(prefix, "source"), "source", "source", "n", "count")
     return _facts(df.groupBy("source").agg(_count()), fact, spec.name, run)
 
 
@@ -178,7 +181,7 @@ def top_by_count(df: DataFrame, spec: FamilySpec, run: Run, column: str, kind: s
         return None
     order = [F.col("n").desc(), F.col(column).asc_nulls_last()]
     top = _ranked(df.groupBy(column).agg(_count()).orderBy(*order).limit(k), order)
-    fact = _fact(kind, metric_name(f"{label}_rank_", F.col("rank")), column, F.col(column), F.col("n"), "count")
+    fact = _fact(kind, _metric(f"{label}_rank_", "rank"), column, name_of(column), "n", "count")
     return _facts(top, fact, spec.name, run)
 
 
@@ -196,8 +199,8 @@ def release_period(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST_GRO
         return None
     year = F.col("release_year")
     first = df.groupBy("release_year").agg(_count()).orderBy(year.asc_nulls_last()).limit(k)
-    fact = _fact("release_period", metric_name(f"{spec.prefix}_release_period_", year), "release_year", year,
-                 F.col("n"), "count")
+    fact = _fact("release_period", _metric(f"{spec.prefix}_release_period_", "release_year"), "release_year",
+                 "release_year", "n", "count")
     return _facts(first, fact, spec.name, run)
 
 
@@ -209,8 +212,8 @@ def top_titles_by_rating(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP
     order = [F.col("score").desc_nulls_last(), *ties]
     rated = df.filter(F.col("vote_average").isNotNull()).withColumn("score", double_of(df, "vote_average"))
     top = _ranked(rated.orderBy(*order).limit(k), order)
-    fact = _fact("top_titles_by_rating", metric_name(f"{spec.prefix}_rank_", F.col("rank")), "canonical_title",
-                 F.col("canonical_title"), zero_if_null(F.col("score")), "score")
+    fact = _fact("top_titles_by_rating", _metric(f"{spec.prefix}_rank_", "rank"), "canonical_title", "canonical_title",
+                 "coalesce(score, 0.0D)", "score")
     return _facts(top, fact, spec.name, run)
 
 
@@ -218,20 +221,18 @@ def avg_popularity(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | Non
     if not _has(df, "popularity"):
         return None
     mean = df.agg(F.round(F.avg(double_of(df, "popularity")), 2).alias("mean")).filter("mean IS NOT NULL")
-    fact = _fact("avg_popularity", F.lit(f"{spec.name}_avg_popularity"), "global", F.lit("all"), F.col("mean"),
-                 "score")
+    fact = _fact("avg_popularity", text_literal(f"{spec.name}_avg_popularity"), "global", "'all'", "mean", "score")
     return _facts(mean, fact, spec.name, run)
 
 
 def definitions(once: DataFrame, run: Run) -> DataFrame:
     """The fixed definition rows, for each row of ``once``."""
     entries = [
-        F.struct(*_fact("definition", F.lit(f"storytelling_definition_{suffix}"), dimension, F.lit(text), F.lit(1.0),
-                        "definition"))
+        _as_struct(_fact("definition", text_literal(f"storytelling_definition_{suffix}"), dimension, text_literal(text),
+                         "1.0D", "definition"))
         for suffix, dimension, text in DEFINITIONS
     ]
-    long = once.select(F.inline(F.array(*entries)))
-    return _facts(long, [F.col(c) for c in long.columns], "dashboard", run)
+    return _facts(once.selectExpr(f"inline(array({', '.join(entries)}))"), FACT_NAMES, "dashboard", run)
 
 
 # --- reports -----------------------------------------------------------------
