@@ -153,7 +153,8 @@ def _frequency(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
         return
     days = m.add("days", "count(DISTINCT _day)")
     first, last = m.add("first day", "min(_day)"), m.add("last day", "max(_day)")
-    value = f"round(least({days} / (datediff({last}, {first}) + 1) * 100, 100.0D), 2)"
+    share = f"round(least({days} / (datediff({last}, {first}) + 1) * 100, 100.0D), 2)"
+    value = f"CASE WHEN {days} > 0 THEN {share} END"
     metric = text_literal(f"ingestion_frequency_compliance_{spec.name}")
     m.entries.append(_entry("ingestion_frequency", metric, column, value, "percentage"))
 
