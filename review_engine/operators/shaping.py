@@ -39,9 +39,9 @@ def where_equal(df: DataFrame, column: str, value: str) -> DataFrame:
 
 
 def where_in(df: DataFrame, column: str, values, keep: bool = True) -> DataFrame:
-    """Rows whose value is (not) listed; NULL counts as not listed."""
-    listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
-    return df.filter(listed if keep else ~listed)
+    """Rows whose value is (not) listed; NULL counts as not listed. Both forms reach the scan."""
+    listed = F.col(column).isin(*values)
+    return df.filter(listed if keep else F.col(column).isNull() | ~listed)
 
 
 def meaningful_keywords(df: DataFrame, keyword: str, value: str) -> DataFrame:

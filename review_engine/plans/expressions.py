@@ -69,7 +69,8 @@ def fn_clean_text(spark, folder):
 def sql_unescape(x: str) -> str:
     """The references that occur in the driver pages; the ampersand last, so nothing is decoded twice."""
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        x = f"replace({x}, '&{name};', '{char}')"
+        # a title cut off inside a reference may lack the semicolon
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
     return x
 
 

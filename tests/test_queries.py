@@ -79,7 +79,7 @@ def test_scans_are_pruned_and_filtered(spark, folder):
         return RUNS[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
 
     assert "PushedFilters: [IsNotNull(o_orderdate), EqualTo(o_orderdate,ScalarSubquery" in plan("latest_snapshot")
-    assert "In(event_type, [signup,view])" in plan("filter_in_list") or "In(event_type, [view,signup])" in plan("filter_in_list")
+    assert re.search(r"PushedFilters: \[[^\n]*In\(event_type, \[", plan("filter_in_list"))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan("sto_avg_rating"))
     assert schemas == ["struct<value:double>", "struct<o_totalprice:double>"]
     # labels are not joined where none is read
