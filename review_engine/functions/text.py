@@ -109,10 +109,3 @@ def sentiment_from_name(c: Column) -> Column:
 def label_text(*parts: Column) -> Column:
     """Display label; a missing part reads ``unknown``."""
     return F.concat_ws(" · ", *[F.coalesce(part, F.lit("unknown")) for part in parts])
-
-
-def metric_name(*parts: Column | str) -> Column:
-    """Metric name from fixed and computed parts; a missing part reads ``unknown``."""
-    return F.concat(
-        *[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("unknown")) for p in parts]
-    )

@@ -41,9 +41,9 @@ def find(html: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
-def plain_text(html: Column, separator: str = "") -> Column:
+def plain_text(html: Column) -> Column:
     """Text of a fragment: tags out, references decoded, blank is NULL."""
-    bare = html_unescape(F.regexp_replace(html, "(?s)<!--.*?-->|<[^>]*>", separator))
+    bare = html_unescape(F.regexp_replace(html, "(?s)<!--.*?-->|<[^>]*>", ""))
     return normalize_space(bare)
 
 
@@ -80,11 +80,15 @@ def extract_cards(pages: DataFrame, rules: CardRules = TITLE_CARD, page: str = "
     pieces = F.split(F.col(html), f"(?={rules.card})")
     # what precedes the first card is not a card
     cards = pages.select(page, F.posexplode(pieces).alias("pos", "card")).filter(F.col("card").rlike(f"^{rules.card}"))
-    fields = {name: plain_text(find(F.col("card"), p)) for name, p in rules.text.items()}
-    fields |= {name: html_unescape(find(F.col("card"), p)) for name, p in rules.attributes.items()}
+    patterns = rules.text | rules.attributes
+    found = [find(F.col("card"), p) for p in patterns.values()]
+    raw = cards.select(page, F.col("pos").cast("bigint").alias("pos"), F.array(*found).alias("found"))
+    # an attribute holds no tags, so the same cleaning serves both
+    read = raw.select(page, "pos", F.transform("found", lambda f: plain_text(f)).alias("found"))
+    fields = {name: F.get("found", F.lit(i)) for i, name in enumerate(patterns)}
     if "url" in fields:
         fields["url"] = F.concat(F.lit(rules.base_url), fields["url"])
-    return cards.select(page, F.col("pos").cast("bigint").alias("pos"), *[c.alias(n) for n, c in fields.items()])
+    return read.select(page, "pos", *[c.alias(n) for n, c in fields.items()])
 
 
 # --- links -------------------------------------------------------------------
@@ -107,13 +111,14 @@ _SCORE = "rt-text"
 
 def _scorecard(details: DataFrame) -> DataFrame:
     """Scores of detail pages (``href``, ``html``): by slot, else the percentages in order."""
-    card = find(F.col("html"), tag_body("media-scorecard"))
-    texts = F.transform(F.regexp_extract_all(card, F.lit(tag_body(_SCORE)), F.lit(1)), lambda t: plain_text(t))
-    percents = F.filter(texts, lambda t: t.rlike(PERCENT_ONLY))
-    critics = plain_text(find(card, tag_body(_SCORE, "slot", "criticsScore")))
-    audience = plain_text(find(card, tag_body(_SCORE, "slot", "audienceScore")))
-    return details.select("href", critics.alias("slot_critics"), audience.alias("slot_audience"),
-                          percents.alias("card_percents"))
+    card = F.col("card")
+    slots = [find(card, tag_body(_SCORE, "slot", slot)) for slot in ("criticsScore", "audienceScore")]
+    every = F.regexp_extract_all(card, F.lit(tag_body(_SCORE)), F.lit(1))
+    cards = details.select("href", find(F.col("html"), tag_body("media-scorecard")).alias("card"))
+    read = cards.select("href", F.transform(F.concat(F.array(*slots), every), lambda t: plain_text(t)).alias("t"))
+    percents = F.filter(F.slice("t", 3, F.size("t")), lambda t: t.rlike(PERCENT_ONLY))
+    return read.select("href", F.get("t", F.lit(0)).alias("slot_critics"), F.get("t", F.lit(1)).alias("slot_audience"),
+                       percents.alias("card_percents"))
 
 
 def _fill_scores(critics: Column, audience: Column, candidates: Column) -> tuple[Column, Column]:
@@ -134,23 +139,27 @@ def extract_links(pages: DataFrame, details: DataFrame | None = None, href: str
     the link text, its spans. Title: marked elements, the first telling span,
     the whole text.
     """
-    rows = links(pages, href, page, html)
     link = F.col("link")
-    text = plain_text(link, " ")
-    marked = F.coalesce(
-        plain_text(find(link, tag_body("span", "data-qa", "discovery-media-list-item-title"))),
-        plain_text(find(link, tag_body(_SCORE, "slot", "title"))),
+    marked = [
+        find(link, tag_body("span", "data-qa", "discovery-media-list-item-title")),
+        find(link, tag_body(_SCORE, "slot", "title")),
+        find(link, tag_body(_SCORE, "slot", "criticsScore")),
+        find(link, tag_body(_SCORE, "slot", "audienceScore")),
+    ]
+    spans = F.regexp_extract_all(link, F.lit(tag_body("span")), F.lit(1))
+    # the text of the whole link keeps its parts apart, so its tags become spaces first
+    whole = F.regexp_replace(link, "<[^>]*>", " ")
+    raw = links(pages, href, page, html).select(
+        page, "pos", "href", find(link, attribute_of("img", "src")).alias("poster_url"),
+        F.concat(F.array(*marked, whole), spans).alias("found"),
     )
-    spans = F.filter(
-        F.transform(F.regexp_extract_all(link, F.lit(tag_body("span")), F.lit(1)), lambda s: plain_text(s)),
-        lambda s: s.isNotNull(),
-    )
-    rows = rows.select(
-        page, "pos", "href", text.alias("text"), spans.alias("spans"),
-        clean_title(marked).alias("marked_title"),
-        plain_text(find(link, tag_body(_SCORE, "slot", "criticsScore"))).alias("slot_c"),
-        plain_text(find(link, tag_body(_SCORE, "slot", "audienceScore"))).alias("slot_a"),
-        find(link, attribute_of("img", "src")).alias("poster_url"),
+    read = raw.withColumn("found", F.transform("found", lambda f: plain_text(f)))
+    part = lambda i: F.get("found", F.lit(i))
+    rows = read.select(
+        page, "pos", "href", "poster_url",
+        clean_title(F.coalesce(part(0), part(1))).alias("marked_title"),
+        part(2).alias("slot_c"), part(3).alias("slot_a"), part(4).alias("text"),
+        F.filter(F.slice("found", 6, F.size("found")), lambda s: s.isNotNull()).alias("spans"),
     )
     first, second = critics_and_audience_percent(F.col("text"))
     rows = rows.withColumns({"critics": F.coalesce("slot_c", first), "audience": F.coalesce("slot_a", second)})
