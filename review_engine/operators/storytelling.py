@@ -266,10 +266,18 @@ def family_facts(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def with_labels(df: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
-    """Label the family from its clean text, else its raw text, if no row has a label."""
+def with_labels(df: DataFrame, key: str | None, lexicon: DataFrame) -> DataFrame:
+    """Label the family from its clean text, else its raw text, if no row has a label.
+
+    Without a key the digest of the text serves: copies of a text share a label.
+    """
     text = next((c for c in ("review_text_clean", "review_text") if c in df.columns), None)
-    return fill_labels(df, key, text, lexicon) if text else df
+    if text is None:
+        return df
+    if key is not None:
+        return fill_labels(df, key, text, lexicon)
+    keyed = df.withColumn("_text_key", F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)))
+    return fill_labels(keyed, "_text_key", text, lexicon).drop("_text_key")
 
 
 def storytelling_report(spark: SparkSession, families: dict[str, DataFrame | None],

@@ -63,6 +63,11 @@ REVIEWED_MOVIE = _schema(
 )
 
 API_CATALOG_DOC = _results(CATALOG_ITEM, "ingested_at string, source string")
+# Both catalog shapes at once: an entry has the fields of its own source.
+CATALOG_DOC = _results(
+    T.StructType(CATALOG_ITEM.fields + [f for f in SCRAPED_ITEM.fields if f.name not in CATALOG_ITEM.names]),
+    "total bigint, ingested_at string, source string",
+)
 SCRAPED_CATALOG_DOC = _results(SCRAPED_ITEM, "total bigint, ingested_at string, source string")
 TITLE_REVIEWS_DOC = _results(REVIEWED_TITLE, "total_movies bigint, ingested_at string, source string")
 USER_REVIEWS_DOC = _results(REVIEWED_MOVIE, "total_movies bigint, ingested_at string, source string")

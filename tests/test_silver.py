@@ -16,8 +16,11 @@ STAMP = "20250102_030405.json"
 
 @pytest.fixture
 def raw(tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+
     def write(name, document):
-        (tmp_path / name).write_text(json.dumps(document, indent=1))
+        (folder / name).write_text(json.dumps(document, indent=1))
 
     write(f"tmdb_now_playing_{STAMP}", {
         "results": [
@@ -38,8 +41,8 @@ def raw(tmp_path):
         {"movie": {"id": 1, "title": "The Film", "genre_ids": [1]}, "total_reviews": 3,
          "reviews": [{"author": "z", "content": "txt", "rating": 8, "review_id": "r1"},
                      {"author": "late", "review_id": "r1"}, {"review_id": None}]}]})
-    (tmp_path / f"tmdb_trending_movie_day_{STAMP}").write_text("{not json")
-    return tmp_path
+    (folder / f"tmdb_trending_movie_day_{STAMP}").write_text("{not json")
+    return folder
 
 
 def at():
@@ -139,3 +142,27 @@ def test_unreadable_run_is_skipped(spark, tmp_path):
     bad.mkdir()
     (bad / "part-0.parquet").write_text("junk")
     assert [r.id for r in snapshots.read_family_drift(spark, base, "f").collect()] == ["1"]
+
+
+def test_both_runs(spark, raw, tmp_path):
+    from review_engine import jobs
+    from review_engine.operators.governance import Run
+
+    silver, gold, known = (str(tmp_path / n) for n in ("silver", "gold", "manifest"))
+    summary = jobs.run_silver(spark, str(raw), silver, known, "20250103_000000", AT)
+    assert {r.family: r.rows for r in summary.collect()} == {
+        "silver_titles": 2, "silver_rt_reviews": 2, "silver_tmdb_reviews": 1}
+    # nothing is left for a second run
+    assert jobs.run_silver(spark, str(raw), silver, known, "20250104_000000", AT).count() == 0
+    assert manifest.load_manifest(spark, known).count() == 5
+
+    lexicon = small_table(spark, "word string, polarity double, intensity double", [("txt", 0.4, None)])
+    jobs.run_gold(spark, silver, gold, Run("20250105_000000", "2025-01-05T00:00:00"), lexicon)
+    facts = {r.metric_name: r.value for r in snapshots.scan_family(spark, gold, "governance").collect()}
+    assert facts["total_records_titles"] == 2.0 and facts["null_rate_titles_critics_score"] == 50.0
+    assert facts["schema_compliance_rate_rt_reviews"] == 50.0 and facts["volume_rt_reviews_rottentomatoes"] == 2.0
+    story = {r.metric_name: (r.dimension_value, r.value) for r in snapshots.scan_family(spark, gold, "storytelling").collect()}
+    assert story["rt_sentiment_POSITIVE"] == ("POSITIVE", 1.0) and story["rt_sentiment_UNKNOWN"] == ("UNKNOWN", 1.0)
+    assert story["tmdb_sentiment_POSITIVE"] == ("POSITIVE", 1.0)  # no label in the data: filled from text
+    assert story["rt_critic_vs_audience_the film"] == ("the film", 90.0) and story["tmdb_avg_rating"] == ("tmdb", 8.0)
+    assert story["rt_reviewer_rank_1"] == ("A", 1.0)
