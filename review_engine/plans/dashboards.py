@@ -8,7 +8,7 @@ from review_engine.operators import marts, storytelling as st
 from review_engine.operators.shaping import BANNED_KEYWORDS
 from review_engine.plans import gold, opinion, quality
 from review_engine.plans.registry import query
-from review_engine.plans.tables import RUN, SPECS, critic_reviews, families, table
+from review_engine.plans.tables import RUN, SPECS, families, table
 
 GOV = f"WITH facts AS ({quality.REPORT_SQL}) "
 STO = f"WITH facts AS ({opinion.REPORT_SQL}) "
@@ -86,18 +86,15 @@ def mart_sentiment_trend(spark, folder):
 
 
 BANNED_SQL = ", ".join(f"'{w}'" for w in BANNED_KEYWORDS)
-# Every keyword is a fact here, not only the ten most frequent, so that the filter has work to do.
-KEYWORD_FACTS_SQL = opinion.STORY_SQL + opinion.keywords_sql("critic_reviews").replace(" ORDER BY n DESC, token LIMIT 10", "")
 
 
-@query("mart_keywords", f"""
-WITH facts AS ({KEYWORD_FACTS_SQL}), named AS (
-  SELECT regexp_replace(lower(trim(dimension_value)), '[^a-z]', '', 'g') AS keyword, family, value FROM facts)
+@query("mart_keywords", STO + f""", named AS (
+  SELECT regexp_replace(lower(trim(dimension_value)), '[^a-z]', '', 'g') AS keyword, family, value
+  FROM facts WHERE aggregation_type = 'top_keywords')
 SELECT keyword, family, sum(value) AS value FROM named WHERE length(keyword) >= 3 AND keyword NOT IN ({BANNED_SQL})
 GROUP BY 1, 2 ORDER BY value DESC, keyword, family LIMIT 12""")
 def mart_keywords(spark, folder):
-    facts = st.top_keywords(critic_reviews(spark, folder), SPECS["critic_reviews"], RUN, k=2_000_000_000)
-    return marts.keywords(facts)
+    return marts.keywords(gold.storytelling(spark, folder))
 
 
 @query("mart_sources", STO + """
