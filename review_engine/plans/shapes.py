@@ -204,7 +204,7 @@ FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS items FROM conversati
 LEFT JOIN conversations f ON f.conv_id = c.conv_id AND f.turn = 0""")
 def merge_pages(spark, folder):
     pages = table(spark, folder, "conversations").withColumn("items", F.split("text", "\n"))
-    return flatten.explode_pages(pages, "conv_id", "turn", "items", ["role"], first_page=0).withColumnRenamed("item", "item")
+    return flatten.explode_pages(pages, "conv_id", "turn", "items", ["role"], first_page=0)
 
 
 @query("nest_children", """
