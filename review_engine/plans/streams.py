@@ -65,7 +65,7 @@ def stream_trend(spark: SparkSession, folder: str, width: str) -> DataFrame:
     counted = trend.sentiment_trend(events, "ts", "label", "30 days", width)
     output, checkpoint = shared_path(spark, "trend"), shared_path(spark, "trend_checkpoint")
     finish(ingest.publish_complete(counted, output, checkpoint))
-    return spark.read.parquet(output)
+    return ingest.newest_batch(spark, output)
 
 
 @query("stream_sentiment_trend", trend_sql("date_trunc('day', ts)"))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from review_engine.sources.bronze import source_type
+from review_engine.sources.snapshots import latest
 
 
 def read_parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet",
@@ -75,15 +76,19 @@ def ingest_idempotent(stream: DataFrame, output: str, checkpoint: str) -> Stream
 
 
 def publish_complete(counted: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Running totals, which are small: the whole result replaces the last one."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(output)
+    """Running totals, which are small: every batch is a whole result of its own.
 
+    A reader takes the newest batch, so it never sees a result half replaced.
+    """
     return (
-        counted.writeStream.foreachBatch(write)
+        counted.writeStream.foreachBatch(batch_writer(output))
         .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def newest_batch(spark: SparkSession, output: str) -> DataFrame:
+    """The result of the newest batch of running totals."""
+    return latest(spark.read.parquet(output), "batch_id").drop("batch_id")

@@ -65,10 +65,16 @@ def test_dedup_equals_batch(spark, source, tmp_path, salts):
 @pytest.mark.parametrize("width", ["1 day", "7 days"])
 def test_trend_equals_batch(spark, source, tmp_path, width):
     df, path = source
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def publish():
+        events = ingest.read_parquet_stream(spark, path, df.schema)
+        wait(ingest.publish_complete(trend.sentiment_trend(events, "ts", "label", "30 days", width), out, check))
+        return ingest.newest_batch(spark, out)
+
+    assert publish().agg(F.sum("mentions")).first()[0] == df.filter("k < 20").count()
     add_rest(df, path)
-    stream = trend.sentiment_trend(ingest.read_parquet_stream(spark, path, df.schema), "ts", "label", "30 days", width)
-    wait(ingest.publish_complete(stream, str(tmp_path / "out"), str(tmp_path / "check")))
-    got, expected = spark.read.parquet(str(tmp_path / "out")), trend.sentiment_trend(df, "ts", "label", "30 days", width)
+    got, expected = publish(), trend.sentiment_trend(df, "ts", "label", "30 days", width)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
     assert got.agg(F.sum("mentions")).first()[0] == len(ROWS)
 
