@@ -210,13 +210,15 @@ def hits_of(words: np.ndarray, index: Index) -> list[dict]:
         return []
     overlap = -(-max(PIECE // 64, 2 * max(map(len, index.words))) // SEGMENT) * SEGMENT
     best: dict[int, dict] = {}
+    most: dict[int, tuple[float, float]] = {}
     for begin in range(0, max(1, len(words) - overlap), PIECE):
         piece = words[begin : begin + PIECE + overlap]
         first, size, cosine = windows_of(piece, index)
         for w, i in np.argwhere(cosine >= COSINE):
             item, reach = index.words[i], len(index.words[i])
             found = verified(item, piece[max(0, first[w] - reach) : first[w] + size[w] + reach])
-            if found and found[0] > best.get(i, {"cover": 0})["cover"]:
+            if found and (found[0], cosine[w, i]) > most.get(i, (0.0, 0.0)):
+                most[i] = found[0], cosine[w, i]
                 best[i] = {"item_id": index.items[i], "cosine": float(cosine[w, i]), "cover": found[0],
                            "answer": found[1], "word": int(begin + first[w])}
     return [best[i] for i in sorted(best)]
