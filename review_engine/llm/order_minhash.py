@@ -4,15 +4,17 @@ Shingles are five words (runs of letters and digits, lower case; a text with few
 one shingle). A sketch takes the four least of a text's shingles under one of its hash
 functions, a repeated shingle being told apart by its occurrence number, and keeps them in
 text order: equal sketches tell of shared shingles in the same order. Texts with an equal
-sketch are candidates. A candidate is verified by aligning the two shingle sequences inside
-the band that the threshold allows: aligned shingles over all shingles must reach 0.8.
+sketch are candidates. A candidate is verified on the whole texts: shared shingles over all
+shingles must reach 0.8, and so must, to ``IN_ORDER``, those that a banded alignment of the
+two shingle sequences brings together in order.
 Groups are the connected components of verified links.
 
 Exact copies are one node, so a group of copies costs one sketch. Within a bucket, all
 members are first compared with its most central one (whose buckets are the largest), a
-few rounds of centres for the members still apart; what is then still in different groups
-is compared pair by pair. So pairs grow with the rows, save where a bucket holds
-texts that are truly different, and no link between different texts is passed over.
+few rounds of centres for the members still apart. What is then still in different groups
+is compared all the same: pair by pair in buckets of a few texts, block by block inside
+tasks in larger ones, where only the links come out. So pairs grow with the rows, tasks hold a
+bounded number of texts, and no link between different texts in a bucket is passed over.
 
 Defined results: a null text counts as empty. Texts without words are alike only if equal.
 A key names one document: rows that share a key share its class. A null key is named by its
@@ -33,9 +35,12 @@ from review_engine.llm.components import components
 
 WORDS = 5
 THRESHOLD = 0.8
+IN_ORDER = 0.7
 SKETCHES = 14
 TAKEN = 4
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 2
+FEW = 8
+BLOCK = 512
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -104,20 +109,19 @@ def aligned(x: np.ndarray, y: np.ndarray, band: int) -> int:
 
 
 def similarity(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Aligned shingles over all; 0 where shared shingles, in whatever order, are too few."""
+    """Shared shingles over all; 0 where they are too few, or too few of them align in order."""
     if not len(x) or not len(y):
         return 0.0
     total = len(x) + len(y)
     if min(len(x), len(y)) < threshold * max(len(x), len(y)):
         return 0.0
-    xs, ys = np.unique(labelled(x)), np.unique(labelled(y))
-    shared = len(np.intersect1d(xs, ys, assume_unique=True))
+    shared = len(np.intersect1d(labelled(x), labelled(y), assume_unique=True))
     if shared < threshold * (total - shared):
         return 0.0
-    # At the threshold, so many shingles in all are left unaligned.
-    band = int(total * (1 - threshold) / (1 + threshold)) + 1
+    # So many shingles in all are left unaligned at ``IN_ORDER``.
+    band = int(total * (1 - IN_ORDER) / (1 + IN_ORDER)) + 1
     together = aligned(x, y, band)
-    return together / (total - together)
+    return shared / (total - shared) if together >= IN_ORDER * (total - together) else 0.0
 
 
 def _all_shingles(texts: list[str]) -> Iterator[np.ndarray]:
@@ -203,8 +207,56 @@ def _pair(left: str, right: str) -> list[Column]:
             a["length"].alias("length_a"), b["length"].alias("length_b")]
 
 
+def _links_in_blocks(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components of large buckets (bucket, n, me), found inside tasks.
+
+    A bucket of n members has n / BLOCK blocks; a task gets two of them, at most about 2 BLOCK texts.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("me.node"), blocks).cast("int")
+    dealt = members.select("bucket", "me.node", "me.component", own.alias("own"),
+                           F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("node", "component", "bucket", "own", F.least("own", "other").alias("low"),
+                         F.greatest("own", "other").alias("high"))
+
+    def linked(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        runs = list(_all_shingles(frame["text"].tolist()))
+        sets = [np.unique(labelled(r)) for r in runs]
+        sizes = np.array([len(x) for x in sets])
+        node, component, own = (frame[c].to_numpy() for c in ("node", "component", "own"))
+        shared = _shared(sets)
+        low, high = frame["low"].iloc[0], frame["high"].iloc[0]
+        enough = shared >= threshold * (sizes[:, None] + sizes[None, :] - shared) - 1e-9
+        enough &= (node[:, None] < node[None, :]) & (component[:, None] != component[None, :])
+        if low != high:
+            enough &= own[:, None] != own[None, :]
+        for i, j in np.argwhere(enough):
+            if similarity(runs[i], runs[j], threshold) >= threshold:
+                out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return dealt.join(texts, "node").groupBy("bucket", "low", "high").applyInPandas(linked, "a long, b long")
+
+
+def _shared(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """How many shingles each two of the sets share."""
+    found, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, len(found), columns):
+        a, b = np.searchsorted(at, [first, first + columns])
+        has = np.zeros((len(sets), columns), np.float32)
+        has[row[a:b], at[a:b] - first] = 1
+        total += has @ has.T
+    return total
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """Add ``class_id``, the least key among the documents alike to this one (its own if none is)."""
+    docs = docs.drop("class_id")
     search = _Search(docs, text, key)
     me = F.struct("node", "length", "component").alias("me")
     for _ in range(CENTRE_ROUNDS):
@@ -219,15 +271,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
         pairs = members.join(centres, "bucket").where("me.component <> centre.component").select(*_pair("centre", "me"))
         search.test(pairs, threshold)
     members = search.open_buckets().select("bucket", me)
-    left, right = members.withColumnRenamed("me", "x"), members.withColumnRenamed("me", "y")
+    members = written(members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket"), "omh-rest")
+    few = members.where(F.col("n") <= FEW)
+    left, right = few.withColumnRenamed("me", "x"), few.withColumnRenamed("me", "y")
     rest = left.join(right, "bucket").where("x.node < y.node AND x.component <> y.component").select(*_pair("x", "y"))
     search.test(rest, threshold)
+    search.links = search.links.union(written(_links_in_blocks(members.where(F.col("n") > FEW), search.texts, threshold), "omh-blocks"))
     named = components(search.links)
     classes = search.nodes.select("digest", "node").join(named, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class_id"))
     marked = docs.withColumn("_digest", _digest(F.col(text)))
     return marked.join(classes.withColumnRenamed("digest", "_digest"), "_digest").select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != "class_id"], "class_id")
+        *[F.col(f"`{c}`") for c in docs.columns], "class_id")
 
 
 def one_of_each(classed: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
