@@ -197,5 +197,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             yield pd.DataFrame([predict_one(t, model) for t in batch], columns=["lang_pred", "score"])
 
+    docs = docs.drop("lang_pred", "score")
     return docs.withColumn("_p", predicted(F.col(text))).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], "_p.lang_pred", "_p.score")
+        *[F.col(f"`{c}`") for c in docs.columns], "_p.lang_pred", "_p.score")

@@ -86,6 +86,7 @@ def templates(lines: DataFrame, min_texts: int, similarity: float) -> tuple[Data
 def drop_recurring_lines(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, min_tokens: int = MIN_TOKENS,
                          leading: int = LEADING, similarity: float = SIMILARITY) -> DataFrame:
     """Documents with recurring lines taken out of ``text``; adds ``n_lines`` and ``n_dropped``."""
+    docs = docs.drop("n_lines", "n_dropped")
     recurring, candidates = templates(lines_of(docs, text, min_tokens, leading), min_texts, similarity)
     drops = (candidates.join(recurring, ["leaf", "line_id"], "left_semi")
              .groupBy("t").agg(F.collect_set("line_no").alias("_drops")))
@@ -93,7 +94,7 @@ def drop_recurring_lines(docs: DataFrame, text: str = "text", min_texts: int = M
     joined = marked.join(drops.withColumnRenamed("t", "_t"), "_t", "left")
     lines = F.split(F.col(text), "\n")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_drops"), i)), "\n")
-    others = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
+    others = [c for c in docs.columns if c != text]
     return joined.select(
         *[F.col(f"`{c}`") for c in others],
         F.when(F.col("_drops").isNull(), F.col(text)).otherwise(kept).alias(text),

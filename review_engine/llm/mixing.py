@@ -153,12 +153,13 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
     shard's words by half a document at most.
     """
     taken = mix(docs, text, source, key, seed, **options)
-    copies = taken.select("order", F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("copies"))
+    copies = taken.select(F.col("order").alias("_order"), F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")))
+                          .otherwise(0).cast("int").alias("_copies"))
     # Rows of equal key and text have equal order: their copies are dealt among them by number.
-    number = Window.partitionBy("order").orderBy(F.desc("copies"))
-    copies = copies.withColumn("number", F.row_number().over(number))
-    same = Window.partitionBy("order").orderBy(F.lit(0))
-    ordered = docs.withColumn("order", F.xxhash64(F.col(key), F.md5(F.col(text).cast("binary")), F.lit(seed)))
-    joined = ordered.withColumn("number", F.row_number().over(same)).join(copies, ["order", "number"])
-    return (joined.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    number = Window.partitionBy("_order").orderBy(F.desc("_copies"))
+    copies = copies.withColumn("_number", F.row_number().over(number))
+    same = Window.partitionBy("_order").orderBy(F.lit(0))
+    ordered = docs.withColumn("_order", F.xxhash64(F.col(key), F.md5(F.col(text).cast("binary")), F.lit(seed)))
+    joined = ordered.withColumn("_number", F.row_number().over(same)).join(copies, ["_order", "_number"])
+    return (joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -75,6 +75,7 @@ def directory(rows: DataFrame, limit: int, extra_bits: int = EXTRA_BITS) -> Data
 def shard(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: int = SHARD_BYTES,
           extra_bits: int = EXTRA_BITS) -> DataFrame:
     """Add ``n_bytes``, ``shard`` (depth and prefix bits, and a number where bits ran out), ``depth``, ``shard_bytes``."""
+    docs = docs.drop("n_bytes", "shard", "depth", "shard_bytes")
     marks = docs.withColumns({
         "_hash": hash_bits(F.col(key), F.col(text)),
         "n_bytes": F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")})
@@ -83,18 +84,19 @@ def shard(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: int =
     rounds = [r["bits"] for r in cells.select("bits").distinct().collect()]
     by_round = None
     for bits in sorted(rounds):
-        own = cells.where(F.col("bits") == bits).select("prefix", "depth", "shard_prefix", "shard_bytes")
-        part = marks.withColumn("prefix", _prefix(F.col("_hash"), bits)).join(own, "prefix").drop("prefix")
+        own = cells.where(F.col("bits") == bits).select(
+            F.col("prefix").alias("_prefix"), "depth", F.col("shard_prefix").alias("_shard_prefix"), "shard_bytes")
+        part = marks.withColumn("_prefix", _prefix(F.col("_hash"), bits)).join(own, "_prefix").drop("_prefix")
         by_round = part if by_round is None else by_round.unionByName(part)
     if by_round is None:
-        by_round = marks.limit(0).withColumns({"depth": F.lit(0), "shard_prefix": F.lit(0).cast("long"), "shard_bytes": F.lit(0).cast("long")})
+        by_round = marks.limit(0).withColumns({"depth": F.lit(0), "_shard_prefix": F.lit(0).cast("long"), "shard_bytes": F.lit(0).cast("long")})
     bits_text = F.when(F.col("depth") == 0, F.lit("")).otherwise(
-        F.lpad(F.conv(F.col("shard_prefix").cast("string"), 10, 2), HASH_BITS, "0"))
-    label = F.concat(F.lit("s"), F.expr(f"substring(lpad(bits_text, {HASH_BITS}, '0'), {HASH_BITS} - depth + 1, depth)"))
-    named = by_round.withColumn("bits_text", bits_text).withColumn("shard", label)
+        F.lpad(F.conv(F.col("_shard_prefix").cast("string"), 10, 2), HASH_BITS, "0"))
+    label = F.concat(F.lit("s"), F.expr(f"substring(lpad(_bits_text, {HASH_BITS}, '0'), {HASH_BITS} - depth + 1, depth)"))
+    named = by_round.withColumn("_bits_text", bits_text).withColumn("shard", label)
     if HASH_BITS in rounds:
         named = _numbered(named, limit)
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "shard", "depth", "shard_bytes")],
+    return named.select(*[F.col(f"`{c}`") for c in docs.columns],
                         "n_bytes", "shard", "depth", "shard_bytes")
 
 
