@@ -58,10 +58,11 @@ def _decode_piece(piece: Column) -> Column:
     ref = F.regexp_extract(piece, REFERENCE, 1)
     rest = F.substr(piece, F.length(ref) + 1)
     digits = F.rtrim(ref, F.lit(";"))
+    significant = F.regexp_replace(digits, "^#[xX]0*(?=.)", "")
     hexadecimal = ref.rlike("^#[xX]")
     number = F.when(
         hexadecimal,
-        F.when(F.length(digits) <= 12, F.conv(F.substr(digits, F.lit(3)), 16, 10).try_cast("bigint")),
+        F.when(F.length(significant) <= 10, F.conv(significant, 16, 10).try_cast("bigint")),
     ).otherwise(F.substr(digits, F.lit(2)).try_cast("bigint"))
     named = F.try_element_at(_entity_map(), ref)
     legacy = F.regexp_extract(piece, _legacy_pattern(), 1)

@@ -72,10 +72,6 @@ def release_year(date: Column) -> Column:
     return F.year(date)
 
 
-def day_text(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
-
-
 def run_stamp(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd_HHmmss")
 
@@ -94,22 +90,14 @@ def double_of(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def zero_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0.0))
-
-
 def parse_percent(c: Column) -> Column:
     return safe_double(F.replace(c, F.lit("%"), F.lit("")))
 
 
 def parse_flag(c: Column) -> Column:
-    """Text to true, false or NULL."""
+    """Text to true, false or NULL; a number is true unless it is zero."""
     text = F.lower(strip(c.cast("string")))
-    return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
-
-
-def flag_from_number(c: Column) -> Column:
-    return c != 0
+    return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False).otherwise(safe_double(text) != 0)
 
 
 def ids_text(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_engine import schemas
-from review_engine.operators import flatten, governance, storytelling
+from review_engine.operators import flatten, governance, merge, storytelling
 from review_engine.operators.governance import Run
 from review_engine.session import configure
 from review_engine.sources import bronze, manifest, snapshots
@@ -43,7 +43,9 @@ def run_silver(spark: SparkSession, raw: str, silver: str, manifest_path: str, r
     for family, (schema, transform) in SILVER_STEPS.items():
         if family in paths:
             table = transform(bronze.read_documents(spark, sorted(paths[family]), schema), at)
-            path = snapshots.write_snapshot(table, silver, family, run_stamp)
+            path = snapshots.write_snapshot_if_any(table, silver, family, run_stamp)
+            if path is None:
+                continue
             written = spark.read.parquet(f"{path}/run_stamp={run_stamp}")
             outputs[family] = (written, path)
     everything = [(p,) for names in paths.values() for p in names]
@@ -59,6 +61,12 @@ def run_gold(spark: SparkSession, silver: str, gold: str, run: Run, lexicon: Dat
     families = {
         name: snapshots.read_family_drift(spark, silver, f"silver_{name}") for name in schemas.SILVER_SPECS
     }
+    # Facts are about the family's own columns, not the run folder's name or joined copies of typed columns.
+    families = {
+        name: df if df is None else df.select(
+            *[c for c in df.columns if c != "run_stamp" and not c.endswith(merge.ALL_SUFFIX)])
+        for name, df in families.items()
+    }
     quality = governance.governance_report(spark, families, schemas.SILVER_SPECS, run)
     snapshots.write_snapshot(quality, gold, "governance", run.run_stamp)
     labelled = {

@@ -19,7 +19,7 @@ from review_engine.functions.parsing import (
 )
 from review_engine.functions.text import canonical_title, normalize_space, to_null
 from review_engine.operators.dedup import keep_first
-from review_engine.operators.merge import ORDINAL_FILE, ORDINAL_POSITION, file_part, merge_entities
+from review_engine.operators.merge import ALL_SUFFIX, ORDINAL_FILE, ORDINAL_POSITION, merge_entities
 from review_engine.operators.shaping import conform, require
 from review_engine.sources.bronze import source_type
 
@@ -153,21 +153,22 @@ def flatten_titles(api: DataFrame | None, scraped: DataFrame | None, processed_a
 def transform_titles(api: DataFrame | None, scraped: DataFrame | None, processed_at: Column) -> DataFrame:
     """Silver titles: flatten, drop rows without a title, dedup, merge per title.
 
-    Text columns hold all distinct values of a title; typed columns the first.
+    Text columns hold all distinct values of a title; typed columns the first, with all of
+    them as text beside it.
     """
     rows = require(flatten_titles(api, scraped, processed_at), "canonical_title")
     order = F.struct(F.col("bronze_file_name").alias(ORDINAL_FILE), F.col("_pos").alias(ORDINAL_POSITION))
     rows = keep_first(rows.withColumn("_ord", order), schemas.TITLES_KEYS, [F.col("_ord")])
     fields = [f for f in schemas.TITLES.fields if f.name != "canonical_title"]
+    typed = [f.name for f in fields if not isinstance(f.dataType, T.StringType)]
     merged = merge_entities(
         rows,
         "canonical_title",
         [f.name for f in fields if isinstance(f.dataType, T.StringType)],
         "_ord",
-        first_columns=[f.name for f in fields if not isinstance(f.dataType, T.StringType)],
-        part_of=file_part,
+        first_columns=typed,
     )
-    return conform(merged, schemas.TITLES)
+    return conform(merged, schemas.TITLES, keep=tuple(c + ALL_SUFFIX for c in typed))
 
 
 # --- reviews -----------------------------------------------------------------

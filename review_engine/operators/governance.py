@@ -160,10 +160,10 @@ def _frequency(df: DataFrame, spec: FamilySpec, m: _Measures) -> None:
 
 
 def _definitions(spec: FamilySpec, m: _Measures) -> None:
-    """The fixed rows of a family that has rows."""
+    """The fixed rows of a family, whether it has rows or not."""
     for suffix, title in DEFINITIONS:
         metric = text_literal(f"governance_definition_{suffix}")
-        m.entries.append(_entry("definition", metric, title, "CASE WHEN _rows > 0 THEN 1.0D END", "definition"))
+        m.entries.append(_entry("definition", metric, title, "1.0D", "definition"))
 
 
 PROFILE_PARTS = ("null_rate", "volume", "text", "compliance", "frequency", "definition")

@@ -1,29 +1,22 @@
 """Merging the rows of one entity, and nesting children below a parent.
 
-Both gather values per key, and a key may be hot. Values are made distinct in
-the map tasks first; what is left of an oversized key is spread over several
-rows (``part``), each covering a bounded range of the row ordinal. Joining the
-parts of a key in order gives its whole text; nothing is dropped.
+Values are made distinct in the map tasks first; then an entity is one row, whatever
+its size. Who must not gather an entity's values into one cell reads them in the long form
+(``distinct_values``), which is complete and spreads a hot entity over tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_engine.functions.text import to_null
 
-# A merged cell longer than this is spread over parts.
-CELL_CHARS = 4_000_000
-# Ordinals covered by one part; with unique ordinals this bounds its rows.
-PART_ORDINALS = 100_000
 # Field names of an ordinal made of a file and a position in it.
 ORDINAL_FILE = "file"
 ORDINAL_POSITION = "position"
-# Children nested into one row.
-CHILDREN_PER_PART = 100_000
+# Name of the joined text of a column that keeps its first value, in its type, under its own name.
+ALL_SUFFIX = "_all"
 
 
 def distinct_values(df: DataFrame, key: str, columns: list[str], ordinal: str) -> DataFrame:
@@ -44,49 +37,30 @@ def distinct_values(df: DataFrame, key: str, columns: list[str], ordinal: str) -
     )
 
 
-def number_part(ordinal: Column) -> Column:
-    return F.floor(ordinal / PART_ORDINALS).cast("bigint")
-
-
-def file_part(ordinal: Column) -> Column:
-    """Part of an ordinal of the form (file name, position)."""
-    block = F.floor(ordinal[ORDINAL_POSITION] / PART_ORDINALS).cast("bigint")
-    return F.concat(ordinal[ORDINAL_FILE], F.lit("#"), F.lpad(block.cast("string"), 12, "0"))
-
-
 def merge_entities(
     df: DataFrame,
     key: str,
     columns: list[str],
     ordinal: str,
     first_columns: list[str] | tuple[str, ...] = (),
-    cell_chars: int = CELL_CHARS,
-    part_of: Callable[[Column], Column] = number_part,
 ) -> DataFrame:
     """One row per key: in each column its distinct values in order of appearance, joined by ``", "``.
 
-    ``first_columns`` give their first value only. ``ordinal`` is unique and
-    orders the rows. ``part`` is NULL unless the cells of a key are longer than
-    ``cell_chars``; then ``part_of`` maps its ordinals, in order, to parts.
+    ``first_columns`` keep their type and give their first value; the joined text of all
+    their values stands beside it, under the name with ``_all``. ``ordinal`` is unique and orders the rows.
     """
     values = distinct_values(df, key, [*columns, *first_columns], ordinal)
-    oversized = (
-        values.groupBy(key, "column_name")
-        .agg(F.sum(F.length("value")).alias("chars"))
-        .filter(F.col("chars") > cell_chars)
-        .select(key, F.lit(True).alias("_split"))
-        .distinct()
-    )
-    placed = values.join(oversized, key, "left").withColumn("part", F.when(F.col("_split"), part_of(F.col("first_ordinal"))))
-    return placed.groupBy(key, "part").agg(
-        *[
-            _joined(F.collect_list(F.when(F.col("column_name") == c, F.struct("first_ordinal", "value")))).alias(c)
-            for c in columns
-        ],
-        *[
-            F.min_by("value", F.when(F.col("column_name") == c, F.col("first_ordinal"))).alias(c)
-            for c in first_columns
-        ],
+    pairs = {
+        c: F.collect_list(F.when(F.col("column_name") == c, F.struct("first_ordinal", "value")))
+        for c in [*columns, *first_columns]
+    }
+    firsts = [
+        F.min_by("value", F.when(F.col("column_name") == c, F.col("first_ordinal"))).alias(c) for c in first_columns
+    ]
+    return values.groupBy(key).agg(
+        *[_joined(pairs[c]).alias(c) for c in columns],
+        *firsts,
+        *[_joined(pairs[c]).alias(c + ALL_SUFFIX) for c in first_columns],
     )
 
 
@@ -95,22 +69,9 @@ def _joined(pairs: Column) -> Column:
     return F.nullif(F.array_join(ordered, ", "), F.lit(""))
 
 
-def nest_children(
-    df: DataFrame,
-    parent: str,
-    ordinal: str,
-    fields: list[str],
-    name: str = "children",
-    part_ordinals: int = CHILDREN_PER_PART,
-) -> DataFrame:
-    """Children as an ordered array of structs per parent, with their count.
-
-    ``ordinal`` numbers the children of a parent. A parent with more than
-    ``part_ordinals`` of them continues in further parts.
-    """
-    part = F.floor(F.col(ordinal) / part_ordinals).cast("bigint")
-    return (
-        df.groupBy(parent, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct(ordinal, *[f for f in fields if f != ordinal]))).alias(name))
-        .withColumn("total_" + name, F.size(name).cast("bigint"))
+def nest_children(df: DataFrame, parent: str, ordinal: str, fields: list[str], name: str = "children") -> DataFrame:
+    """One row per parent: its children as an ordered array of structs, and how many there are."""
+    return df.groupBy(parent).agg(
+        F.array_sort(F.collect_list(F.struct(ordinal, *[f for f in fields if f != ordinal]))).alias(name),
+        F.count(F.lit(1)).alias("total_" + name),
     )

@@ -44,6 +44,16 @@ def where_in(df: DataFrame, column: str, values, keep: bool = True) -> DataFrame
     return df.filter(listed if keep else F.col(column).isNull() | ~listed)
 
 
+def top_critics_only(df: DataFrame, flag: str = "is_top_critic") -> DataFrame:
+    """Reviews of top critics; an unknown flag is not one."""
+    return df.filter(F.col(flag))
+
+
+def verified_only(df: DataFrame, flag: str = "is_verified") -> DataFrame:
+    """Verified audience reviews; an unknown flag is not one."""
+    return df.filter(F.col(flag))
+
+
 def meaningful_keywords(df: DataFrame, keyword: str, value: str) -> DataFrame:
     """Letters-only keywords outside the ban list, of three letters or more, with a numeric value."""
     return (

@@ -24,7 +24,12 @@ def val_shape(spark, folder):
     return v.shape(families(spark, folder))
 
 
-@query("val_schema")
+SCHEMA_TYPES = {"review_id": "bigint", "critics_score": "double", "audience_score": "double"}
+
+
+@query("val_schema", FAMILY_SQL + "\nUNION ALL\n".join(
+    f"SELECT {i}::INTEGER AS position, '{c}' AS name, '{SCHEMA_TYPES.get(c, 'string')}' AS type, true AS nullable, "
+    f"count({c}) AS present FROM critic_reviews" for i, c in enumerate(COLUMNS["critic_reviews"])))
 def val_schema(spark, folder):
     return v.schema_rows(critic_reviews(spark, folder))
 

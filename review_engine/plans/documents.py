@@ -59,16 +59,17 @@ def title_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
 
 
 def review_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Review documents with both arrays, one title per conversation: users are the audience."""
+    """Review documents with both arrays, one title per conversation: users are the audience, all others critics."""
     talks = nest_children(table(spark, folder, "conversations"), "conv_id", "turn", ["role", "text"], "turns")
-    pick = lambda role, item: F.transform(F.filter("turns", lambda t: t["role"] == role), item)
+    of_user = lambda t: t["role"] == "user"
+    pick = lambda chosen, item: F.transform(F.filter("turns", chosen), item)
     text = F.lit(None).cast("string")
-    critics = pick("assistant", lambda t: F.struct(
+    critics = pick(lambda t: ~of_user(t), lambda t: F.struct(
         F.concat(F.lit("critic "), t["turn"].cast("string")).alias("critic"), text.alias("publication"),
         t["text"].alias("review_text"), F.lit("POSITIVE").alias("sentiment"), text.alias("original_score"),
         F.lit("Yes").alias("is_top_critic"), F.lit("2024-01-05T10:00:00+02:00").alias("date"), text.alias("source_url"),
         text.alias("publication_review_url"), text.alias("scraped_at")))
-    audience = pick("user", lambda t: F.struct(
+    audience = pick(of_user, lambda t: F.struct(
         F.concat(F.lit("user "), t["turn"].cast("string")).alias("user"), t["turn"].cast("string").alias("rating"),
         F.lit("0").alias("is_verified"), t["text"].alias("review_text"), F.lit("junk").alias("date"),
         text.alias("source_url"), text.alias("scraped_at")))

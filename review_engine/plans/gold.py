@@ -1,8 +1,6 @@
-"""The gold layer: fact tables written once per session and read by every mart.
+"""The gold layer: a fact table is written to the shared folder, and a mart reads the newest one.
 
-Recomputing a report for each mart would scan all families each time. As in any
-layered pipeline, a report is a stored snapshot in the shared folder, and a mart
-reads the newest one.
+A query writes its snapshot anew from the tables as they are; nothing is kept in the process.
 """
 
 from __future__ import annotations
@@ -18,17 +16,11 @@ from review_engine.schemas import GOVERNANCE_FACT, STORY_FACT
 from review_engine.session import shared_path
 from review_engine.sources import snapshots
 
-_BASES: dict[tuple[str, str, str], str] = {}
-
-
 def _stored(spark: SparkSession, folder: str, name: str, schema: T.StructType,
             build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _BASES:
-        base = shared_path(spark, "gold")
-        snapshots.write_snapshot(build(spark, folder), base, name, RUN.run_stamp)
-        _BASES[key] = base
-    return snapshots.latest_or_empty(spark, _BASES[key], name, schema)
+    base = shared_path(spark, "gold")
+    snapshots.write_snapshot(build(spark, folder), base, name, RUN.run_stamp)
+    return snapshots.latest_or_empty(spark, base, name, schema)
 
 
 def governance(spark: SparkSession, folder: str) -> DataFrame:

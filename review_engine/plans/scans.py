@@ -19,14 +19,16 @@ PREFIXES = [*SOURCE_TYPE_BY_PREFIX, "other_"]
 # --- files and routing -------------------------------------------------------
 
 
-@query("src_file_listing")
-def src_file_listing(spark, folder):
-    return bronze.list_files(spark, folder, "*.parquet", recursive=True).select("file_name", "bytes")
+INVENTORY_SQL = """SELECT doc_id::VARCHAR AS file_name, 1::BIGINT AS files, round(n_chars / (1024.0 * 1024), 2)::DOUBLE AS size_mb
+FROM documents UNION ALL
+SELECT 'TOTAL', count(*)::BIGINT, round(sum(n_chars) / (1024.0 * 1024), 2)::DOUBLE FROM documents"""
 
 
-@query("file_inventory")
+@query("file_inventory", INVENTORY_SQL)
 def file_inventory(spark, folder):
-    return bronze.file_inventory(bronze.list_files(spark, folder, "*.parquet", recursive=True))
+    """The inventory of a listing in which each document stands for a file."""
+    listing = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("file_name"), F.col("n_chars").alias("bytes"))
+    return bronze.file_inventory(listing)
 
 
 def document_file(number: Column) -> Column:

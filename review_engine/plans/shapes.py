@@ -67,10 +67,13 @@ def sql_first_seen(column: str, relation: str, key: str = "canonical_title", ord
 
 @query("silver_titles", f"""
 WITH rows AS (SELECT *, row_number() OVER (ORDER BY bronze_file_name, pos) AS ord FROM ({PARTS_SQL}))
-SELECT t.k AS canonical_title, t.source_title, t.source AS source, u.url, f.first_id AS source_id, f.first_popularity AS popularity
+SELECT t.k AS canonical_title, t.source_title, t.source AS source, u.url, f.first_id AS source_id, f.first_popularity AS popularity,
+       i.source_id AS source_id_all, r.release_date AS release_date_all
 FROM (SELECT a.k, source_title, source FROM {sql_first_seen('source_title', 'rows').replace('AS m_source_title', 'AS a')}
       JOIN {sql_first_seen('source', 'rows').replace('AS m_source', 'AS b')} ON a.k = b.k) AS t
 LEFT JOIN {sql_first_seen('url', 'rows').replace('AS m_url', 'AS u')} ON t.k = u.k
+LEFT JOIN {sql_first_seen('source_id', 'rows').replace('AS m_source_id', 'AS i')} ON t.k = i.k
+LEFT JOIN {sql_first_seen('release_date', 'rows').replace('AS m_release_date', 'AS r')} ON t.k = r.k
 JOIN (SELECT canonical_title AS k, arg_min(source_id, ord) FILTER (WHERE source_id IS NOT NULL) AS first_id,
              arg_min(popularity, ord) FILTER (WHERE popularity IS NOT NULL) AS first_popularity
       FROM rows GROUP BY 1) AS f ON t.k = f.k""")
@@ -78,18 +81,19 @@ def silver_titles(spark, folder):
     """The whole titles step: flatten, require, dedup, merge."""
     api, scraped = docs.title_documents(spark, folder)
     merged = flatten.transform_titles(api, scraped, processed_at())
-    return merged.select("canonical_title", "source_title", "source", "url", "source_id", "popularity")
+    return merged.select("canonical_title", "source_title", "source", "url", "source_id", "popularity",
+                         "source_id_all", "release_date_all")
 
 
 TWO_ARRAYS_SQL = f"""
 SELECT 'talk ' || conv_id AS canonical_title, CASE role WHEN 'user' THEN 'audience' ELSE 'critic' END AS review_type,
        CASE role WHEN 'user' THEN 'user ' ELSE 'critic ' END || turn AS reviewer_name, trim(text) AS review_text,
        {sql_clean('text')} AS review_text_clean,
-       CASE role WHEN 'assistant' THEN 'POSITIVE' END AS sentiment_label,
+       CASE WHEN role <> 'user' THEN 'POSITIVE' END AS sentiment_label,
        CASE role WHEN 'user' THEN CAST(turn AS DOUBLE) END AS rating,
-       CASE role WHEN 'user' THEN false END AS is_verified, CASE role WHEN 'assistant' THEN true END AS is_top_critic,
-       CASE role WHEN 'assistant' THEN '2024-01-05 08:00:00' END AS review_date, 90.0 AS critics_score
-FROM conversations WHERE role IN ('user', 'assistant')"""
+       CASE role WHEN 'user' THEN false END AS is_verified, CASE WHEN role <> 'user' THEN true END AS is_top_critic,
+       CASE WHEN role <> 'user' THEN '2024-01-05 08:00:00' END AS review_date, 90.0 AS critics_score
+FROM conversations"""
 TWO_ARRAYS_COLUMNS = ("canonical_title", "review_type", "reviewer_name", "review_text", "review_text_clean",
                       "sentiment_label", "rating", "is_verified", "is_top_critic")
 
@@ -104,7 +108,7 @@ def flatten_two_arrays(spark, folder):
     return _two_arrays(flatten.flatten_title_reviews(docs.review_documents(spark, folder), processed_at()))
 
 
-@query("silver_title_reviews", TWO_ARRAYS_SQL.replace("90.0 AS", "CAST(90.0 AS DOUBLE) AS") + " AND trim(text) <> ''")
+@query("silver_title_reviews", TWO_ARRAYS_SQL.replace("90.0 AS", "CAST(90.0 AS DOUBLE) AS") + " WHERE trim(text) <> ''")
 def silver_title_reviews(spark, folder):
     """The whole review step: flatten, require, dedup."""
     return _two_arrays(flatten.transform_title_reviews(docs.review_documents(spark, folder), processed_at()))
@@ -326,7 +330,7 @@ def drop_unparseable(spark, folder):
 def filter_flags(spark, folder):
     flags = table(spark, folder, "labels").select(
         "doc_id", (F.col("quality") == 1).alias("is_top_critic"), (F.col("toxic") == 1).alias("is_verified"))
-    return flags.filter(F.col("is_top_critic") | F.col("is_verified"))
+    return shaping.top_critics_only(flags).union(shaping.verified_only(flags)).distinct()
 
 
 @query("reviews_with_title", """
@@ -376,7 +380,7 @@ FROM (SELECT DISTINCT canonical_title AS k FROM titles) AS names
 {' '.join(f"LEFT JOIN {sql_first_seen(c, 'rows')} ON names.k = m_{c}.k" for c in MERGED)}""")
 def merge_entities(spark, folder):
     rows = titles(spark, folder).withColumn("ord", F.col("source_id"))
-    return merge.merge_entities(rows, "canonical_title", list(MERGED), "ord").drop("part")
+    return merge.merge_entities(rows, "canonical_title", list(MERGED), "ord")
 
 
 @query("merge_values", f"""{FAMILY_SQL}

@@ -45,9 +45,9 @@ def missing_outputs(expected: DataFrame, files: DataFrame, key: str = "file_name
 
 def require_outputs(expected: DataFrame, files: DataFrame, key: str = "file_name") -> None:
     """Fail the run when an expected file is absent or empty."""
-    missing = [row[key] for row in missing_outputs(expected, files, key).select(key).take(20)]
-    if missing:
-        raise FileNotFoundError(f"missing or empty outputs: {', '.join(missing)}")
+    missing = missing_outputs(expected, files, key).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")).first()
+    if missing.n:
+        raise FileNotFoundError(f"{missing.n} outputs missing or empty, the first by name: {missing["first"]}")
 
 
 def source_type(file_name: Column, rules: dict[str, str] = SOURCE_TYPE_BY_PREFIX) -> Column:
@@ -82,29 +82,13 @@ def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """Multi-line JSON documents with a pinned schema and their file name.
 
-    A file that is not valid JSON gives NULL fields, never a failed job.
+    A file that is not valid JSON fails the job, and Spark's error names it. Read as NULL
+    fields its entries would be lost, and the file would count as processed.
     """
     return (
         spark.read.schema(schema)
         .option("multiLine", "true")
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST")
         .json(paths)
         .select("*", F.col("_metadata.file_name").alias("bronze_file_name"))
     )
-
-
-SPREAD_TASKS_PER_CORE = 3
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a scan that has too few partitions to do so.
-
-    Text work is bound by the processor, and a handful of files that cannot be
-    split would leave most cores idle. A scan with enough partitions, which is
-    every large one, is returned as it is: no shuffle. ``key`` should be unique;
-    the rows are then also in place for a later join or grouping by it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() * 2 > cores:
-        return scan
-    return scan.repartition(cores * SPREAD_TASKS_PER_CORE, key)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +12,6 @@ from pyspark.sql.utils import AnalysisException
 from review_engine.functions.text import null_sentinels
 from review_engine.sources.bronze import list_files
 
-logger = logging.getLogger(__name__)
-
 
 def write_snapshot(df: DataFrame, base: str, family: str, run_stamp: str) -> str:
     """Write one run of a family; the same stamp again replaces that run only.
@@ -34,8 +31,16 @@ def write_snapshot(df: DataFrame, base: str, family: str, run_stamp: str) -> str
 
 
 def write_snapshot_if_any(df: DataFrame, base: str, family: str, run_stamp: str) -> str | None:
-    """As ``write_snapshot``, but an empty result writes nothing."""
-    return None if df.isEmpty() else write_snapshot(df, base, family, run_stamp)
+    """As ``write_snapshot``, but an empty result writes no run; a run of that stamp left by an earlier attempt is emptied."""
+    if not df.isEmpty():
+        return write_snapshot(df, base, family, run_stamp)
+    stale = f"{base}/{family}/run_stamp={run_stamp}"
+    try:
+        df.sparkSession.read.parquet(stale)
+    except AnalysisException:
+        return None
+    df.limit(0).write.mode("overwrite").parquet(stale)
+    return None
 
 
 def scan_family(spark: SparkSession, base: str, family: str) -> DataFrame:
@@ -81,7 +86,8 @@ def read_family_drift(spark: SparkSession, base: str, family: str) -> DataFrame
     """All runs of a family as text, whatever types each run was written with.
 
     Runs that share a schema are read by one scan, so the plan grows with the
-    number of schemas and not with the number of runs.
+    number of schemas and not with the number of runs. A file that cannot be read fails
+    the job by name: facts over a part of the rows would look like facts over all.
     """
     path = f"{base}/{family}"
     try:
@@ -91,17 +97,11 @@ def read_family_drift(spark: SparkSession, base: str, family: str) -> DataFrame
         return None
     groups: dict[str, list[str]] = {}
     for folder in folders:
-        try:
-            schema = spark.read.parquet(folder).schema
-        except Exception as error:  # an unreadable run must not stop the others
-            logger.warning("skipping %s: %s", folder, str(error).splitlines()[0])
-            continue
-        groups.setdefault(schema.json(), []).append(folder)
+        groups.setdefault(spark.read.parquet(folder).schema.json(), []).append(folder)
     combined = None
     for schema_json, members in groups.items():
         scan = (
             spark.read.schema(T.StructType.fromJson(json.loads(schema_json)))
-            .option("ignoreCorruptFiles", "true")
             .option("basePath", path)
             .parquet(*members)
         )

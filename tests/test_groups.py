@@ -47,29 +47,22 @@ MERGE_ROWS = [(0, "t", "a", 1.5), (1, "t", None, None), (2, "t", " a ", 2.5), (3
 def test_merge_group(spark):
     df = small_table(spark, "ord bigint, t string, c string, n double", MERGE_ROWS)
     rows = {r.t: r for r in merge.merge_entities(df, "t", ["c"], "ord", first_columns=["n"]).collect()}
-    assert (rows["t"].c, rows["t"].n, rows["t"].part) == ("a, b", "1.5", None)
+    assert (rows["t"].c, rows["t"].n) == ("a, b", "1.5")
     assert (rows["empty"].c, rows["empty"].n) == (None, None)
 
 
-def test_oversized_merge_is_spread_and_stays_whole(spark):
-    df = spark.range(1000).select(
-        F.col("id").alias("ord"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("t"),
-        F.col("id").cast("string").alias("c"))
-    part_of = lambda o: F.floor(o / 100).cast("bigint")
-    rows = merge.merge_entities(df, "t", ["c"], "ord", cell_chars=50, part_of=part_of)
-    hot = sorted((r.part, r.c) for r in rows.filter("t = 'hot'").collect())
-    assert len(hot) == 10
-    assert ", ".join(c for _, c in hot) == ", ".join(str(i) for i in range(0, 1000, 3))
-    assert rows.filter("t <> 'hot'").filter("part IS NOT NULL").count() == 0
-    whole = merge.merge_entities(df, "t", ["c"], "ord").filter("t = 'hot'").first()
-    assert whole.c == ", ".join(c for _, c in hot)
-
-
-def test_nested_children_continue_in_parts(spark):
-    df = spark.range(250).select(F.lit("p").alias("p"), F.col("id").alias("n"))
-    rows = merge.nest_children(df, "p", "n", ["n"], "kids", part_ordinals=100).orderBy("part").collect()
-    assert [r.total_kids for r in rows] == [100, 100, 50]
-    assert [k.n for r in rows for k in r.kids] == list(range(250))
+def test_hot_merge_is_one_whole_row(spark):
+    rows = spark.range(2000).select(F.lit("hot").alias("t"), F.col("id").alias("ord"), (F.col("id") % 700).cast("string").alias("c"),
+                                    F.col("id").alias("n"))
+    row, = merge.merge_entities(rows, "t", ["c"], "ord", first_columns=["n"]).collect()
+    assert row.c == ", ".join(str(i) for i in range(700))
+    assert row.n == "0" and row.n_all == ", ".join(str(i) for i in range(2000))
+
+
+def test_nested_children_of_any_number_are_one_row(spark):
+    rows = spark.range(1050).select((F.col("id") % 1).alias("p"), F.col("id").alias("n"))
+    row, = merge.nest_children(rows, "p", "n", ["n"], "kids").collect()
+    assert row.total_kids == 1050 and [k.n for k in row.kids] == list(range(1050))
 
 
 @pytest.mark.parametrize("exact_rows", [1_000_000, 50, 1])

@@ -41,7 +41,7 @@ def raw(tmp_path):
         {"movie": {"id": 1, "title": "The Film", "genre_ids": [1]}, "total_reviews": 3,
          "reviews": [{"author": "z", "content": "txt", "rating": 8, "review_id": "r1"},
                      {"author": "late", "review_id": "r1"}, {"review_id": None}]}]})
-    (folder / f"tmdb_trending_movie_day_{STAMP}").write_text("{not json")
+    (folder / f"tmdb_trending_movie_day_{STAMP}").write_text('{"results": null}')
     return folder
 
 
@@ -53,13 +53,16 @@ def test_titles(spark, raw):
     api = bronze.read_documents(spark, f"{raw}/tmdb_[nt]*", schemas.API_CATALOG_DOC)
     scraped = bronze.read_documents(spark, f"{raw}/rottentomatoes_at_home_2*", schemas.SCRAPED_CATALOG_DOC)
     df = flatten.transform_titles(api, scraped, at())
-    assert df.schema.simpleString() == schemas.TITLES.simpleString()
+    names = schemas.TITLES.fieldNames()
+    assert df.select(*names).schema.simpleString() == schemas.TITLES.simpleString()
+    assert all(c.endswith("_all") for c in df.columns[len(names):])
     rows = {r.canonical_title: r for r in df.collect()}
     assert set(rows) == {"the film", "b"}
     film = rows["the film"]
     assert (film.source, film.source_title) == ("rottentomatoes, tmdb", "the film, The Film")
     # typed columns keep the first value: the repeated id is dropped before the merge
     assert (film.source_id, film.popularity, film.critics_score) == (1, 7.5, 94.0)
+    assert (film.source_id_all, film.release_year_all) == ("1", "2026, 2024")
     assert str(film.release_date) == "2026-09-03" and film.genre_ids == "[28, 12]"
     assert rows["b"].critics_score is None
 
@@ -135,13 +138,35 @@ def test_snapshots(spark, tmp_path):
     assert snapshots.write_snapshot_if_any(one.limit(0), base, "g", "20250101_000000") is None
 
 
-def test_unreadable_run_is_skipped(spark, tmp_path):
+def test_unreadable_run_fails_by_name(spark, tmp_path):
     base = str(tmp_path)
     snapshots.write_snapshot(small_table(spark, "id bigint", [(1,)]), base, "f", "20250101_000000")
     bad = tmp_path / "f" / "run_stamp=20250102_000000"
     bad.mkdir()
     (bad / "part-0.parquet").write_text("junk")
-    assert [r.id for r in snapshots.read_family_drift(spark, base, "f").collect()] == ["1"]
+    with pytest.raises(Exception, match="part-0.parquet"):
+        snapshots.read_family_drift(spark, base, "f").collect()
+
+
+def test_broken_and_empty_documents(spark, tmp_path):
+    from review_engine import jobs
+
+    raw, silver, known = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "manifest")
+    raw.mkdir()
+    (raw / f"tmdb_now_playing_{STAMP}").write_text('{"results": [], "ingested_at": null}')
+    assert jobs.run_silver(spark, str(raw), silver, known, "20250103_000000", AT).count() == 0
+    assert manifest.load_manifest(spark, known).count() == 1
+    (raw / f"tmdb_movie_reviews_{STAMP}").write_text('{"results": [')
+    with pytest.raises(Exception, match="tmdb_movie_reviews"):
+        jobs.run_silver(spark, str(raw), silver, known, "20250104_000000", AT)
+    assert manifest.load_manifest(spark, known).count() == 1
+
+
+def test_empty_retry_leaves_no_old_rows(spark, tmp_path):
+    rows = small_table(spark, "id bigint", [(1,)])
+    snapshots.write_snapshot(rows, str(tmp_path), "f", "20250101_000000")
+    assert snapshots.write_snapshot_if_any(rows.limit(0), str(tmp_path), "f", "20250101_000000") is None
+    assert snapshots.scan_family(spark, str(tmp_path), "f").count() == 0
 
 
 def test_both_runs(spark, raw, tmp_path):
@@ -161,6 +186,7 @@ def test_both_runs(spark, raw, tmp_path):
     facts = {r.metric_name: r.value for r in snapshots.scan_family(spark, gold, "governance").collect()}
     assert facts["total_records_titles"] == 2.0 and facts["null_rate_titles_critics_score"] == 50.0
     assert facts["schema_compliance_rate_rt_reviews"] == 50.0 and facts["volume_rt_reviews_rottentomatoes"] == 2.0
+    assert not any("run_stamp" in name or name.endswith("_all") for name in facts)
     story = {r.metric_name: (r.dimension_value, r.value) for r in snapshots.scan_family(spark, gold, "storytelling").collect()}
     assert story["rt_sentiment_POSITIVE"] == ("POSITIVE", 1.0) and story["rt_sentiment_UNKNOWN"] == ("UNKNOWN", 1.0)
     assert story["tmdb_sentiment_POSITIVE"] == ("POSITIVE", 1.0)  # no label in the data: filled from text
