@@ -34,13 +34,13 @@ from review_engine.llm.common import groups, word_hashes
 IDF_BITS = 18
 SEGMENT = 8
 WINDOWS = (2, 5)  # in segments
-PIECE = 1 << 15  # words of a text worked on at once
+PIECE = 1 << 13  # words of a text worked on at once
 RANK = 256
 EXTRA = 8
 PASSES = 2
 MOST_COLUMNS = 1 << 16
 SLICE_CHARS = 1 << 22
-COSINE = 0.35
+COSINE = 0.5
 COVER = 0.6
 ANSWER = 0.5
 SHORT = 8
@@ -164,8 +164,12 @@ def common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
 
 def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, float] | None:
     """Shares of the passage and of its closing words found in order in a stretch of text."""
+    needed = COVER if len(item) >= SHORT else 1.0
+    # No subsequence is longer than the number of the passage's words that are there at all.
+    if sum(map(set(region.tolist()).__contains__, item.tolist())) < needed * len(item):
+        return None
     cover = common_subsequence(item, region) / len(item)
-    if cover < (COVER if len(item) >= SHORT else 1.0):
+    if cover < needed:
         return None
     closing = item[-max(3, len(item) // 4) :]
     answer = common_subsequence(closing, region) / len(closing)
@@ -194,14 +198,14 @@ def windows_of(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray,
     wanted = np.zeros(len(starts), bool)
     wanted[needed] = True
     at = np.flatnonzero((columns >= 0) & np.repeat(wanted, SEGMENT)[: len(words)])
-    sums = np.zeros((len(starts) + 1, index.basis.shape[1]))
+    sums = np.zeros((len(starts) + 1, index.basis.shape[1]), np.float32)
     if len(at):
         parts = at // SEGMENT
         begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
         sums[parts[begins] + 1] = np.add.reduceat(weight[at, None] * index.basis[columns[at]], begins)
     np.cumsum(sums, axis=0, out=sums)
     laid = sums[first + size] - sums[first]
-    cosine = laid @ index.latent.T / np.sqrt(table[:, 2:3])
+    cosine = laid @ index.latent.T / np.sqrt(table[:, 2:3].astype(np.float32))
     return first * SEGMENT, size * SEGMENT, cosine
 
 
