@@ -8,13 +8,20 @@ from collections.abc import Callable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from review_engine.session import shared_path
+from review_engine.session import configure, shared_path
 
 # Texts are worked through in groups of about so many characters, to bound memory.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """Session settings of these operators: small batches, as texts can be long."""
+    spark = configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

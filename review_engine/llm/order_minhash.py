@@ -40,7 +40,7 @@ SKETCHES = 14
 TAKEN = 4
 CENTRE_ROUNDS = 2
 FEW = 8
-BLOCK = 512
+BLOCK = 256
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -19,8 +19,8 @@ from review_engine.llm import (
     token_blocks,
     token_counts,
 )
-from review_engine.llm.common import table
-from review_engine.session import configure, shared_path
+from review_engine.llm.common import bounded, table
+from review_engine.session import shared_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -87,7 +87,7 @@ _ALL = (op1_language_id, op2_extendible_sharding, op3_html_extraction, op4_line_
 
 
 def _prepared(run: Run) -> Run:
-    return lambda spark, folder: run(configure(spark), folder)
+    return lambda spark, folder: run(bounded(spark), folder)
 
 
 def runs() -> dict[str, Run]:
