@@ -183,13 +183,13 @@ def windows_of(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray,
     starts = np.arange(0, len(words), SEGMENT)
     energy = np.add.reduceat(weight * weight, starts)
     own = np.add.reduceat(np.where(columns >= 0, weight * weight, 0), starts)
+    sums = [np.concatenate([[0.0], np.cumsum(e, dtype=float)]) for e in (energy, own)]
     chosen = []
     for size in WINDOWS:
         size = min(size, len(starts))
-        count = len(starts) - size + 1
-        whole, part = (np.lib.stride_tricks.sliding_window_view(e, size).sum(axis=1) for e in (energy, own))
+        whole, part = (e[size:] - e[:-size] for e in sums)
         keep = np.flatnonzero(part >= COSINE * COSINE * whole)
-        chosen.append(np.column_stack([keep, np.full(len(keep), size), whole[keep]]) if count else np.empty((0, 3)))
+        chosen.append(np.column_stack([keep, np.full(len(keep), size), whole[keep]]))
     table = np.concatenate(chosen)
     first, size = table[:, 0].astype(int), table[:, 1].astype(int)
     if not len(first):
