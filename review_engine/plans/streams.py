@@ -11,9 +11,9 @@ from review_engine.session import shared_path
 from review_engine.streaming import dedup, ingest, trend
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str, file_column: str | None = None) -> DataFrame:
     schema = table(spark, folder, "events").schema
-    return ingest.read_parquet_stream(spark, folder, schema, "events.parquet")
+    return ingest.read_parquet_stream(spark, folder, schema, "events.parquet", file_column=file_column)
 
 
 def finish(query_) -> None:
@@ -36,10 +36,10 @@ def stream_incremental_ingest(spark, folder):
 
 @query("stream_idempotent_sink", f"SELECT {', '.join(EVENT_COLUMNS)}, CAST(0 AS BIGINT) AS batch_id FROM events")
 def stream_idempotent_sink(spark, folder):
-    """A run repeated from its start, as after a lost checkpoint, replaces its own batches."""
+    """A run repeated from its start, as after a lost checkpoint, replaces what it wrote."""
     output = shared_path(spark, "idempotent")
     for _ in range(2):
-        stream = event_stream(spark, folder).select(*EVENT_COLUMNS)
+        stream = event_stream(spark, folder, "source_file").select(*EVENT_COLUMNS, "source_file")
         finish(ingest.ingest_idempotent(stream, output, shared_path(spark, "idempotent_checkpoint")))
     return spark.read.parquet(output).select(*EVENT_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id"))
 
@@ -64,8 +64,8 @@ def stream_trend(spark: SparkSession, folder: str, width: str) -> DataFrame:
     events = event_stream(spark, folder).withColumn("label", F.expr(LABEL))
     counted = trend.sentiment_trend(events, "ts", "label", "30 days", width)
     output, checkpoint = shared_path(spark, "trend"), shared_path(spark, "trend_checkpoint")
-    finish(ingest.publish_complete(counted, output, checkpoint))
-    return ingest.newest_batch(spark, output)
+    finish(ingest.publish_totals(counted, output, checkpoint, ["period_start", "label"]))
+    return ingest.read_totals(spark, output, counted.schema)
 
 
 @query("stream_sentiment_trend", trend_sql("date_trunc('day', ts)"))

@@ -10,18 +10,21 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from review_engine.sources.bronze import source_type
-from review_engine.sources.snapshots import latest
 
 
 def read_parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet",
-                        files_per_trigger: int = 1000) -> DataFrame:
-    """A folder as a stream; the checkpoint remembers which files were read."""
-    return (
+                        files_per_trigger: int = 1000, file_column: str | None = None) -> DataFrame:
+    """A folder as a stream; the checkpoint remembers which files were read.
+
+    ``file_column`` names a column to add with the name of each row's file.
+    """
+    stream = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(folder)
     )
+    return stream if file_column is None else stream.select("*", F.col("_metadata.file_name").alias(file_column))
 
 
 def read_document_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.json",
@@ -50,45 +53,51 @@ def ingest(stream: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def batch_writer(output: str) -> Callable[[DataFrame, int], None]:
-    """Writer that replaces the partition of its own batch only."""
+def batch_writer(output: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """Writer that replaces the partitions a batch has rows of, and no others."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
             batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy(*keys)
             .parquet(output)
         )
 
     return write
 
 
-def ingest_idempotent(stream: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Batches into partitions named after them: a repeated batch overwrites itself."""
+def ingest_idempotent(stream: DataFrame, output: str, checkpoint: str, file_column: str = "source_file") -> StreamingQuery:
+    """Each input file into a partition of its own name, with the batch it last came in.
+
+    A file is never cut between batches, so a replay overwrites what it wrote before, however
+    it cuts the files into batches. File names must be unique over the input.
+    """
     return (
-        stream.writeStream.foreachBatch(batch_writer(output))
+        stream.writeStream.foreachBatch(batch_writer(output, [file_column]))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def publish_complete(counted: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Running totals, which are small: every batch is a whole result of its own.
+def publish_totals(counted: DataFrame, output: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """Totals by ``keys``, each key's total in a partition of its own.
 
-    A reader takes the newest batch, so it never sees a result half replaced.
+    In update mode a batch brings the totals it changed and replaces only those; older
+    windows are not written again, and the watermark frees their state. A replay ends in
+    the same totals, however it cuts its batches.
     """
     return (
-        counted.writeStream.foreachBatch(batch_writer(output))
-        .outputMode("complete")
+        counted.writeStream.foreachBatch(batch_writer(output, keys))
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def newest_batch(spark: SparkSession, output: str) -> DataFrame:
-    """The result of the newest batch of running totals."""
-    return latest(spark.read.parquet(output), "batch_id").drop("batch_id")
+def read_totals(spark: SparkSession, output: str, schema: T.StructType) -> DataFrame:
+    """The published totals; ``schema`` keeps key columns from being read as other types."""
+    return spark.read.schema(schema).parquet(output).select(*schema.names)

@@ -44,12 +44,26 @@ def test_each_file_once(spark, source, tmp_path):
 
 def test_repeated_batch_replaces_itself(spark, source, tmp_path):
     df, _ = source
-    write = ingest.batch_writer(str(tmp_path / "out"))
+    write = ingest.batch_writer(str(tmp_path / "out"), ["batch_id"])
     for batch, number in ((df.filter("k < 20"), 0), (df.filter("k >= 20"), 1), (df.filter("k >= 20"), 1)):
         write(batch, number)
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(ROWS)
 
 
+def test_replay_in_other_batches(spark, source, tmp_path):
+    df, path = source
+    add_rest(df, path)
+    df.filter("k = 3").coalesce(1).write.mode("append").parquet(path)
+    out = str(tmp_path / "out")
+    for run, files_per_trigger in enumerate((1, 1000, 2)):
+        stream = ingest.read_parquet_stream(spark, path, df.schema, files_per_trigger=files_per_trigger,
+                                            file_column="source_file")
+        wait(ingest.ingest_idempotent(stream, out, str(tmp_path / f"check{run}")))
+        got, expected = spark.read.parquet(out).select(*df.columns), spark.read.parquet(path)
+        assert got.count() == expected.count()
+        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 @pytest.mark.parametrize("salts", [1, 8])
 def test_dedup_equals_batch(spark, source, tmp_path, salts):
     df, path = source
@@ -69,8 +83,9 @@ def test_trend_equals_batch(spark, source, tmp_path, width):
 
     def publish():
         events = ingest.read_parquet_stream(spark, path, df.schema)
-        wait(ingest.publish_complete(trend.sentiment_trend(events, "ts", "label", "30 days", width), out, check))
-        return ingest.newest_batch(spark, out)
+        counted = trend.sentiment_trend(events, "ts", "label", "30 days", width)
+        wait(ingest.publish_totals(counted, out, check, ["period_start", "label"]))
+        return ingest.read_totals(spark, out, counted.schema)
 
     assert publish().agg(F.sum("mentions")).first()[0] == df.filter("k < 20").count()
     add_rest(df, path)
@@ -79,6 +94,26 @@ def test_trend_equals_batch(spark, source, tmp_path, width):
     assert got.agg(F.sum("mentions")).first()[0] == len(ROWS)
 
 
+def test_closed_windows_are_left_alone(spark, tmp_path):
+    path, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+
+    def publish(day, n):
+        rows = [(i, day + dt.timedelta(minutes=i), "POSITIVE") for i in range(n)]
+        small_table(spark, SCHEMA, rows).coalesce(1).write.mode("append").parquet(path)
+        events = ingest.read_parquet_stream(spark, path, SCHEMA)
+        counted = trend.sentiment_trend(events, "ts", "label", "2 days")
+        query = ingest.publish_totals(counted, out, check, ["period_start", "label"])
+        wait(query)
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return {(r.period_start, r.mentions) for r in ingest.read_totals(spark, out, counted.schema).collect()}, states
+
+    assert publish(DAY, 5)[0] == {("2024-01-01", 5)}
+    written = sorted(p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet"))
+    totals, states = publish(DAY + dt.timedelta(days=10), 7)
+    assert totals == {("2024-01-01", 5), ("2024-01-11", 7)} and states[-1] == 1
+    assert written[0] in {p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*.parquet")}
+
+
 def test_document_stream(spark, tmp_path):
     from review_engine import schemas
 
