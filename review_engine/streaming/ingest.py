@@ -87,10 +87,12 @@ def publish_totals(counted: DataFrame, output: str, checkpoint: str, keys: list[
 
     In update mode a batch brings the totals it changed and replaces only those; older
     windows are not written again, and the watermark frees their state. A replay ends in
-    the same totals, however it cuts its batches.
+    the same totals, however it cuts its batches, as long as no row is later than the
+    watermark allows. Partitions are named by a digest, which tells null from empty keys.
     """
+    named = counted.withColumn("total_key", F.md5(F.to_json(F.struct(*keys))))
     return (
-        counted.writeStream.foreachBatch(batch_writer(output, keys))
+        named.writeStream.foreachBatch(batch_writer(output, ["total_key"]))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -99,5 +101,5 @@ def publish_totals(counted: DataFrame, output: str, checkpoint: str, keys: list[
 
 
 def read_totals(spark: SparkSession, output: str, schema: T.StructType) -> DataFrame:
-    """The published totals; ``schema`` keeps key columns from being read as other types."""
+    """The published totals, with the columns of ``schema``."""
     return spark.read.schema(schema).parquet(output).select(*schema.names)
