@@ -169,8 +169,8 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", label: str = "lang",
         yield pd.DataFrame({"weights": [weights.tobytes()],
                             "temperature": [fit_temperature(scores, np.array([k for *_, k in held], int))]})
 
-    # One task holds the bounded sample: at most about rows_per_label vectors of each label.
-    sent = sample.mapInPandas(vectors, "pick long, label int, found binary, vals binary").coalesce(1)
+    # Scanned in many tasks; one then holds the bounded sample: at most about rows_per_label vectors of each label.
+    sent = sample.mapInPandas(vectors, "pick long, label int, found binary, vals binary").repartition(1)
     model = sent.mapInPandas(learned, "weights binary, temperature double").collect()
     if not model:
         return Model([], idf, np.zeros((1 << BITS, 1), np.float32), 1.0)
