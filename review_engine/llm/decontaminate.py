@@ -4,14 +4,18 @@ Words are weighted by inverse document frequency over all documents. The benchma
 passages become TF-IDF rows, whose leading right singular vectors are found by a randomised
 SVD: each task multiplies its passages with a shared random matrix and sends one sketch of
 fixed size; the sketches are added, made orthogonal, and the passes repeated. Windows of
-every document are laid into that latent space and compared with every passage by cosine.
-A window above ``COSINE`` is verified on its words: the longest common subsequence with the
+every document are laid into that latent space and compared with the passages of their
+length: a passage's window is the least of 2, 3, 4, 6, 8, 12 ... segments that holds a stretch
+``STRETCH`` times as long as the passage wherever it begins.
+What words a passage must share with a window is known from the verification, and so the
+least product of the two: that of its lightest words which make up ``COVER`` of it, less what
+the latent space does not hold. A window that reaches it, and has so many of the passage's
+words, is verified on its words: the longest common subsequence with the
 passage must cover ``COVER`` of it, and ``ANSWER`` of its closing words (the answer), so
-paraphrases with words changed, put in or left out are found and chance likeness is not.
+paraphrases with words changed, put in or left out are found and chance likeness is not. No
+window is passed over that could be verified.
 
-A window whose words outside the benchmark's vocabulary outweigh what the cosine could bear
-is passed over before it is laid into the space; its cosine cannot reach the threshold. The
-benchmark is worked through in slices of bounded size, so what is broadcast is bounded.
+The benchmark is worked through in slices of bounded size, so what is broadcast is bounded.
 
 Defined results: null or empty texts and passages without words match nothing. Passages of
 fewer than ``SHORT`` words must be found whole. Repeated rows are each searched. With an
@@ -33,14 +37,14 @@ from review_engine.llm.common import groups, word_hashes
 
 IDF_BITS = 18
 SEGMENT = 8
-WINDOWS = (2, 5)  # in segments
+STRETCH = 2  # a passage is found in a stretch of up to so many times its length
 PIECE = 1 << 13  # words of a text worked on at once
 RANK = 256
 EXTRA = 8
 PASSES = 2
 MOST_COLUMNS = 1 << 16
 SLICE_CHARS = 1 << 22
-COSINE = 0.5
+EXACT = 1e-4  # for rounding, as a share
 COVER = 0.6
 ANSWER = 0.5
 SHORT = 8
@@ -52,8 +56,13 @@ HITS = "array<struct<item_id: long, cosine: double, cover: double, answer: doubl
 class Index:
     idf: np.ndarray  # by hashed word
     vocabulary: np.ndarray  # sorted word hashes of the passages
-    basis: np.ndarray  # latent coordinates of each column
     latent: np.ndarray  # latent coordinates of each passage, scaled to unit TF-IDF length
+    products: np.ndarray  # of each column's latent coordinates with each passage's
+    sizes: np.ndarray  # window of each passage, in segments
+    needed: np.ndarray  # words of each passage that must be found
+    least: np.ndarray  # product with a passage of any window in which it can be found
+    missing: np.ndarray  # the most by which products of a column are short of the exact ones, by passage
+    own: np.ndarray  # whether a passage has a column's words; the last row is for no column
     items: list[int]
     words: list[np.ndarray]  # word hashes of each passage
 
@@ -134,6 +143,13 @@ def randomised_svd(passages: DataFrame, idf: np.ndarray, vocabulary: np.ndarray,
     return (basis @ turned[:, ::-1][:, :rank]).astype(np.float32)
 
 
+def _window(n: int) -> int:
+    """Segments of the window for a passage of ``n`` words: wherever its stretch begins, one window holds it."""
+    least = -(-(STRETCH * n + SEGMENT - 1) // SEGMENT)
+    power = 1 << (least - 1).bit_length()
+    return power * 3 // 4 if power * 3 // 4 >= least else power
+
+
 def fit(idf: np.ndarray, passages: DataFrame) -> Index | None:
     """An index of a bounded slice of passages (item_id, text)."""
     rows = passages.orderBy("item_id", "text").collect()
@@ -143,8 +159,22 @@ def fit(idf: np.ndarray, passages: DataFrame) -> Index | None:
         return None
     vocabulary = np.unique(np.concatenate(words))
     basis = randomised_svd(passages.select("text").coalesce(4), idf, vocabulary)
-    latent = np.array([v @ basis[f] for f, v in (_row(w, idf, vocabulary) for w in words)], np.float32)
-    return Index(idf, vocabulary, basis, latent, [r["item_id"] for r in rows], words)
+    laid = [_row(w, idf, vocabulary) for w in words]
+    latent = np.array([v @ basis[f] for f, v in laid], np.float32)
+    products = basis @ latent.T
+    own = np.zeros((len(basis) + 1, len(words)), bool)
+    least, missing = np.zeros(len(words)), np.zeros(len(words))
+    for i, (found, values) in enumerate(laid):
+        own[found, i] = True
+        short = -products[:, i]
+        short[found] += values.astype(np.float32)
+        missing[i] = max(0.0, short.max())
+        # The words that must be found weigh as much as the passage's lightest ones, or more.
+        exact = values[np.searchsorted(found, _columns(words[i], vocabulary))] * idf[_bucket(words[i])]
+        least[i] = np.sort(exact)[: _needed(len(exact))].sum() * (1 - EXACT)
+    return Index(idf, vocabulary, latent, products, np.array([_window(len(w)) for w in words]),
+                 np.array([_needed(len(w)) for w in words]), least, missing, own,
+                 [r["item_id"] for r in rows], words)
 
 
 def common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
@@ -162,6 +192,11 @@ def common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
     return len(x) - open_.bit_count()
 
 
+def _needed(n: int) -> int:
+    """Words of a passage of ``n`` words that must be found."""
+    return n if n < SHORT else next(k for k in range(int(COVER * n), n + 1) if k / n >= COVER)
+
+
 def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, float] | None:
     """Shares of the passage and of its closing words found in order in a stretch of text."""
     needed = COVER if len(item) >= SHORT else 1.0
@@ -176,55 +211,63 @@ def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, float] | None
     return (cover, answer) if answer >= ANSWER else None
 
 
-def windows_of(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate windows of a text: first word, number of words, cosine with every passage."""
+def candidates(words: np.ndarray, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
+    """Windows of a text that may hold a passage: first word, passage, number of words, cosine."""
     columns = _columns(words, index.vocabulary)
     weight = index.idf[_bucket(words)]
     starts = np.arange(0, len(words), SEGMENT)
-    energy = np.add.reduceat(weight * weight, starts)
-    own = np.add.reduceat(np.where(columns >= 0, weight * weight, 0), starts)
-    sums = [np.concatenate([[0.0], np.cumsum(e, dtype=float)]) for e in (energy, own)]
-    chosen = []
-    for size in WINDOWS:
-        size = min(size, len(starts))
-        whole, part = (e[size:] - e[:-size] for e in sums)
-        keep = np.flatnonzero(part >= COSINE * COSINE * whole)
-        chosen.append(np.column_stack([keep, np.full(len(keep), size), whole[keep]]))
-    table = np.concatenate(chosen)
-    first, size = table[:, 0].astype(int), table[:, 1].astype(int)
-    if not len(first):
-        return first, size, np.empty((0, len(index.items)), np.float32)
-    needed = np.unique(np.concatenate([first[size > k] + k for k in range(max(WINDOWS))]))
-    wanted = np.zeros(len(starts), bool)
-    wanted[needed] = True
-    at = np.flatnonzero((columns >= 0) & np.repeat(wanted, SEGMENT)[: len(words)])
-    sums = np.zeros((len(starts) + 1, index.basis.shape[1]), np.float32)
-    if len(at):
-        parts = at // SEGMENT
-        begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
-        sums[parts[begins] + 1] = np.add.reduceat(weight[at, None] * index.basis[columns[at]], begins)
+    at = np.flatnonzero(columns >= 0)
+    if not len(at):
+        return
+    sums = np.zeros((len(starts) + 1, len(index.items)))
+    parts = at // SEGMENT
+    begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+    sums[parts[begins] + 1] = np.add.reduceat(weight[at, None] * index.products[columns[at]], begins)
     np.cumsum(sums, axis=0, out=sums)
-    laid = sums[first + size] - sums[first]
-    cosine = laid @ index.latent.T / np.sqrt(table[:, 2:3].astype(np.float32))
-    return first * SEGMENT, size * SEGMENT, cosine
+    energy, weights = (np.concatenate([[0.0], np.cumsum(np.add.reduceat(w, starts), dtype=float)])
+                       for w in (weight * weight, np.where(columns >= 0, weight, 0)))
+    for size in np.unique(index.sizes):
+        passages = np.flatnonzero(index.sizes == size)
+        size = min(size, len(starts))
+        laid = sums[:, passages]
+        laid = laid[size:] - laid[:-size]
+        heaviest = (weights[size:] - weights[:-size]).max()
+        first, which = np.nonzero(laid >= index.least[passages] - heaviest * index.missing[passages])
+        cosine = laid[first, which] / np.sqrt(energy[first + size] - energy[first])
+        which = passages[which]
+        keep = _enough(columns, first * SEGMENT, size * SEGMENT, which, index)
+        yield first[keep] * SEGMENT, which[keep], int(size) * SEGMENT, cosine[keep]
+
+
+def _enough(columns: np.ndarray, first: np.ndarray, size: int, which: np.ndarray, index: Index) -> np.ndarray:
+    """Whether so many words of a window are the passage's as the passage must find."""
+    padded = np.concatenate([columns, np.full(size, -1)])
+    keep = np.zeros(len(first), bool)
+    step = max(1, (1 << 20) // size)
+    for k in range(0, len(first), step):
+        some = slice(k, k + step)
+        held = index.own[padded[first[some, None] + np.arange(size)], which[some, None]]
+        keep[some] = held.sum(axis=1) >= index.needed[which[some]]
+    return keep
 
 
 def hits_of(words: np.ndarray, index: Index) -> list[dict]:
     if not len(words):
         return []
-    overlap = -(-max(PIECE // 64, 2 * max(map(len, index.words))) // SEGMENT) * SEGMENT
+    overlap = int(index.sizes.max()) * SEGMENT + -(-max(map(len, index.words)) // SEGMENT) * SEGMENT
+    size_of_piece = max(PIECE, overlap)
     best: dict[int, dict] = {}
     most: dict[int, tuple[float, float]] = {}
-    for begin in range(0, max(1, len(words) - overlap), PIECE):
-        piece = words[begin : begin + PIECE + overlap]
-        first, size, cosine = windows_of(piece, index)
-        for w, i in np.argwhere(cosine >= COSINE):
-            item, reach = index.words[i], len(index.words[i])
-            found = verified(item, piece[max(0, first[w] - reach) : first[w] + size[w] + reach])
-            if found and (found[0], cosine[w, i]) > most.get(i, (0.0, 0.0)):
-                most[i] = found[0], cosine[w, i]
-                best[i] = {"item_id": index.items[i], "cosine": float(cosine[w, i]), "cover": found[0],
-                           "answer": found[1], "word": int(begin + first[w])}
+    for begin in range(0, max(1, len(words) - overlap), size_of_piece):
+        piece = words[begin : begin + size_of_piece + overlap]
+        for first, which, size, cosine in candidates(piece, index):
+            for w, i, c in zip(first.tolist(), which.tolist(), cosine.tolist(), strict=True):
+                item, reach = index.words[i], len(index.words[i])
+                found = verified(item, piece[max(0, w - reach) : w + size + reach])
+                if found and (found[0], c) > most.get(i, (0.0, 0.0)):
+                    most[i] = found[0], c
+                    best[i] = {"item_id": index.items[i], "cosine": c, "cover": found[0],
+                               "answer": found[1], "word": int(begin + w)}
     return [best[i] for i in sorted(best)]
 
 

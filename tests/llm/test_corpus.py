@@ -128,6 +128,35 @@ def test_latent_space_holds_the_passages(spark):
     assert np.allclose(np.linalg.norm(index.latent, axis=1), 1, atol=1e-2)
 
 
+def prose(rng, n, vocabulary=tuple(words(random.Random(1), 3000).split())):
+    """Words of uneven frequency: a few make up half of a text."""
+    return " ".join(rng.choice(vocabulary[:40]) if rng.random() < 0.5 else rng.choice(vocabulary) for _ in range(n))
+
+
+def search(spark, rows, items, small):
+    bench = spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")
+    df = small([(i, t, None, None) for i, t in enumerate(rows)])
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(df, bench).collect()}
+
+
+def within(rng, passage, n=120):
+    return f"{prose(rng, n)} {passage} {prose(rng, n)}"
+
+
+@pytest.mark.parametrize("share", [0.3, 0.38])
+def test_passages_with_many_words_replaced(spark, small, share):
+    rng = random.Random(int(100 * share))
+    items = [prose(rng, rng.randint(15, 59)) for _ in range(60)]
+    expected, rows = set(), []
+    for i, item in enumerate(items):
+        w = item.split()
+        for k in rng.sample(range(len(w) - max(3, len(w) // 4)), int(share * len(w))):  # the closing words stay
+            w[k] = f"unseen{i}x{k}"
+        expected.add((len(rows), i))
+        rows += [within(rng, " ".join(w)), prose(rng, 300)]
+    assert search(spark, rows, items, small).keys() == expected
+
+
 def test_shares_and_quotas():
     assert mixing.targets([100, 1, 50, 10]) == [32.0, 3.0, 96.0, 30.0] and mixing.targets([]) == [] and mixing.targets([0]) == [0.0]
     for seed in range(50):
