@@ -15,7 +15,9 @@ passage must cover ``COVER`` of it, and ``ANSWER`` of its closing words (the ans
 paraphrases with words changed, put in or left out are found and chance likeness is not. No
 window is passed over that could be verified.
 
-The benchmark is worked through in slices of bounded size, so what is broadcast is bounded.
+The benchmark is worked through in slices of about ``RANK`` passages and of bounded size, so
+what is broadcast is bounded. The latent space of a slice has a direction for each of its
+passages, so it holds them whole.
 
 Defined results: null or empty texts and passages without words match nothing. Passages of
 fewer than ``SHORT`` words must be found whole. Repeated rows are each searched. With an
@@ -33,17 +35,18 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from review_engine.llm.common import groups, word_hashes
+from review_engine.llm.common import groups, word_hashes, written
 
 IDF_BITS = 18
 SEGMENT = 8
 STRETCH = 2  # a passage is found in a stretch of up to so many times its length
 PIECE = 1 << 13  # words of a text worked on at once
-RANK = 256
+RANK = 256  # passages in a slice, about: each adds one direction to the latent space, and all are kept
 EXTRA = 8
 PASSES = 2
 MOST_COLUMNS = 1 << 16
 SLICE_CHARS = 1 << 22
+TOGETHER = 16  # slices searched in one pass over the documents
 EXACT = 1e-4  # for rounding, as a share
 COVER = 0.6
 ANSWER = 0.5
@@ -158,7 +161,7 @@ def fit(idf: np.ndarray, passages: DataFrame) -> Index | None:
     if not rows:
         return None
     vocabulary = np.unique(np.concatenate(words))
-    basis = randomised_svd(passages.select("text").coalesce(4), idf, vocabulary)
+    basis = randomised_svd(passages.select("text").coalesce(4), idf, vocabulary, len(rows))
     laid = [_row(w, idf, vocabulary) for w in words]
     latent = np.array([v @ basis[f] for f, v in laid], np.float32)
     products = basis @ latent.T
@@ -284,15 +287,15 @@ def searcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: st
              passage: str = "text") -> list[Column]:
     """Columns, one for each slice of the benchmark, with the passages found in ``text``."""
     passages = benchmark.select(F.col(item).alias("item_id"), F.coalesce(F.col(passage), F.lit("")).alias("text"))
-    chars = passages.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    slices = -(-chars // SLICE_CHARS)
+    size = passages.agg(F.sum(F.length("text") + 1).alias("chars"), F.count("*").alias("n")).first()
+    slices = max(-(-(size["chars"] or 0) // SLICE_CHARS), -(-size["n"] // RANK))
     idf = inverse_frequencies(docs, text) if slices else None
     out = []
     for number in range(slices):
         index = fit(idf, passages.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == number))
         if index is None:
             continue
-        # At most MOST_COLUMNS x RANK coordinates, and a slice of passages.
+        # At most MOST_COLUMNS x RANK products, about, and a slice of passages.
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         out.append(_found(text, shared))
@@ -302,12 +305,18 @@ def searcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: st
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row for each document and passage found in it."""
     columns = searcher(docs, benchmark, text)
-    hits = F.concat(F.array().cast(HITS), *columns) if columns else F.array().cast(HITS)
-    return docs.select(F.col(key), F.explode(hits).alias("h")).select(key, "h.*")
+    out = None
+    for some in [columns[k : k + TOGETHER] for k in range(0, max(1, len(columns)), TOGETHER)]:
+        hits = F.concat(F.array().cast(HITS), *some)
+        found = docs.select(F.col(key), F.explode(hits).alias("h")).select(key, "h.*")
+        out = found if out is None else out.union(found)
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents in which no passage is found."""
-    for column in searcher(docs, benchmark, text):
+    for number, column in enumerate(searcher(docs, benchmark, text)):
+        if number and number % TOGETHER == 0:
+            docs = written(docs, "decontaminated")
         docs = docs.where(F.size(column) == 0)
     return docs

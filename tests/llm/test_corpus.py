@@ -157,6 +157,16 @@ def test_passages_with_many_words_replaced(spark, small, share):
     assert search(spark, rows, items, small).keys() == expected
 
 
+def test_every_one_of_many_passages_is_found(spark, small):
+    rng = random.Random(12)
+    items = [words(rng, rng.randint(20, 45)) for _ in range(2000)]
+    rows = [" ".join(items[k : k + 20]) for k in range(0, 2000, 20)]
+    assert search(spark, rows, items, small).keys() == {(i // 20, i) for i in range(2000)}
+    bench = spark.createDataFrame([*enumerate(items[:600])], "item_id bigint, text string")
+    index = decontaminate.fit(np.ones(1 << decontaminate.IDF_BITS, np.float32), bench)
+    assert np.allclose(np.linalg.norm(index.latent, axis=1), 1, atol=1e-3)
+
+
 def test_shares_and_quotas():
     assert mixing.targets([100, 1, 50, 10]) == [32.0, 3.0, 96.0, 30.0] and mixing.targets([]) == [] and mixing.targets([0]) == [0.0]
     for seed in range(50):
