@@ -20,7 +20,7 @@ what is broadcast is bounded. The latent space of a slice has a direction for ea
 passages, so it holds them whole.
 
 Defined results: null or empty texts and passages without words match nothing. Passages of
-fewer than ``SHORT`` words must be found whole. Repeated rows are each searched. With an
+fewer than ``SHORT`` words must be found whole, their words one after the other. Repeated rows are each searched. With an
 empty benchmark, or no documents, nothing is found.
 """
 
@@ -200,14 +200,21 @@ def _needed(n: int) -> int:
     return n if n < SHORT else next(k for k in range(int(COVER * n), n + 1) if k / n >= COVER)
 
 
+def _whole(item: np.ndarray, region: np.ndarray) -> bool:
+    """Whether the words of ``item`` stand one after the other in ``region``."""
+    at = np.flatnonzero(region[: max(0, len(region) - len(item) + 1)] == item[0])
+    return bool(len(at)) and bool((region[at[:, None] + np.arange(len(item))] == item).all(axis=1).any())
+
+
 def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, float] | None:
     """Shares of the passage and of its closing words found in order in a stretch of text."""
-    needed = COVER if len(item) >= SHORT else 1.0
+    if len(item) < SHORT:
+        return (1.0, 1.0) if _whole(item, region) else None
     # No subsequence is longer than the number of the passage's words that are there at all.
-    if sum(map(set(region.tolist()).__contains__, item.tolist())) < needed * len(item):
+    if sum(map(set(region.tolist()).__contains__, item.tolist())) < COVER * len(item):
         return None
     cover = common_subsequence(item, region) / len(item)
-    if cover < needed:
+    if cover < COVER:
         return None
     closing = item[-max(3, len(item) // 4) :]
     answer = common_subsequence(closing, region) / len(closing)

@@ -167,6 +167,15 @@ def test_every_one_of_many_passages_is_found(spark, small):
     assert np.allclose(np.linalg.norm(index.latent, axis=1), 1, atol=1e-3)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 160, 250, 700])
+def test_short_and_long_passages(spark, small, n):
+    rng = random.Random(n)
+    items = [words(rng, n) if n > 7 else " ".join(f"rare{i}x{k}" for k in range(n)) for i in range(5)]
+    rows = [within(rng, item) for item in items]
+    apart = [within(rng, item.replace(" ", " between ")) for item in items if 1 < n <= 7]  # these are not whole
+    assert search(spark, rows + apart, items, small).keys() == {(i, i) for i in range(5)}
+
+
 def test_shares_and_quotas():
     assert mixing.targets([100, 1, 50, 10]) == [32.0, 3.0, 96.0, 30.0] and mixing.targets([]) == [] and mixing.targets([0]) == [0.0]
     for seed in range(50):
