@@ -20,7 +20,8 @@ what is broadcast is bounded. The latent space of a slice has a direction for ea
 passages, so it holds them whole.
 
 Defined results: null or empty texts and passages without words match nothing. Passages of
-fewer than ``SHORT`` words must be found whole, their words one after the other. Repeated rows are each searched. With an
+fewer than ``SHORT`` words must be found whole, their words one after the other. Repeated rows are searched once, and
+found as often as they repeat. With an
 empty benchmark, or no documents, nothing is found.
 """
 
@@ -52,7 +53,7 @@ COVER = 0.6
 ANSWER = 0.5
 SHORT = 8
 
-HITS = "array<struct<item_id: long, cosine: double, cover: double, answer: double, word: long>>"
+HITS = "array<struct<item_id: long, cosine: double, cover: double, answer: double, word: long, copies: long>>"
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,7 @@ class Index:
     own: np.ndarray  # whether a passage has a column's words; the last row is for no column
     items: list[int]
     words: list[np.ndarray]  # word hashes of each passage
+    copies: list[int]  # rows of the benchmark that are this passage
 
 
 def _bucket(words: np.ndarray) -> np.ndarray:
@@ -154,7 +156,9 @@ def _window(n: int) -> int:
 
 
 def fit(idf: np.ndarray, passages: DataFrame) -> Index | None:
-    """An index of a bounded slice of passages (item_id, text)."""
+    """An index of a bounded slice of passages (item_id, text, and copies if rows repeat)."""
+    if "copies" not in passages.columns:
+        passages = passages.withColumn("copies", F.lit(1))
     rows = passages.orderBy("item_id", "text").collect()
     words = list(_texts_words([r["text"] for r in rows]))
     rows, words = [r for r, w in zip(rows, words, strict=True) if len(w)], [w for w in words if len(w)]
@@ -177,7 +181,7 @@ def fit(idf: np.ndarray, passages: DataFrame) -> Index | None:
         least[i] = np.sort(exact)[: _needed(len(exact))].sum() * (1 - EXACT)
     return Index(idf, vocabulary, latent, products, np.array([_window(len(w)) for w in words]),
                  np.array([_needed(len(w)) for w in words]), least, missing, own,
-                 [r["item_id"] for r in rows], words)
+                 [r["item_id"] for r in rows], words, [r["copies"] for r in rows])
 
 
 def common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
@@ -277,7 +281,7 @@ def hits_of(words: np.ndarray, index: Index) -> list[dict]:
                 if found and (found[0], c) > most.get(i, (0.0, 0.0)):
                     most[i] = found[0], c
                     best[i] = {"item_id": index.items[i], "cosine": c, "cover": found[0],
-                               "answer": found[1], "word": int(begin + w)}
+                               "answer": found[1], "word": int(begin + w), "copies": index.copies[i]}
     return [best[i] for i in sorted(best)]
 
 
@@ -293,7 +297,8 @@ def _found(text: str, shared: Broadcast) -> Column:
 def searcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
              passage: str = "text") -> list[Column]:
     """Columns, one for each slice of the benchmark, with the passages found in ``text``."""
-    passages = benchmark.select(F.col(item).alias("item_id"), F.coalesce(F.col(passage), F.lit("")).alias("text"))
+    rows = benchmark.select(F.col(item).alias("item_id"), F.coalesce(F.col(passage), F.lit("")).alias("text"))
+    passages = written(rows.groupBy("item_id", "text").agg(F.count("*").alias("copies")), "benchmark-passages")
     size = passages.agg(F.sum(F.length("text") + 1).alias("chars"), F.count("*").alias("n")).first()
     slices = max(-(-(size["chars"] or 0) // SLICE_CHARS), -(-size["n"] // RANK))
     idf = inverse_frequencies(docs, text) if slices else None
@@ -315,7 +320,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
     out = None
     for some in [columns[k : k + TOGETHER] for k in range(0, max(1, len(columns)), TOGETHER)]:
         hits = F.concat(F.array().cast(HITS), *some)
-        found = docs.select(F.col(key), F.explode(hits).alias("h")).select(key, "h.*")
+        found = docs.select(F.col(key), F.explode(hits).alias("h")).select(
+            key, "h.*", F.explode(F.sequence(F.lit(1), F.col("h.copies"))).alias("copy")).drop("copies", "copy")
         out = found if out is None else out.union(found)
     return out
 

@@ -176,6 +176,18 @@ def test_short_and_long_passages(spark, small, n):
     assert search(spark, rows + apart, items, small).keys() == {(i, i) for i in range(5)}
 
 
+def test_repeated_passages_are_searched_once(spark, small, monkeypatch):
+    rng = random.Random(13)
+    items = [words(rng, 30), words(rng, 20)]
+    bench = spark.createDataFrame([(0, items[0])] * 900 + [(1, items[1]), (None, items[1]), (None, items[1])], "item_id bigint, text string")
+    sizes = []
+    monkeypatch.setattr(decontaminate, "fit", lambda idf, passages, fit=decontaminate.fit: (sizes.append(passages.count()), fit(idf, passages))[1])
+    df = small([(i, within(rng, item), None, None) for i, item in enumerate(items)])
+    found = collections.Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect())
+    assert found == {(0, 0): 900, (1, 1): 1, (1, None): 2} and sum(sizes) == 3
+    assert decontaminate.clean(df, bench).count() == 0
+
+
 def test_shares_and_quotas():
     assert mixing.targets([100, 1, 50, 10]) == [32.0, 3.0, 96.0, 30.0] and mixing.targets([]) == [] and mixing.targets([0]) == [0.0]
     for seed in range(50):
