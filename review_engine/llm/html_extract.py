@@ -8,7 +8,10 @@ text is the article: an ``article`` or ``main`` element if the page has one, or
 smallest element that holds most of it. All its lines are kept, whatever their own ratio;
 parts that are never article text (menus, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) are left out as the events
-stream by.
+stream by. An element that is so named and yet holds the page's text (a wrapper as
+``content has-sidebar``) is not left out: one that holds more article text than is read without it,
+all text of the page, or, named by a part of a class name only, most of it. The page is then
+read again with that element in.
 
 Defined results: a null or empty page, or one without text, gives the empty text. Markup
 left open or closed twice is read as browsers do. Rows repeat as given, other columns pass.
@@ -17,6 +20,7 @@ left open or closed twice is read as browsers do. Rows repeat as given, other co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -37,20 +41,36 @@ BESIDE = frozenset("ad ads advert adverts advertisement advertising banner spons
                    "navigation menu breadcrumb breadcrumbs sidebar aside footer cookie cookies consent notice notices "
                    "alert popup modal overlay newsletter subscribe signup share sharing social related recommended "
                    "comment comments disqus reply replies complementary contentinfo search login widget".split())
+# First words of names that tell what an element has or lacks, not what it is.
+OF_WRAPPERS = frozenset("has with no without".split())
 CLOSES_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                  "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BOUNDS = frozenset("ul ol dl table article main section div body".split())
+IN, BY_NAME, BY_TAG = 0, 1, 2
 SIGMA = 1.0
 MOST = 0.6
 LINKED = 0.7
 
 
+@dataclass
+class Beside:
+    """An element named as a part beside the article."""
+
+    whole: bool  # by a whole class name
+    inside: bool  # inside an article
+    chars: int = 0
+    in_article: int = 0
+
+
 class Lines(HTMLParser):
     """Parser events to lines: text, tags met, linked characters, and the elements around."""
 
-    def __init__(self):
+    def __init__(self, kept: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # name, serial number, left out
+        self.open: list[tuple[str, int, int]] = []  # name, serial number, left out (by attributes or by tag)
+        self.kept = kept  # elements not left out for their attributes
+        self.beside: dict[int, Beside] = {}
+        self.chars = self.plain = 0
         self.serial = 0
         self.parts: list[str] = []
         self.tags = self.linked = 0
@@ -59,7 +79,7 @@ class Lines(HTMLParser):
         self.around: tuple[int, ...] = ()
 
     def _left_out(self) -> bool:
-        return bool(self.open) and self.open[-1][2]
+        return bool(self.open) and self.open[-1][2] != IN
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -68,20 +88,27 @@ class Lines(HTMLParser):
             self.tags = self.linked = 0
         self.parts = []
 
-    def _beside(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-        if tag in NEVER:
-            return True
+    def _part(self, tag: str, attributes: list[tuple[str, str | None]]) -> int:
+        """Whether the element is left out, and the reason."""
+        around = self.open[-1][2] if self.open else IN
+        if around == BY_TAG or tag in NEVER:
+            return BY_TAG
+        inside = any(name in ARTICLE for name, _, _ in self.open)
         if tag in PAGE_EDGE:
-            return not any(name in ARTICLE for name, _, _ in self.open)
+            return around if inside else BY_TAG
         if tag in ("html", "body", *ARTICLE):
-            return False
+            return around
         for name, value in attributes:
             if value and name in ("class", "id", "role"):
-                if not BESIDE.isdisjoint(value.lower().replace("-", " ").replace("_", " ").split()):
-                    return True
+                names = [n for n in value.lower().replace("_", "-").split() if n.split("-")[0] not in OF_WRAPPERS]
+                if not BESIDE.isdisjoint(" ".join(names).replace("-", " ").split()):
+                    if self.serial in self.kept:
+                        continue
+                    self.beside[self.serial] = Beside(not BESIDE.isdisjoint(names), inside)
+                    around = BY_NAME
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-        return False
+                return BY_TAG
+        return around
 
     def _pop(self, count: int) -> None:
         del self.open[len(self.open) - count :]
@@ -102,8 +129,7 @@ class Lines(HTMLParser):
                 if name in BOUNDS:
                     break
         self.serial += 1
-        left_out = self._left_out() or self._beside(tag, attributes)
-        self.open.append((tag, self.serial, left_out))
+        self.open.append((tag, self.serial, self._part(tag, attributes)))
         if tag not in INLINE:
             self.kinds[self.serial] = tag
         self.around += (self.serial,)
@@ -125,11 +151,30 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if not self.open or self.open[-1][2] != BY_TAG:
+            self._weigh(len(data.strip()))
         if not self._left_out():
             self.parts.append(data)
             if self.open and any(name == "a" for name, _, _ in self.open[-3:]):
                 self.linked += len(data.strip())
 
+    def _weigh(self, size: int) -> None:
+        self.chars += size
+        article = False
+        for name, number, _ in reversed(self.open):
+            article |= name in ARTICLE
+            if number in self.beside:
+                self.beside[number].chars += size
+                self.beside[number].in_article += size * article
+        self.plain += size * (not self._left_out())
+
+    def wrappers(self) -> frozenset[int]:
+        """Elements not to be left out; more by the largest that is and yet holds the page's text."""
+        found = {e: b.chars for e, b in self.beside.items() if b.chars and (
+            b.chars == self.chars or not b.whole and b.chars >= MOST * self.chars
+            or not b.inside and b.in_article > self.plain)}
+        return self.kept | {e for e, chars in found.items() if chars == max(found.values())}
+
     def close(self) -> None:
         super().close()
         self._end_line()
@@ -149,12 +194,19 @@ def content_lines(lines: list[tuple[str, int, int, tuple[int, ...]]]) -> np.ndar
     return smooth >= min(smooth.std(), smooth.max())
 
 
+def _parsed(html: str, kept: frozenset[int] = frozenset()) -> Lines:
+    parser = Lines(kept)
+    parser.feed(html)
+    parser.close()
+    return parser
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
+    parser = _parsed(html)
+    while (kept := parser.wrappers()) != parser.kept:
+        parser = _parsed(html, kept)
     lines = parser.lines
     if not lines:
         return ""

@@ -80,6 +80,26 @@ def test_main_text():
     assert "Second line © x." in html_extract.main_text(without) and "Menu" not in html_extract.main_text(without)
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "with-nav", "no-comments", "related-content", "sidebar"])
+def test_wrappers_named_like_parts_beside(name):
+    expected = html_extract.main_text(PAGE)
+    wrapped = PAGE.replace("<nav>", f'<div class="{name}"><nav>').replace("<footer>", "</div><footer>")
+    assert html_extract.main_text(wrapped) == expected
+    assert html_extract.main_text(wrapped.replace("<div class", "<div id='no_ads'><div class").replace("</div><footer>", "</div></div><footer>")) == expected
+    if name not in ("sidebar", "related-content"):
+        inside = PAGE.replace("<article>", f"<article><div class='{name}'>").replace("</article>", "</div></article>")
+        assert html_extract.main_text(inside) == expected
+    if name != "sidebar":
+        plain = "<body><nav>Menu</nav><div class='%s'>%s</div><div class='comments'><article>Nice</article></div></body>"
+        assert html_extract.main_text(plain % (name, "<p>Long text of a page.</p>" * 9)).count("Long text") == 9
+
+
+def test_parts_beside_stay_out():
+    comments = "<div class='comments'>" + "<article><p>A long comment of a reader.</p></article>" * 20 + "</div>"
+    page = f"<body><article><p>The article itself.</p>{comments}</article></body>"
+    assert html_extract.main_text(page) == "The article itself."
+
+
 def test_extraction_of_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (1, "u", PAGE)], "page_id bigint, url string, html string")
     rows = html_extract.extract(pages).collect()
