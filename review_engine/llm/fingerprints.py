@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_engine.llm.common import code_points, mix, worker_cache, written
+from review_engine.llm.components import components
 
 SAMPLES = 256
 SEED = 20240
@@ -36,6 +37,7 @@ BATCH_CHARS = 1 << 23
 STOP = 63
 MOST_CUTS = 512
 MOST_SENT = 100_000
+BLOCK = 512
 _STEPS = 4096
 _REST = 64
 
@@ -191,6 +193,11 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id",
     return made.withColumnRenamed("key", key)
 
 
+def _name(key: str) -> Column:
+    """The name of a class of equal fingerprints; a class of null keys is named by its fingerprint."""
+    return F.coalesce(F.min(key), F.xxhash64("fingerprint"))
+
+
 def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0.8, bands: int = 32,
                     drawn: int = 6) -> DataFrame:
     """Links (left, right, likeness) between documents of like fingerprints.
@@ -198,9 +205,11 @@ def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0
     Equal fingerprints are one class, stood for by its least key. A class shares a band with
     another if ``drawn`` sampled places agree. Each member of a band is verified against
     the band's head, another one in each band, so links grow with the rows and not with the
-    square of a group; joined up, they give the groups.
+    square of a group. Members that are then still in different groups are compared all the same,
+    block by block inside tasks. Joined up, the links give the groups that all pairs of all
+    bands would give.
     """
-    classes = marked.groupBy("fingerprint").agg(F.min(key).alias("id"))
+    classes = marked.groupBy("fingerprint").agg(_name(key).alias("id"))
     places = np.random.default_rng(SEED).permuted(np.tile(np.arange(SAMPLES), (bands, 1)), axis=1)[:, :drawn]
     banded = F.array(*[F.concat_ws("", F.lit(f"{b}:"), *[F.substring("fingerprint", int(p) + 1, 1) for p in row])
                        for b, row in enumerate(places)])
@@ -213,4 +222,42 @@ def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0
         F.when(F.col("id") < F.col("head.id"), F.col("head.fingerprint")).otherwise(F.col("fingerprint")).alias("b"))
     same = F.size(F.filter(F.arrays_zip(F.split("a", "").alias("x"), F.split("b", "").alias("y")), lambda z: z["x"] == z["y"]))
     close = F.greatest(F.lit(0.0), (same / SAMPLES - 1 / 16) * 16 / 15)
-    return pairs.distinct().select("left", "right", close.alias("likeness")).where(F.col("likeness") >= threshold)
+    links = written(pairs.distinct().select("left", "right", close.alias("likeness")).where(F.col("likeness") >= threshold),
+                    "fingerprint-links")
+    named = components(links.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    grouped = members.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
+    apart = grouped.groupBy("band").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
+    rest = _links_in_blocks(grouped.join(apart.select("band", "n"), "band"), threshold)
+    return written(links.union(rest.distinct()), "fingerprint-all-links")
+
+
+def _links_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components of bands (band, n, id, fingerprint, component), found inside tasks.
+
+    A band of n members has n / BLOCK blocks; a task gets two of them, at most about 2 BLOCK members.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    dealt = members.select("band", "id", "fingerprint", "component", own.alias("own"),
+                           F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("band", "id", "fingerprint", "component", "own", F.least("own", "other").alias("low"),
+                         F.greatest("own", "other").alias("high"))
+
+    def linked(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        made = np.frombuffer(bytes.fromhex("".join(frame["fingerprint"])), np.uint8).reshape(len(frame), -1)
+        made = np.stack([made >> 4, made & 15], axis=2).reshape(len(frame), SAMPLES)
+        ids, component, own = (frame[c].to_numpy() for c in ("id", "component", "own"))
+        apart = len(set(own)) > 1
+        for i in range(len(frame)):
+            near = likeness(made[i], made)
+            some = (near >= threshold) & (ids > ids[i]) & (component != component[i])
+            if apart:
+                some &= own != own[i]
+            out += [(ids[i], ids[j], near[j]) for j in np.flatnonzero(some)]
+        return pd.DataFrame(out, columns=["left", "right", "likeness"]).astype(
+            {"left": "int64", "right": "int64", "likeness": "float64"})
+
+    return dealt.groupBy("band", "low", "high").applyInPandas(linked, "left long, right long, likeness double")

@@ -281,6 +281,24 @@ def test_fingerprint_links(small):
     assert len(links) <= 20
 
 
+@pytest.mark.parametrize("block", [fingerprints.BLOCK, 8])
+def test_fingerprint_links_between_others_than_the_head(spark, monkeypatch, block):
+    monkeypatch.setattr(fingerprints, "BLOCK", block)
+    rng = np.random.default_rng(14)
+    family = rng.integers(0, 16, fingerprints.SAMPLES)
+    rows = []
+    for _ in range(30):  # pairs alike, of a family half alike; one band holds them all
+        one = np.where(rng.random(fingerprints.SAMPLES) < 0.5, family, rng.integers(0, 16, fingerprints.SAMPLES))
+        two = np.where(rng.random(fingerprints.SAMPLES) < 0.1, rng.integers(0, 16, fingerprints.SAMPLES), one)
+        rows += [one, two]
+    first = np.random.default_rng(fingerprints.SEED).permuted(np.arange(fingerprints.SAMPLES))[:6]
+    for row in rows:
+        row[first] = family[first]
+    marked = spark.createDataFrame([(i, fingerprints.as_text(r.astype(np.uint8))) for i, r in enumerate(rows)], "doc_id bigint, fingerprint string")
+    links = {(r.left, r.right) for r in fingerprints.near_duplicates(marked, bands=1).collect()}
+    assert links == {(2 * i, 2 * i + 1) for i in range(30)}
+
+
 def test_pipeline(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:3]:
