@@ -209,40 +209,41 @@ def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0
     block by block inside tasks. Joined up, the links give the groups that all pairs of all
     bands would give.
     """
-    classes = marked.groupBy("fingerprint").agg(_name(key).alias("id"))
+    classes = written(marked.groupBy("fingerprint").agg(_name(key).alias("id")), "fingerprint-classes")
     places = np.random.default_rng(SEED).permuted(np.tile(np.arange(SAMPLES), (bands, 1)), axis=1)[:, :drawn]
     banded = F.array(*[F.concat_ws("", F.lit(f"{b}:"), *[F.substring("fingerprint", int(p) + 1, 1) for p in row])
                        for b, row in enumerate(places)])
-    members = written(classes.select("id", "fingerprint", F.explode(banded).alias("band")), "fingerprint-bands")
-    heads = members.groupBy("band").agg(
-        F.min_by(F.struct("id", "fingerprint"), F.xxhash64("id", "band")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    pairs = members.join(heads.select("band", "head"), "band").where("id != head.id").select(
-        F.least("id", "head.id").alias("left"), F.greatest("id", "head.id").alias("right"),
-        F.when(F.col("id") < F.col("head.id"), F.col("fingerprint")).otherwise(F.col("head.fingerprint")).alias("a"),
-        F.when(F.col("id") < F.col("head.id"), F.col("head.fingerprint")).otherwise(F.col("fingerprint")).alias("b"))
+    every = classes.select("id", F.explode(F.transform(banded, lambda b: F.xxhash64(b))).alias("band"))
+    shared = every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(every.join(shared, "band"), "fingerprint-bands")
+    heads = members.groupBy("band").agg(F.min_by("id", F.xxhash64("id", "band")).alias("head"))
+    pairs = members.join(heads, "band").where("id <> head").select(
+        F.least("id", "head").alias("left"), F.greatest("id", "head").alias("right")).distinct()
+    for side, name in (("left", "a"), ("right", "b")):
+        pairs = pairs.join(classes.withColumnsRenamed({"id": side, "fingerprint": name}), side)
     same = F.size(F.filter(F.arrays_zip(F.split("a", "").alias("x"), F.split("b", "").alias("y")), lambda z: z["x"] == z["y"]))
     close = F.greatest(F.lit(0.0), (same / SAMPLES - 1 / 16) * 16 / 15)
-    links = written(pairs.distinct().select("left", "right", close.alias("likeness")).where(F.col("likeness") >= threshold),
+    links = written(pairs.select("left", "right", close.alias("likeness")).where(F.col("likeness") >= threshold),
                     "fingerprint-links")
     named = components(links.select(F.col("left").alias("a"), F.col("right").alias("b")))
     grouped = members.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
-    apart = grouped.groupBy("band").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
-    rest = _links_in_blocks(grouped.join(apart.select("band", "n"), "band"), threshold)
+    apart = grouped.groupBy("band", "n").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y AND n > 2")
+    rest = _links_in_blocks(grouped.join(apart.select("band"), "band", "left_semi"), classes, threshold)
     return written(links.union(rest.distinct()), "fingerprint-all-links")
 
 
-def _links_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """Links between different components of bands (band, n, id, fingerprint, component), found inside tasks.
+def _links_in_blocks(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components of bands (band, n, id, component), found inside tasks.
 
     A band of n members has n / BLOCK blocks; a task gets two of them, at most about 2 BLOCK members.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = members.select("band", "id", "fingerprint", "component", own.alias("own"),
+    dealt = members.select("band", "id", "component", own.alias("own"),
                            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.select("band", "id", "fingerprint", "component", "own", F.least("own", "other").alias("low"),
+    dealt = dealt.select("band", "id", "component", "own", F.least("own", "other").alias("low"),
                          F.greatest("own", "other").alias("high"))
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
@@ -260,4 +261,14 @@ def _links_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
         return pd.DataFrame(out, columns=["left", "right", "likeness"]).astype(
             {"left": "int64", "right": "int64", "likeness": "float64"})
 
-    return dealt.groupBy("band", "low", "high").applyInPandas(linked, "left long, right long, likeness double")
+    return dealt.join(classes, "id").groupBy("band", "low", "high").applyInPandas(linked, "left long, right long, likeness double")
+
+
+def classed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Fingerprints, with ``class_id``: the least key of the group of near duplicates."""
+    marked = written(fingerprints(docs, text, key), "fingerprints")
+    links = near_duplicates(marked, key)
+    named = components(links.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    classes = marked.groupBy("fingerprint").agg(_name(key).alias("node")).join(named, "node", "left").select(
+        "fingerprint", F.coalesce("component", "node").alias("class_id"))
+    return marked.join(classes, "fingerprint").select(*marked.columns, "class_id")

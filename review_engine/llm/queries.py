@@ -79,7 +79,7 @@ def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.fingerprints(table(spark, folder, "documents"))
+    return fingerprints.classed(table(spark, folder, "documents"))
 
 
 _ALL = (op1_language_id, op2_extendible_sharding, op3_html_extraction, op4_line_templates, op5_token_counts,

@@ -299,6 +299,15 @@ def test_fingerprint_links_between_others_than_the_head(spark, monkeypatch, bloc
     assert links == {(2 * i, 2 * i + 1) for i in range(30)}
 
 
+def test_fingerprint_query_names_groups(spark, small, tmp_path, llm_runs):
+    rng = random.Random(15)
+    base = [words(rng, 300) for _ in range(3)]
+    rows = [(i, t, None, None) for i, t in enumerate([*base, *base, words(rng, 300)])] + [(None, words(rng, 90), None, None)]
+    small(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    made = {r.doc_id: r.class_id for r in llm_runs["op10_edit_fingerprints"](spark, str(tmp_path)).collect()}
+    assert len(made) == 8 and [made[i] for i in range(7)] == [0, 1, 2, 0, 1, 2, 6] and made[None] is not None
+
+
 def test_pipeline(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:3]:
