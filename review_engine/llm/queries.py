@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_engine.llm import (
+    alignment,
     decontaminate,
     fingerprints,
     html_extract,
@@ -15,7 +16,9 @@ from review_engine.llm import (
     line_templates,
     mixing,
     order_minhash,
+    piece_encoding,
     sharding,
+    spelling,
     token_blocks,
     token_counts,
 )
@@ -26,6 +29,7 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
 END_ID = 1
 
 
@@ -82,8 +86,22 @@ def op10_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.classed(table(spark, folder, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.digests(table(spark, folder, "documents"), tokenizer_path(BYTES), tokenizer_path(PIECES))
+
+
+def op12_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return piece_encoding.digests(docs, tokenizer_path(PIECES)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op13_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, folder, "documents"))
+
+
 _ALL = (op1_language_id, op2_extendible_sharding, op3_html_extraction, op4_line_templates, op5_token_counts,
-        op6_source_mix, op7_decontamination, op8_token_blocks, op9_order_minhash, op10_edit_fingerprints)
+        op6_source_mix, op7_decontamination, op8_token_blocks, op9_order_minhash, op10_edit_fingerprints,
+        op11_token_alignment, op12_piece_encoding, op13_spelling_groups)
 
 
 def _prepared(run: Run) -> Run:
@@ -95,4 +113,5 @@ def runs() -> dict[str, Run]:
 
 
 def sqls() -> dict[str, str]:
-    return {"op2_extendible_sharding": sharding.shard_sql(), "op4_line_templates": line_templates.SQL}
+    return {"op2_extendible_sharding": sharding.shard_sql(), "op4_line_templates": line_templates.SQL,
+            "op13_spelling_groups": spelling.SQL}
