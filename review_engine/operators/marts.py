@@ -17,6 +17,7 @@ EVIDENCE_KINDS = (
     "sentiment_distribution", "sentiment_trend", "critic_vs_audience", "top_keywords", "source_volume",
     "volume_by_source", "volume_by_date", "top_titles_by_reviews",
 )
+NARRATIVE_KINDS = ("sentiment_distribution", *SOURCE_KINDS, "top_keywords", "critic_vs_audience", "top_titles_by_reviews")
 LABELS = ("POSITIVE", "NEGATIVE", "NEUTRAL")
 UPPER_SENTINELS = ("<NA>", "NAN", "NONE", "")
 HIDDEN_VALUES = ("<NA>", "nan", "None", "UNKNOWN", "")

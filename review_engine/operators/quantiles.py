@@ -1,144 +1,71 @@
-"""Exact quantiles of several columns without gathering a column in one task."""
+"""Exact quantiles of many columns by distributed selection, on one path at every size.
 
-from __future__ import annotations
+Values are counted (equal ones share a row), the counted values are parted by range and written,
+and the number of values below each part is summed over the parts. A rank then lies in one part
+only, and only that part is ordered. What is ordered or held in one task is one range part, whose
+size the session's number of shuffle partitions sets; the data is read once.
+"""
 
-from dataclasses import dataclass
-from math import ceil, floor
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A column with no more values than this is answered by one exact aggregate.
-EXACT_ROWS = 1_000_000
-RELATIVE_ERROR = 1e-4
-
-
-@dataclass
-class _Search:
-    """A wanted rank (from 0) among the values of a column inside an open interval."""
-
-    column: str
-    rank: int
-    inside: int  # values in the interval
-    below: int = 0  # values under the interval
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
-
-    def kept(self) -> Column:
-        """The value where it lies in the interval, else NULL."""
-        value = F.col(self.column)
-        inside = value.isNotNull()
-        if self.low is not None:
-            inside &= value > self.low
-        if self.high is not None:
-            inside &= value < self.high
-        return F.when(inside, value)
-
-    def narrow(self, low: float, high: float, under: int, at_low: int, between: int, at_high: int) -> None:
-        """Take the part that holds the rank, given the counts around a bracket."""
-        rank = self.rank - self.below
-        if under <= rank < under + at_low:
-            self.value = low
-        elif rank < under:  # the sketch missed downwards
-            self.high, self.inside = low, under
-        elif rank < under + at_low + between:
-            self.low, self.high, self.below, self.inside = low, high, self.below + under + at_low, between
-        elif rank < under + at_low + between + at_high:
-            self.value = high
-        else:  # the sketch missed upwards
-            passed = under + at_low + between + at_high
-            self.low, self.below, self.inside = high, self.below + passed, self.inside - passed
+from review_engine.session import shared_path
 
+RELATIVE_ERROR = 1e-4
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: list[float],
-    exact_rows: int = EXACT_ROWS,
-    relative_error: float = RELATIVE_ERROR,
-) -> dict[str, tuple[int, list[float]]]:
-    """Count and linearly interpolated quantiles per column.
 
-    Like ``approxQuantile`` it runs at once and returns a few numbers, but they
-    are exact. Small columns need one aggregate. A large one is narrowed: a
-    sketch brackets the rank, one pass counts the rows around the bracket, and
-    the rest is searched inside it, some thousand times smaller each time. All
-    columns and ranks share the passes.
-    """
+def long_values(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(series, value): the numbers of several columns under each other, without NULL."""
+    entries = [F.struct(F.lit(name).alias("series"), value.cast("double").alias("value")) for name, value in values.items()]
+    return df.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
+
+
+def histogram(values: DataFrame) -> DataFrame:
+    """(part, series, value, n): how often each value occurs, parted by range and written."""
+    counted = values.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n"))
+    parted = counted.repartitionByRange("series", "value").select(F.spark_partition_id().alias("part"), "series", "value", "n")
+    path = shared_path(values.sparkSession, "histogram")
+    parted.write.parquet(path)
+    return values.sparkSession.read.schema(parted.schema).parquet(path)
+
+
+def series_quantiles(counts: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(series, total, q0, q1, ...): number of values and linearly interpolated quantiles of a histogram."""
+    parts = counts.groupBy("series", "part").agg(F.sum("n").alias("inside"))
+    in_order = Window.partitionBy("series").orderBy("part")
+    total = F.sum("inside").over(Window.partitionBy("series"))
+    # One row for each range part, whatever the data holds.
+    placed = parts.select("series", "part", total.alias("total"), (F.sum("inside").over(in_order) - F.col("inside")).alias("below"), "inside")
+    place = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in place for f in (F.floor, F.ceil)]))
+    wanted = placed.select("series", "part", "total", "below", "inside", F.explode(ranks).alias("rank")).filter(
+        (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("inside"))).drop("inside")
+    # At most two ranks for each probability and series, all of them in as many parts.
+    held = counts.join(F.broadcast(wanted.select("series", "part").distinct()), ["series", "part"], "left_semi")
+    upto = F.sum("n").over(Window.partitionBy("series", "part").orderBy("value"))
+    found = held.withColumn("upto", upto).join(F.broadcast(wanted), ["series", "part"]).filter(
+        (F.col("below") + F.col("upto") > F.col("rank")) & (F.col("below") + F.col("upto") - F.col("n") <= F.col("rank")))
+    low = [F.max(F.when(F.col("rank") == F.floor(x), F.col("value"))) for x in place]
+    high = [F.max(F.when(F.col("rank") == F.ceil(x), F.col("value"))) for x in place]
+    share = [F.max(x - F.floor(x)) for x in place]
+    return found.groupBy("series").agg(
+        F.max("total").alias("total"),
+        *[(a + (b - a) * s).alias(f"q{i}") for i, (a, b, s) in enumerate(zip(low, high, share, strict=True))])
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, tuple[int, list[float]]]:
+    """Count and linearly interpolated quantiles per column, at once; (0, []) for a column without values."""
     if not columns:
         return {}
-    values = df.select(*columns)
-    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first()
-    result: dict[str, tuple[int, list[float]]] = {c: (0, []) for c in columns if counts[c] == 0}
-
-    small = [c for c in columns if 0 < counts[c] <= exact_rows]
-    if small:
-        row = values.agg(
-            *[F.percentile(c, F.array(*[F.lit(p) for p in probabilities])).alias(c) for c in small]
-        ).first()
-        result.update({c: (counts[c], list(row[c])) for c in small})
-
-    large = [c for c in columns if counts[c] > exact_rows]
-    places = {(c, p): p * (counts[c] - 1) for c in large for p in probabilities}
-    ranks = {(c, r) for (c, _), place in places.items() for r in (floor(place), ceil(place))}
-    found = _values_at(values, [_Search(c, r, counts[c]) for c, r in sorted(ranks)], exact_rows, relative_error)
-    for c in large:
-        quantiles = []
-        for p in probabilities:
-            place = places[c, p]
-            low, high = found[c, floor(place)], found[c, ceil(place)]
-            quantiles.append(low + (high - low) * (place - floor(place)))
-        result[c] = (counts[c], quantiles)
+    found = series_quantiles(histogram(long_values(df, {c: F.col(c) for c in columns})), probabilities)
+    result: dict[str, tuple[int, list[float]]] = {c: (0, []) for c in columns}
+    for row in found.collect():  # one row per column
+        result[row.series] = (row.total, [row[f"q{i}"] for i in range(len(probabilities))])
     return result
 
 
-def _values_at(values: DataFrame, searches: list[_Search], exact_rows: int,
-               relative_error: float) -> dict[tuple[str, int], float]:
-    while wide := [s for s in searches if s.value is None and s.inside > exact_rows]:
-        _narrow_all(values, wide, relative_error)
-    _pick_all(values, [s for s in searches if s.value is None])
-    return {(s.column, s.rank): s.value for s in searches}
-
-
-def _narrow_all(values: DataFrame, searches: list[_Search], relative_error: float) -> None:
-    slack, accuracy = 4 * relative_error, int(1 / relative_error)
-    sketches = []
-    for i, s in enumerate(searches):
-        target = (s.rank - s.below) / max(s.inside - 1, 1)
-        bounds = F.array(F.lit(max(target - slack, 0.0)), F.lit(min(target + slack, 1.0)))
-        sketches.append(F.percentile_approx(s.kept(), bounds, accuracy).alias(f"s{i}"))
-    brackets = values.agg(*sketches).first()
-    counters = []
-    for i, s in enumerate(searches):
-        (low, high), value = brackets[i], s.kept()
-        counters += [
-            F.count_if(value < low).alias(f"under{i}"),
-            F.count_if(value == low).alias(f"at_low{i}"),
-            F.count_if((value > low) & (value < high)).alias(f"between{i}"),
-            F.count_if((value == high) & (value > low)).alias(f"at_high{i}"),
-        ]
-    row = values.agg(*counters).first()
-    for i, s in enumerate(searches):
-        s.narrow(*brackets[i], row[f"under{i}"], row[f"at_low{i}"], row[f"between{i}"], row[f"at_high{i}"])
-
-
-def _pick_all(values: DataFrame, searches: list[_Search]) -> None:
-    """The wanted values; each interval now holds a bounded number of rows."""
-    if not searches:
-        return
-    entries = [
-        F.struct(F.lit(i).alias("search"), F.lit(s.rank - s.below).cast("bigint").alias("rank"), s.kept().cast("double").alias("v"))
-        for i, s in enumerate(searches)
-    ]
-    kept = values.select(F.inline(F.array(*entries))).filter(F.col("v").isNotNull())
-    histogram = kept.groupBy("search", "rank", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("search").orderBy("v"))
-    wanted = histogram.withColumn("upto", upto).filter(F.col("upto") > F.col("rank"))
-    for row in wanted.groupBy("search").agg(F.min("v").alias("v")).collect():
-        searches[row.search].value = row.v
-
-
 def approx_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, tuple[int, list[float]]]:
     """As ``exact_quantiles`` from one sketch pass."""
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from review_engine.functions.parsing import double_of
-from review_engine.operators.governance import Run, day_of, name_of, text_literal
+from review_engine.operators.governance import Run, day_of, text_literal
 from review_engine.operators.sentiment import fill_labels, token_counts, top_counts
 from review_engine.schemas import STORY_FACT, FamilySpec
 
@@ -78,130 +81,194 @@ def _ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-# --- sentiment, dates and ratings: one pass over narrow columns --------------
+# --- counts and means per group: one pass over narrow columns -----------------
+
+
+@dataclass(frozen=True)
+class Measure:
+    """Groups of a family by one key, and the facts made of them."""
+
+    kind: str
+    keys: tuple[str, ...]
+    needs: tuple[str, ...]
+    fact: Callable[[FamilySpec], list[str]]
+    most: int | None = None  # the first groups only, in the order of by_count and the key
+    by_count: bool = False
+
+
+DAY, LABEL = "date_format(day, 'yyyy-MM-dd')", "coalesce(label, 'UNKNOWN')"
+
+MEASURES = {
+    "distribution": Measure(
+        "sentiment_distribution", ("label",), ("sentiment_label",),
+        lambda s: _fact("sentiment_distribution", _metric(f"{s.prefix}_sentiment_", LABEL), "sentiment_label", LABEL, "n", "count")),
+    "trend": Measure(
+        "sentiment_trend", ("label", "day"), ("sentiment_label", "review_date"),
+        lambda s: _fact("sentiment_trend", _metric(f"{s.prefix}_sentiment_trend_", DAY, "'_'", LABEL), "day", DAY, "n", "count")),
+    "volume": Measure(
+        "volume_by_date", ("day",), ("review_date",),
+        lambda s: _fact("volume_by_date", _metric(f"{s.prefix}_volume_", DAY), "date", DAY, "CASE WHEN day IS NOT NULL THEN n END", "count")),
+    "rating": Measure(
+        "avg_rating_by_source", (), ("rating",),
+        lambda s: _fact("avg_rating_by_source", text_literal(f"{s.prefix}_avg_rating"), "source", text_literal(s.prefix),
+                        "round(rating, 2)", "score")),
+    "rating_trend": Measure(
+        "sentiment_trend", ("day",), ("review_date", "rating"),
+        lambda s: _fact("sentiment_trend", _metric(f"{s.prefix}_sentiment_trend_", DAY), "day", DAY, "round(coalesce(rating, 0.0D), 2)", "score"),
+        most=FIRST_GROUPS),
+    "gap": Measure(
+        "critic_vs_audience", ("title",), ("critics_score", "audience_score", "canonical_title"),
+        lambda s: _fact("critic_vs_audience", _metric(f"{s.prefix}_critic_vs_audience_", "title"), "canonical_title", "title",
+                        "round(coalesce(critics, 0.0D) - coalesce(audience, 0.0D), 2)", "score_delta"),
+        most=FIRST_GROUPS),
+    "source": Measure(
+        "source_volume", ("source",), ("source",),
+        lambda s: _fact("source_volume", _metric(f"{s.prefix}_source_volume_", "source"), "source", "source", "n", "count")),
+    "title_source": Measure(
+        "volume_by_source", ("source",), ("source",),
+        lambda s: _fact("volume_by_source", _metric(f"{s.name}_volume_", "source"), "source", "source", "n", "count")),
+    "reviewers": Measure(
+        "top_reviewers", ("reviewer",), ("reviewer_name",),
+        lambda s: _fact("top_reviewers", _metric(f"{s.prefix}_reviewer_rank_", "rank"), "reviewer_name", "reviewer", "n", "count"),
+        most=TOP_REVIEWERS, by_count=True),
+    "titles": Measure(
+        "top_titles_by_reviews", ("title",), ("canonical_title",),
+        lambda s: _fact("top_titles_by_reviews", _metric(f"{s.prefix}_title_rank_", "rank"), "canonical_title", "title", "n", "count"),
+        most=TOP_TITLES, by_count=True),
+    "year": Measure(
+        "release_period", ("year",), ("release_year",),
+        lambda s: _fact("release_period", _metric(f"{s.prefix}_release_period_", "year"), "release_year", "year", "n", "count"),
+        most=FIRST_GROUPS),
+    "popularity": Measure(
+        "avg_popularity", (), ("popularity",),
+        lambda s: _fact("avg_popularity", text_literal(f"{s.name}_avg_popularity"), "global", "'all'", "round(popularity, 2)", "score")),
+}
+KEYS = ("label", "day", "source", "reviewer", "title", "year")
+KEY_COLUMNS = {"label": "sentiment_label", "source": "source", "reviewer": "reviewer_name", "title": "canonical_title", "year": "release_year"}
+MEANS = {"rating": "rating", "critics": "critics_score", "audience": "audience_score", "popularity": "popularity"}
+
+
+def _measurable(df: DataFrame, names: Iterable[str]) -> list[str]:
+    return [n for n in names if _has(df, *MEASURES[n].needs)]
+
+
+def _narrow(df: DataFrame, names: list[str], keys: list[str]) -> tuple[DataFrame, list[Column]]:
+    """Only the columns the measures read, and their aggregates."""
+    needed = {c for n in names for c in MEASURES[n].needs}
+    means = [m for m, column in MEANS.items() if column in needed]
+    columns = [(day_of(df, "review_date") if k == "day" else F.col(KEY_COLUMNS[k])).alias(k) for k in keys]
+    columns += [double_of(df, MEANS[m]).alias(m) for m in means]
+    return df.select(*columns), [_count(), *[F.avg(m).alias(m) for m in means]]
+
+
+def _one_measure(df: DataFrame, spec: FamilySpec, run: Run, name: str, k: int | None = None) -> DataFrame | None:
+    """A single measure: a grouped count, and one top-k operator where only the first groups are wanted."""
+    if not _measurable(df, [name]):
+        return None
+    m = MEASURES[name]
+    narrow, aggregates = _narrow(df, [name], list(m.keys))
+    grouped = narrow.groupBy(*m.keys).agg(*aggregates)
+    if m.most is not None:
+        order = [*([F.col("n").desc()] if m.by_count else []), *[F.col(key).asc_nulls_last() for key in m.keys]]
+        grouped = grouped.orderBy(*order).limit(k or m.most)
+        grouped = _ranked(grouped, order) if m.by_count else grouped
+    fact = m.fact(spec)
+    # A fact whose value may be missing is left out then.
+    if name in ("volume", "rating", "popularity"):
+        return _facts(grouped.selectExpr(*fact).filter("value IS NOT NULL"), FACT_NAMES, spec.name, run)
+    return _facts(grouped, fact, spec.name, run)
+
+
+def measured(df: DataFrame, spec: FamilySpec, run: Run, names: Iterable[str]) -> DataFrame | None:
+    """The measures of a family that its columns allow, from one scan.
+
+    Each measure is a grouping set, so what is shuffled are partial counts. Measures that
+    want their first groups only share one window by measure, which Spark limits in every
+    task before the shuffle; each group of the others is a partition of its own there.
+    """
+    names = _measurable(df, names)
+    if len(names) < 2:
+        return _one_measure(df, spec, run, names[0]) if names else None
+    keys = [k for k in KEYS if any(k in MEASURES[n].keys for n in names)]
+    narrow, aggregates = _narrow(df, names, keys)
+    # Measures of the same key are told apart by columns that hold nothing.
+    seen: Counter[tuple[str, ...]] = Counter()
+    sets = []
+    for n in names:
+        key = MEASURES[n].keys
+        sets.append([*key, *[f"twin{i}" for i in range(seen[key])]])
+        seen[key] += 1
+    extra = [f"twin{i}" for i in range(max(seen.values()) - 1)]
+    columns = [*keys, *extra]
+    levels = {n: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in chosen)
+              for n, chosen in zip(names, sets, strict=True)}
+    grouped = (narrow.select("*", *[F.lit(0).alias(t) for t in extra])
+               .groupingSets([[F.col(c) for c in chosen] for chosen in sets], *map(F.col, columns))
+               .agg(F.grouping_id().alias("level"), *aggregates))
+    ranked = {n: MEASURES[n].most for n in names if MEASURES[n].most is not None}
+    if ranked:
+        limited = F.col("level").isin([levels[n] for n in ranked])
+        counted = F.when(F.col("level").isin([levels[n] for n in ranked if MEASURES[n].by_count]), -F.col("n")).otherwise(0)
+        apart = [F.when(~limited, F.struct(k)) for k in keys]
+        window = Window.partitionBy("level", *apart).orderBy(counted, *[F.col(k).asc_nulls_last() for k in keys])
+        grouped = grouped.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= max(ranked.values()))
+        below = [(F.col("level") != levels[n]) | (F.col("rank") <= most) for n, most in ranked.items() if most < max(ranked.values())]
+        grouped = reduce(DataFrame.filter, below, grouped)
+    cases = " ".join(f"WHEN {levels[n]} THEN {_as_struct(MEASURES[n].fact(spec))}" for n in names)
+    long = grouped.selectExpr(f"inline(array(CASE level {cases} END))").filter("value IS NOT NULL")
+    return _facts(long, FACT_NAMES, spec.name, run)
 
 
 def activity(df: DataFrame, spec: FamilySpec, run: Run,
              parts: tuple[str, ...] = ("distribution", "trend", "volume", "rating")) -> DataFrame | None:
-    """Counts per label, per day and label, per day, and the mean rating.
-
-    The wanted groupings are computed together as grouping sets, so the family
-    is scanned and shuffled once; what is shuffled are partial counts.
-    """
-    label, day = F.col("label"), F.col("day")
-    have = {
-        "distribution": _has(df, "sentiment_label"),
-        "trend": _has(df, "sentiment_label", "review_date"),
-        "volume": _has(df, "review_date"),
-        "rating": _has(df, "rating"),
-    }
-    sets = {"distribution": [label], "trend": [day, label], "volume": [day], "rating": []}
-    wanted = [p for p in parts if have[p]]
-    if not wanted:
-        return None
-    text = F.lit(None).cast("string")
-    narrow = df.select(
-        (F.col("sentiment_label") if have["distribution"] else text).alias("label"),
-        (day_of(df, "review_date") if have["volume"] else text.cast("date")).alias("day"),
-        (double_of(df, "rating") if have["rating"] else text.cast("double")).alias("rating"),
-    )
-    grouped = narrow.groupingSets([sets[p] for p in wanted], label, day).agg(
-        F.grouping_id().alias("level"), _count(), F.avg("rating").alias("rating")
-    )
-    p = spec.prefix
-    day_value, label_value = "date_format(day, 'yyyy-MM-dd')", "coalesce(label, 'UNKNOWN')"
-    facts = {
-        # grouping id: bit 1 set when the label, bit 0 when the day is left out
-        "distribution": (1, _fact("sentiment_distribution", _metric(f"{p}_sentiment_", label_value), "sentiment_label",
-                                  label_value, "n", "count")),
-        "trend": (0, _fact("sentiment_trend", _metric(f"{p}_sentiment_trend_", day_value, "'_'", label_value), "day",
-                           day_value, "n", "count")),
-        "volume": (2, _fact("volume_by_date", _metric(f"{p}_volume_", day_value), "date", day_value,
-                            "CASE WHEN day IS NOT NULL THEN n END", "count")),
-        "rating": (3, _fact("avg_rating_by_source", text_literal(f"{p}_avg_rating"), "source", text_literal(p),
-                            "round(rating, 2)", "score")),
-    }
-    cases = " ".join(f"WHEN {facts[w][0]} THEN {_as_struct(facts[w][1])}" for w in wanted)
-    long = grouped.selectExpr(f"inline(array(CASE level {cases} END))").filter("value IS NOT NULL")
-    return _facts(long, FACT_NAMES, spec.name, run)
+    """Counts per label, per day and label, per day, and the mean rating."""
+    return measured(df, spec, run, parts)
 
 
 def rating_trend(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST_GROUPS) -> DataFrame | None:
     """Mean rating of the first ``k`` days; a day without ratings counts as 0."""
-    if not _has(df, "review_date", "rating"):
-        return None
-    daily = df.groupBy(day_of(df, "review_date").alias("day")).agg(F.avg(double_of(df, "rating")).alias("mean"))
-    first = daily.orderBy(F.col("day").asc_nulls_last()).limit(k)
-    day = "date_format(day, 'yyyy-MM-dd')"
-    fact = _fact("sentiment_trend", _metric(f"{spec.prefix}_sentiment_trend_", day), "day", day,
-                 "round(coalesce(mean, 0.0D), 2)", "score")
-    return _facts(first, fact, spec.name, run)
-
-
-# --- groups and rankings -----------------------------------------------------
+    return _one_measure(df, spec, run, "rating_trend", k)
 
 
 def critic_vs_audience(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST_GROUPS) -> DataFrame | None:
     """Mean critic minus mean audience score of the first ``k`` titles by name."""
-    if not _has(df, "critics_score", "audience_score", "canonical_title"):
-        return None
-    scores = df.groupBy("canonical_title").agg(
-        F.avg(double_of(df, "critics_score")).alias("critics"),
-        F.avg(double_of(df, "audience_score")).alias("audience"),
-    )
-    first = scores.orderBy(F.col("canonical_title").asc_nulls_last()).limit(k)
-    gap = "round(coalesce(critics, 0.0D) - coalesce(audience, 0.0D), 2)"
-    fact = _fact("critic_vs_audience", _metric(f"{spec.prefix}_critic_vs_audience_", "canonical_title"),
-                 "canonical_title", "canonical_title", gap, "score_delta")
-    return _facts(first, fact, spec.name, run)
-
-
-def top_keywords(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP_KEYWORDS,
-                 text: str = "review_text_clean") -> DataFrame | None:
-    if not _has(df, text):
-        return None
-    top = top_counts(token_counts(df, text), "token", k)
-    fact = _fact("top_keywords", _metric(f"{spec.prefix}_top_keyword_", "token"), "keyword", "token", "mentions", "count")
-    return _facts(top, fact, spec.name, run)
+    return _one_measure(df, spec, run, "gap", k)
 
 
 def source_volume(df: DataFrame, spec: FamilySpec, run: Run, kind: str = "source_volume") -> DataFrame | None:
     """Rows per source; rows without a source are a group of their own."""
-    if not _has(df, "source"):
-        return None
-    prefix = f"{spec.prefix}_source_volume_" if kind == "source_volume" else f"{spec.name}_volume_"
-    fact = _fact(kind, _metric(prefix, "source"), "source", "source", "n", "count")
-    return _facts(df.groupBy("source").agg(_count()), fact, spec.name, run)
-
-
-def top_by_count(df: DataFrame, spec: FamilySpec, run: Run, column: str, kind: str, label: str,
-                 k: int) -> DataFrame | None:
-    """The ``k`` most frequent values with their rank."""
-    if not _has(df, column):
-        return None
-    order = [F.col("n").desc(), F.col(column).asc_nulls_last()]
-    top = _ranked(df.groupBy(column).agg(_count()).orderBy(*order).limit(k), order)
-    fact = _fact(kind, _metric(f"{label}_rank_", "rank"), column, name_of(column), "n", "count")
-    return _facts(top, fact, spec.name, run)
+    return _one_measure(df, spec, run, "source" if kind == "source_volume" else "title_source")
 
 
 def top_reviewers(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP_REVIEWERS) -> DataFrame | None:
-    return top_by_count(df, spec, run, "reviewer_name", "top_reviewers", f"{spec.prefix}_reviewer", k)
+    """The ``k`` busiest reviewers with their rank."""
+    return _one_measure(df, spec, run, "reviewers", k)
 
 
 def top_titles_by_reviews(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP_TITLES) -> DataFrame | None:
-    return top_by_count(df, spec, run, "canonical_title", "top_titles_by_reviews", f"{spec.prefix}_title", k)
+    """The ``k`` most reviewed titles with their rank."""
+    return _one_measure(df, spec, run, "titles", k)
 
 
 def release_period(df: DataFrame, spec: FamilySpec, run: Run, k: int = FIRST_GROUPS) -> DataFrame | None:
     """Titles per release year, first ``k`` years."""
-    if not _has(df, "release_year"):
+    return _one_measure(df, spec, run, "year", k)
+
+
+def avg_popularity(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | None:
+    return _one_measure(df, spec, run, "popularity")
+
+
+# --- keywords and rated titles ---------------------------------------------------
+
+
+def top_keywords(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP_KEYWORDS,
+                 text: str = "review_text_clean") -> DataFrame | None:
+    if not _has(df, text):
         return None
-    year = F.col("release_year")
-    first = df.groupBy("release_year").agg(_count()).orderBy(year.asc_nulls_last()).limit(k)
-    fact = _fact("release_period", _metric(f"{spec.prefix}_release_period_", "release_year"), "release_year",
-                 "release_year", "n", "count")
-    return _facts(first, fact, spec.name, run)
+    top = top_counts(token_counts(df, text), "token", k)
+    fact = _fact("top_keywords", _metric(f"{spec.prefix}_top_keyword_", "token"), "keyword", "token", "mentions", "count")
+    return _facts(top, fact, spec.name, run)
 
 
 def top_titles_by_rating(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP_TITLES) -> DataFrame | None:
@@ -217,14 +284,6 @@ def top_titles_by_rating(df: DataFrame, spec: FamilySpec, run: Run, k: int = TOP
     return _facts(top, fact, spec.name, run)
 
 
-def avg_popularity(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | None:
-    if not _has(df, "popularity"):
-        return None
-    mean = df.agg(F.round(F.avg(double_of(df, "popularity")), 2).alias("mean")).filter("mean IS NOT NULL")
-    fact = _fact("avg_popularity", text_literal(f"{spec.name}_avg_popularity"), "global", "'all'", "mean", "score")
-    return _facts(mean, fact, spec.name, run)
-
-
 def definitions(once: DataFrame, run: Run) -> DataFrame:
     """The fixed definition rows, for each row of ``once``."""
     entries = [
@@ -238,30 +297,27 @@ def definitions(once: DataFrame, run: Run) -> DataFrame:
 # --- reports -----------------------------------------------------------------
 
 
-def family_facts(df: DataFrame, spec: FamilySpec, run: Run) -> DataFrame | None:
-    """All opinion facts of one family; what needs an absent column is left out."""
-    if spec.kind == "critic":
-        parts = [
-            activity(df, spec, run),
-            critic_vs_audience(df, spec, run),
-            top_keywords(df, spec, run),
-            source_volume(df, spec, run),
-            top_reviewers(df, spec, run),
-        ]
-    elif spec.kind == "user":
-        parts = [
-            activity(df, spec, run, ("distribution", "volume", "rating")),
-            rating_trend(df, spec, run),
-            top_keywords(df, spec, run),
-            top_titles_by_reviews(df, spec, run),
-        ]
-    else:
-        parts = [
-            release_period(df, spec, run),
-            top_titles_by_rating(df, spec, run),
-            source_volume(df, spec, run, "volume_by_source"),
-            avg_popularity(df, spec, run),
-        ]
+MEASURES_OF = {
+    "critic": ("distribution", "trend", "volume", "rating", "gap", "source", "reviewers"),
+    "user": ("distribution", "volume", "rating", "rating_trend", "titles"),
+    "title": ("year", "title_source", "popularity"),
+}
+KINDS = (*dict.fromkeys(m.kind for m in MEASURES.values()), "top_keywords", "top_titles_by_rating", "definition")
+
+
+def needs_labels(df: DataFrame, spec: FamilySpec, kinds: Iterable[str]) -> bool:
+    """Whether facts of these kinds read the labels of the family."""
+    wanted = [MEASURES[n].needs for n in MEASURES_OF[spec.kind] if MEASURES[n].kind in kinds]
+    return any("sentiment_label" in needs and {*needs} - {"sentiment_label"} <= {*df.columns} for needs in wanted)
+
+
+def family_facts(df: DataFrame, spec: FamilySpec, run: Run, kinds: Iterable[str] = KINDS) -> DataFrame | None:
+    """The opinion facts of one family; what is not asked for, or needs an absent column, is not planned."""
+    parts = [measured(df, spec, run, [n for n in MEASURES_OF[spec.kind] if MEASURES[n].kind in kinds])]
+    if spec.kind != "title" and "top_keywords" in kinds:
+        parts.append(top_keywords(df, spec, run))
+    if spec.kind == "title" and "top_titles_by_rating" in kinds:
+        parts.append(top_titles_by_rating(df, spec, run))
     parts = [p for p in parts if p is not None]
     return reduce(DataFrame.unionByName, parts) if parts else None
 
@@ -280,9 +336,12 @@ def with_labels(df: DataFrame, key: str | None, lexicon: DataFrame) -> DataFrame
     return fill_labels(keyed, "_text_key", text, lexicon).drop("_text_key")
 
 
-def storytelling_report(spark: SparkSession, families: dict[str, DataFrame | None],
-                        specs: dict[str, FamilySpec], run: Run) -> DataFrame:
-    """Facts of all families that exist, and the definition rows."""
-    parts = [family_facts(df, specs[name], run) for name, df in families.items() if df is not None]
-    parts = [p for p in parts if p is not None] + [definitions(spark.range(1), run)]
+def storytelling_report(spark: SparkSession, families: dict[str, DataFrame | None], specs: dict[str, FamilySpec],
+                        run: Run, kinds: Iterable[str] = KINDS) -> DataFrame:
+    """Facts of all families that exist, and the definition rows, as far as their kinds are asked for."""
+    parts = [family_facts(df, specs[name], run, kinds) for name, df in families.items() if df is not None]
+    parts = [p for p in parts if p is not None]
+    if "definition" in kinds or not parts:
+        fixed = definitions(spark.range(1), run)
+        parts.append(fixed if "definition" in kinds else fixed.limit(0))
     return reduce(DataFrame.unionByName, parts).select(*STORY_FACT.fieldNames())

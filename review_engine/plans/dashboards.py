@@ -1,4 +1,4 @@
-"""Queries over the stored facts: the marts read the newest gold snapshot, not the reviews."""
+"""Marts: what a dashboard shows, over the kinds of facts each of them reads."""
 
 from __future__ import annotations
 
@@ -27,31 +27,31 @@ def mart_gov_cards(spark, folder):
 @query("mart_null_rates", GOV + """
 SELECT coalesce(family, 'unknown') || ' · ' || coalesce(column_name, 'unknown') AS label, value FROM facts WHERE kpi_type = 'null_rate'""")
 def mart_null_rates(spark, folder):
-    return marts.null_rates(gold.governance(spark, folder))
+    return marts.null_rates(gold.governance(spark, folder, "null_rate"))
 
 
 @query("mart_volume", GOV + """
 SELECT family || ' · ' || coalesce(metric_name, 'volume') AS label, kpi_type, value FROM facts
 WHERE kpi_type IN ('volume', 'volume_by_source')""")
 def mart_volume(spark, folder):
-    return marts.volumes(gold.governance(spark, folder))
+    return marts.volumes(gold.governance(spark, folder, "volume", "volume_by_source"))
 
 
 @query("mart_compliance", GOV + "SELECT family AS label, value FROM facts WHERE kpi_type = 'schema_compliance'")
 def mart_compliance(spark, folder):
-    return marts.compliance(gold.governance(spark, folder))
+    return marts.compliance(gold.governance(spark, folder, "schema_compliance"))
 
 
 @query("mart_outliers", GOV + "SELECT family, column_name, value FROM facts WHERE kpi_type = 'outlier_rate' AND value IS NOT NULL")
 def mart_outliers(spark, folder):
-    return marts.outliers(gold.governance(spark, folder))
+    return marts.outliers(gold.governance(spark, folder, "outlier_rate"))
 
 
 @query("mart_quality_summary", GOV + f"""
 SELECT family, kpi_type, metric_name, column_name, value, unit, computed_at, run_stamp FROM facts
 WHERE kpi_type IN ({', '.join(f"'{k}'" for k in marts.QUALITY_KINDS)})""")
 def mart_quality_summary(spark, folder):
-    return marts.quality_summary(gold.governance(spark, folder))
+    return marts.quality_summary(gold.governance(spark, folder, *marts.QUALITY_KINDS))
 
 
 @query("mart_last_updated", """
@@ -73,7 +73,7 @@ def mart_last_updated(spark, folder):
 totals AS (SELECT sentiment, sum(value) AS value FROM labelled_facts WHERE sentiment IN ('POSITIVE', 'NEGATIVE', 'NEUTRAL') GROUP BY 1)
 SELECT sentiment, value, round(100.0 * value / sum(value) OVER (), 2) AS share FROM totals""")
 def mart_sentiment_share(spark, folder):
-    return marts.sentiment_share(gold.storytelling(spark, folder))
+    return marts.sentiment_share(gold.storytelling(spark, folder, "sentiment_distribution"))
 
 
 @query("mart_sentiment_trend", STO + """
@@ -82,7 +82,7 @@ SELECT CAST(dimension_value AS DATE) AS day, regexp_extract(metric_name, '(POSIT
 WHERE aggregation_type = 'sentiment_trend' AND family = 'user_reviews' AND regexp_matches(metric_name, '(POSITIVE|NEGATIVE|NEUTRAL)')
 GROUP BY 1, 2""")
 def mart_sentiment_trend(spark, folder):
-    return marts.sentiment_trend(gold.storytelling(spark, folder), "user_reviews")
+    return marts.sentiment_trend(gold.storytelling(spark, folder, "sentiment_trend"), "user_reviews")
 
 
 BANNED_SQL = ", ".join(f"'{w}'" for w in BANNED_KEYWORDS)
@@ -94,21 +94,21 @@ BANNED_SQL = ", ".join(f"'{w}'" for w in BANNED_KEYWORDS)
 SELECT keyword, family, sum(value) AS value FROM named WHERE length(keyword) >= 3 AND keyword NOT IN ({BANNED_SQL})
 GROUP BY 1, 2 ORDER BY value DESC, keyword, family LIMIT 12""")
 def mart_keywords(spark, folder):
-    return marts.keywords(gold.storytelling(spark, folder))
+    return marts.keywords(gold.storytelling(spark, folder, "top_keywords"))
 
 
 @query("mart_sources", STO + """
 SELECT coalesce(family, 'unknown') || ' · ' || coalesce(dimension_value, 'unknown') AS label, family, aggregation_type,
        sum(value) AS value FROM facts WHERE aggregation_type IN ('source_volume', 'volume_by_source') GROUP BY 1, 2, 3""")
 def mart_sources(spark, folder):
-    return marts.sources(gold.storytelling(spark, folder))
+    return marts.sources(gold.storytelling(spark, folder, *marts.SOURCE_KINDS))
 
 
 @query("mart_activity", STO + """
 SELECT CAST(dimension_value AS DATE) AS day, family, sum(value) AS value FROM facts
 WHERE aggregation_type = 'volume_by_date' GROUP BY 1, 2""")
 def mart_activity(spark, folder):
-    return marts.activity(gold.storytelling(spark, folder))
+    return marts.activity(gold.storytelling(spark, folder, "volume_by_date"))
 
 
 @query("mart_evidence", STO + f"""
@@ -116,7 +116,7 @@ SELECT aggregation_type, metric_name, family, dimension, trim(dimension_value) A
 FROM facts WHERE aggregation_type IN ({', '.join(f"'{k}'" for k in marts.EVIDENCE_KINDS)})
   AND trim(dimension_value) NOT IN ('<NA>', 'nan', 'None', 'UNKNOWN', '')""")
 def mart_evidence(spark, folder):
-    return marts.evidence(gold.storytelling(spark, folder))
+    return marts.evidence(gold.storytelling(spark, folder, *marts.EVIDENCE_KINDS))
 
 
 @query("mart_sto_cards", STO + """
@@ -149,7 +149,7 @@ SELECT concat_ws(' ',
 
 @query("mart_narrative", narrative_sql(STO))
 def mart_narrative(spark, folder):
-    return marts.narrative(gold.storytelling(spark, folder))
+    return marts.narrative(gold.storytelling(spark, folder, *marts.NARRATIVE_KINDS))
 
 
 NO_GAP_SQL = "WITH facts AS (" + opinion.with_ctes(

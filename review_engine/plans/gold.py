@@ -1,31 +1,22 @@
-"""The gold layer: a fact table is written to the shared folder, and a mart reads the newest one.
+"""The facts behind a mart: built on demand, and only of the kinds the mart shows.
 
-A query writes its snapshot anew from the tables as they are; nothing is kept in the process.
+A stored gold layer is what the batch runs write (``review_engine.jobs``, ``plans/batch.py``); the
+same marts read it. A mart over the tables as they are plans no measure it does not show.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
+from review_engine.operators import governance as g, storytelling as st
 from review_engine.plans import opinion, quality
-from review_engine.plans.tables import RUN
-from review_engine.schemas import GOVERNANCE_FACT, STORY_FACT
-from review_engine.session import shared_path
-from review_engine.sources import snapshots
-
-def _stored(spark: SparkSession, folder: str, name: str, schema: T.StructType,
-            build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    base = shared_path(spark, "gold")
-    snapshots.write_snapshot(build(spark, folder), base, name, RUN.run_stamp)
-    return snapshots.latest_or_empty(spark, base, name, schema)
 
 
-def governance(spark: SparkSession, folder: str) -> DataFrame:
-    return _stored(spark, folder, "governance", GOVERNANCE_FACT, quality.report)
+def governance(spark: SparkSession, folder: str, *kinds: str) -> DataFrame:
+    """Quality facts of these kinds; of all kinds if none is named."""
+    return quality.report(spark, folder, kinds or g.KINDS)
 
 
-def storytelling(spark: SparkSession, folder: str) -> DataFrame:
-    return _stored(spark, folder, "storytelling", STORY_FACT, opinion.report)
+def storytelling(spark: SparkSession, folder: str, *kinds: str) -> DataFrame:
+    """Opinion facts of these kinds; of all kinds if none is named."""
+    return opinion.report(spark, folder, kinds or st.KINDS)

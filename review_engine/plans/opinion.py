@@ -40,10 +40,11 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return small_table(spark, "word string, polarity double, intensity double", LEXICON)
 
 
-def labelled_families(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The families, critics labelled by text because their source has no labels."""
+def labelled_families(spark: SparkSession, folder: str, kinds: tuple[str, ...] = st.KINDS) -> dict[str, DataFrame]:
+    """The families; critics are labelled by text, as their source has no labels, where a kind reads labels."""
     frames = families(spark, folder)
-    frames["critic_reviews"] = st.with_labels(frames["critic_reviews"], "review_id", lexicon(spark))
+    if st.needs_labels(frames["critic_reviews"], SPECS["critic_reviews"], kinds):
+        frames["critic_reviews"] = st.with_labels(frames["critic_reviews"], "review_id", lexicon(spark))
     return frames
 
 
@@ -300,8 +301,8 @@ def sto_definitions(spark, folder):
     return st.definitions(present, RUN)
 
 
-def report(spark: SparkSession, folder: str) -> DataFrame:
-    return st.storytelling_report(spark, labelled_families(spark, folder), SPECS, RUN)
+def report(spark: SparkSession, folder: str, kinds: tuple[str, ...] = st.KINDS) -> DataFrame:
+    return st.storytelling_report(spark, labelled_families(spark, folder, kinds), SPECS, RUN, kinds)
 
 
 @query("storytelling_report", REPORT_SQL)

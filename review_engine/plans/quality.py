@@ -148,9 +148,9 @@ def _part(name: str, **options):
 ALL = tuple(FAMILIES)
 
 
-@query("gov_null_rate", _sql_each(("critic_reviews",), null_rate_sql))
+@query("gov_null_rate", _sql_each(ALL, null_rate_sql))
 def gov_null_rate(spark, folder):
-    return _each(spark, folder, ("critic_reviews",), _part("null_rate"))
+    return _each(spark, folder, ALL, _part("null_rate"))
 
 
 @query("gov_volume", _sql_each(ALL, volume_sql))
@@ -158,9 +158,9 @@ def gov_volume(spark, folder):
     return _each(spark, folder, ALL, _part("volume"))
 
 
-@query("gov_text_stats", _sql_each(("critic_reviews",), lambda f: text_sql(f, mean=True)))
+@query("gov_text_stats", _sql_each(ALL, lambda f: text_sql(f, mean=True)))
 def gov_text_stats(spark, folder):
-    return _each(spark, folder, ("critic_reviews",), _part("text", with_mean=True))
+    return _each(spark, folder, ALL, _part("text", with_mean=True))
 
 
 @query("gov_schema_compliance", _sql_each(ALL, compliance_sql))
@@ -190,7 +190,7 @@ LINE_SPEC = FamilySpec("lineitem", "title", "lineitem", numeric=LINE_NUMBERS)
 @query("gov_outlier_rate",
        "\nUNION ALL\n".join([outlier_select("lineitem", c, "lineitem") for c in LINE_NUMBERS]))
 def gov_outlier_rate(spark, folder):
-    return g.outlier_rate(table(spark, folder, "lineitem"), LINE_SPEC, RUN)
+    return g.outlier_rates({"lineitem": table(spark, folder, "lineitem")}, {"lineitem": LINE_SPEC}, RUN)
 
 
 @query("gov_definitions", _sql_each(ALL, definition_sql))
@@ -198,8 +198,8 @@ def gov_definitions(spark, folder):
     return _each(spark, folder, ALL, _part("definition"))
 
 
-def report(spark: SparkSession, folder: str) -> DataFrame:
-    return g.governance_report(spark, families(spark, folder), SPECS, RUN)
+def report(spark: SparkSession, folder: str, kinds: tuple[str, ...] = g.KINDS) -> DataFrame:
+    return g.governance_report(spark, families(spark, folder), SPECS, RUN, kinds=kinds)
 
 
 @query("governance_report", REPORT_SQL)

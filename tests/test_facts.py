@@ -32,7 +32,7 @@ def test_profile(spark):
 
 def test_empty_family(spark):
     df = small_table(spark, "canonical_title string, k string, x double, source string, review_date string", [("a", "b", 1.0, "s", "d")]).limit(0)
-    facts = g.family_facts(df, SPEC, RUN)
+    facts = g.governance_report(spark, {"fam": df}, {"fam": SPEC}, RUN)
     assert set(values(facts, "null_rate").values()) == {0.0}
     assert values(facts, "duplicates") == {"duplicate_rate_fam": 0.0}
     for kpi in ("text_statistics", "schema_compliance", "ingestion_frequency", "outlier_rate"):
@@ -59,12 +59,29 @@ def test_duplicates_and_sources(spark):
 ])
 def test_outliers(spark, rows, expected):
     df = small_table(spark, "x double", [(x,) for x in rows])
-    for exact_rows in (1_000_000, 2):
-        facts = g.outlier_rate(df, SPEC, RUN, exact_rows=exact_rows)
-        assert (values(facts, "outlier_rate") if facts is not None else {}) == expected
     text = df.select(F.col("x").cast("string").alias("x")).unionByName(small_table(spark, "x string", [("7.1, 8.2",)]))
-    facts = g.outlier_rate(text, SPEC, RUN)  # a merged cell is not a number
-    assert (values(facts, "outlier_rate") if facts is not None else {}) == expected
+    for frame in (df, text):  # a merged cell is not a number
+        assert values(g.outlier_rates({"fam": frame}, {"fam": SPEC}, RUN), "outlier_rate") == expected
+        if len(rows) < 6:
+            facts = g.approx_outlier_rate(frame, SPEC, RUN)
+            assert (values(facts, "outlier_rate") if facts is not None else {}) == expected
+    assert g.outlier_rates({"fam": df.select(F.lit("a").alias("k"))}, {"fam": SPEC}, RUN) is None
+
+
+def test_profile_by_source_equals_its_parts(spark):
+    rows = [(f"t{i % 3}", None if i % 4 else "n", "x" * (i % 5), None if i % 7 == 0 else f"2024-01-{1 + i % 9:02}", ["s", None, "it's"][i % 3])
+            for i in range(40)]
+    df = small_table(spark, "canonical_title string, need string, some_text string, review_date string, source string", rows)
+    for frame in (df, df.drop("review_date"), df.limit(0)):
+        apart = g.profile(frame, SPEC, RUN).unionByName(g.volume_by_source(frame, SPEC, RUN)).collect()
+        assert sorted(map(str, g.profile_by_source(frame, SPEC, RUN).collect())) == sorted(map(str, apart))
+
+
+def test_only_kinds_asked_for_are_built(spark):
+    df = small_table(spark, "canonical_title string, k string, x double, source string, review_date string", [("a", "b", 1.0, "s", "d")])
+    for kind in g.KINDS:
+        facts = g.governance_report(spark, {"fam": df}, {"fam": SPEC}, RUN, kinds=(kind,))
+        assert {r.kpi_type for r in facts.collect()} <= {kind}
 
 
 REVIEWS = [("2024-01-02", "POSITIVE", "8", "p"), ("2024-01-02", None, "bad", None), (None, "NEGATIVE", None, "p")]

@@ -84,3 +84,26 @@ def test_scans_are_pruned_and_filtered(spark, folder):
     assert schemas == ["struct<value:double>", "struct<o_totalprice:double>"]
     # labels are not joined where none is read
     assert "Join" not in plan("sto_top_keywords") and "Join" not in plan("gov_text_stats")
+
+
+def scans(df, name):
+    return df._jdf.queryExecution().executedPlan().toString().count(f"/{name}.parquet")
+
+
+def test_reports_read_each_family_few_times(spark, folder):
+    """Beside these scans, the histogram of the numeric columns reads each family once."""
+    quality, story = RUNS["governance_report"](spark, folder), RUNS["storytelling_report"](spark, folder)
+    for name in ("part", "documents", "events", "orders"):
+        assert scans(quality, name) <= 3, name
+    assert scans(story, "events") == 1  # its texts would be a second scan
+    assert scans(story, "orders") == 1 and scans(story, "part") == 2
+
+
+@pytest.mark.parametrize("name, read", [
+    ("mart_null_rates", {"part": 1, "documents": 1, "events": 1, "orders": 1, "labels": 1}), ("mart_outliers", {}),
+    ("mart_compliance", {"part": 1, "documents": 1, "events": 1, "orders": 1, "labels": 1}), ("mart_keywords", {"documents": 1}),
+    ("mart_activity", {"events": 1, "orders": 1}), ("mart_sources", {"documents": 1, "events": 1, "part": 1}),
+    ("mart_sentiment_trend", {"events": 1})])
+def test_marts_plan_what_they_show(spark, folder, name, read):
+    df = RUNS[name](spark, folder)
+    assert {t: n for t in ("part", "documents", "events", "orders", "labels") if (n := scans(df, t))} == read
