@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_engine import schemas
 from review_engine.operators import flatten, governance, merge, storytelling
 from review_engine.operators.governance import Run
-from review_engine.session import configure
+from review_engine.session import configure, shared_path
 from review_engine.sources import bronze, manifest, snapshots
 
+log = logging.getLogger(__name__)
+
 # family -> (document schema, transform of its documents)
 SILVER_STEPS = {
     "silver_titles": (
@@ -23,36 +28,59 @@ SILVER_STEPS = {
 
 
 def run_silver(spark: SparkSession, raw: str, silver: str, manifest_path: str, run_stamp: str,
-               processed_at: str) -> DataFrame:
+               processed_at: str, rejects: str | None = None) -> DataFrame:
     """Process the raw files the manifest does not list; returns a summary per family.
 
     The manifest grows only after every family is written, so a run that failed
-    is repeated whole and replaces its own partitions.
+    is repeated whole and replaces its own partitions. A broken document fails the run. With
+    ``rejects`` it goes to that table instead, with its name, the reason and the run; it stays out
+    of the manifest, so a mended file is taken up later, and the run goes on. Files without any
+    content are not listed, so they wait until they have some.
     """
     configure(spark)
     known = manifest.load_manifest(spark, manifest_path)
     files = bronze.new_files(bronze.list_files(spark, raw), known)
     typed = files.withColumn("source_type", bronze.source_type(F.col("file_name")))
-    routed = bronze.route(typed, bronze.family_lookup(spark)).select("file_path", "family")
-    # File names only; Spark keeps the list of files it reads on the driver as well.
+    # Written, so that a file that comes in meanwhile is left to the next run by every step.
+    listed = _kept(bronze.route(typed, bronze.family_lookup(spark)).select("file_path", "file_name", "family"), "listing")
+    # Spark keeps the list of files it reads on the driver, so their names come here; nothing else does.
     paths: dict[str, list[str]] = {}
-    for row in routed.toLocalIterator():
+    for row in listed.select("family", "file_path").toLocalIterator():
         paths.setdefault(row.family, []).append(row.file_path)
 
-    at, outputs = F.lit(processed_at).cast("timestamp"), {}
+    at, outputs, broken = F.lit(processed_at).cast("timestamp"), {}, []
     for family, (schema, transform) in SILVER_STEPS.items():
         if family in paths:
-            table = transform(bronze.read_documents(spark, sorted(paths[family]), schema), at)
-            path = snapshots.write_snapshot_if_any(table, silver, family, run_stamp)
+            names = sorted(paths[family])
+            if rejects is None:
+                documents = bronze.read_documents(spark, names, schema)
+            else:
+                documents, rejected = bronze.sorted_documents(spark, names, schema)
+                broken.append(rejected)
+            path = snapshots.write_snapshot_if_any(transform(documents, at), silver, family, run_stamp)
             if path is None:
                 continue
             written = spark.read.parquet(f"{path}/run_stamp={run_stamp}")
             outputs[family] = (written, path)
-    everything = [(p,) for names in paths.values() for p in names]
-    if everything:
-        processed = spark.createDataFrame(everything, "file_path string")
-        manifest.additions(known, processed).write.mode("append").parquet(manifest_path)
-    return snapshots.run_summary(outputs) if outputs else spark.createDataFrame([], "family string, rows bigint, path string")
+    counts, taken = (None if rejects is None else {}), listed
+    if broken:
+        kept = _kept(reduce(DataFrame.unionByName, broken).join(listed.select("file_name", "family"), "file_name"), "rejects")
+        kept.withColumn("run_stamp", F.lit(run_stamp)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("run_stamp").parquet(rejects)
+        counts = {row.family: row["count"] for row in kept.groupBy("family").count().collect()}
+        log.warning("run %s: %d broken documents set aside", run_stamp, sum(counts.values()))
+        taken = listed.join(kept.select("file_name").distinct(), "file_name", "left_anti")
+    if paths:
+        manifest.additions(known, taken.select("file_path")).write.mode("append").parquet(manifest_path)
+    if outputs:
+        return snapshots.run_summary(outputs, counts)
+    return spark.createDataFrame([], "family string, rows bigint, path string" + (", rejected bigint" if counts is not None else ""))
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run_gold(spark: SparkSession, silver: str, gold: str, run: Run, lexicon: DataFrame) -> None:

@@ -99,54 +99,71 @@ def normalize_audience(item: str) -> list[Column]:
 # --- titles ------------------------------------------------------------------
 
 
+def _api_title() -> dict[str, Column]:
+    """Columns of an entry of the API's catalogs."""
+    title = normalize_space(F.col("item.title"))
+    released = parse_date(F.col("item.release_date"))
+    return {
+        "canonical_title": F.lower(title),
+        "source_title": title,
+        "source": F.lit("tmdb"),
+        "source_type": F.lit(API_CATALOG),
+        "source_id": F.col("item.id"),
+        "release_date": released,
+        "release_year": F.year(released),
+        "popularity": F.col("item.popularity"),
+        "vote_average": F.col("item.vote_average"),
+        "vote_count": F.col("item.vote_count"),
+        "overview": normalize_space(F.col("item.overview")),
+        "genre_ids": ids_text(F.col("item.genre_ids")),
+        "scraped_at": parse_timestamp(F.col("ingested_at")),
+    }
+
+
+def _scraped_title() -> dict[str, Column]:
+    """Columns of an entry of the scraped catalogs."""
+    title = normalize_space(F.col("item.title"))
+    released = parse_release_date(F.col("item.release_date"))
+    return {
+        "canonical_title": F.lower(title),
+        "source_title": title,
+        "source": F.lit("rottentomatoes"),
+        "source_type": F.col("bronze_source_type"),
+        "url": to_null(F.col("item.url")),
+        "poster_url": to_null(F.col("item.poster_url")),
+        "release_date": released,
+        "release_year": F.year(released),
+        "critics_score": parse_percent(F.col("item.critics_score")),
+        "audience_score": parse_percent(F.col("item.audience_score")),
+        "scraped_at": parse_timestamp(F.col("item.scraped_at")),
+    }
+
+
+KEPT = (*ORDER[:2], "bronze_source_type")
+
+
+def _titles(items: DataFrame, source: str, columns: dict[str, Column]) -> DataFrame:
+    rows = items.filter(F.col("bronze_source_type").startswith(source))
+    return rows.select(*[c.alias(name) for name, c in columns.items()], *KEPT)
+
+
 def flatten_titles(api: DataFrame | None, scraped: DataFrame | None, processed_at: Column) -> DataFrame:
-    """Both catalog shapes as one table of 20 columns, before dedup and merge."""
-    parts = []
-    if api is not None:
-        items = explode_items(api).filter(F.col("bronze_source_type").startswith(API_CATALOG))
-        title = normalize_space(F.col("item.title"))
-        released = parse_date(F.col("item.release_date"))
-        parts.append(
-            items.select(
-                F.lower(title).alias("canonical_title"),
-                title.alias("source_title"),
-                F.lit("tmdb").alias("source"),
-                F.lit(API_CATALOG).alias("source_type"),
-                F.col("item.id").alias("source_id"),
-                released.alias("release_date"),
-                F.year(released).alias("release_year"),
-                "item.popularity",
-                "item.vote_average",
-                "item.vote_count",
-                normalize_space(F.col("item.overview")).alias("overview"),
-                ids_text(F.col("item.genre_ids")).alias("genre_ids"),
-                parse_timestamp(F.col("ingested_at")).alias("scraped_at"),
-                *ORDER[:2],
-                "bronze_source_type",
-            )
-        )
-    if scraped is not None:
-        items = explode_items(scraped).filter(F.col("bronze_source_type").startswith(SCRAPED_CATALOG))
-        title = normalize_space(F.col("item.title"))
-        released = parse_release_date(F.col("item.release_date"))
-        parts.append(
-            items.select(
-                F.lower(title).alias("canonical_title"),
-                title.alias("source_title"),
-                F.lit("rottentomatoes").alias("source"),
-                F.col("bronze_source_type").alias("source_type"),
-                to_null(F.col("item.url")).alias("url"),
-                to_null(F.col("item.poster_url")).alias("poster_url"),
-                released.alias("release_date"),
-                F.year(released).alias("release_year"),
-                parse_percent(F.col("item.critics_score")).alias("critics_score"),
-                parse_percent(F.col("item.audience_score")).alias("audience_score"),
-                parse_timestamp(F.col("item.scraped_at")).alias("scraped_at"),
-                *ORDER[:2],
-                "bronze_source_type",
-            )
-        )
-    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    """Both catalog shapes as one table of 20 columns, before dedup and merge.
+
+    Documents that hold both shapes at once (entries have the fields of either source) are
+    given as ``api`` and ``scraped`` alike, and are then read and exploded once.
+    """
+    if api is not None and api is scraped:
+        sides = {API_CATALOG: _api_title(), SCRAPED_CATALOG: _scraped_title()}
+        items = explode_items(api)
+        of = {source: F.col("bronze_source_type").startswith(source) for source in sides}
+        names = dict.fromkeys(name for columns in sides.values() for name in columns)
+        chosen = {n: F.coalesce(*[F.when(of[source], columns[n]) for source, columns in sides.items() if n in columns]) for n in names}
+        merged = items.filter(of[API_CATALOG] | of[SCRAPED_CATALOG]).select(*[c.alias(n) for n, c in chosen.items()], *KEPT)
+    else:
+        parts = [_titles(explode_items(api), API_CATALOG, _api_title())] if api is not None else []
+        parts += [_titles(explode_items(scraped), SCRAPED_CATALOG, _scraped_title())] if scraped is not None else []
+        merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     return conform(merged.withColumn("processed_at", processed_at), schemas.TITLES, keep=("_pos",))
 
 

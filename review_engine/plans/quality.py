@@ -57,8 +57,7 @@ def text_sql(f: str, mean: bool = False) -> list[str]:
     ]
 
 
-def compliance_sql(f: str) -> list[str]:
-    required = [c for c in SPECS[f].required if c in COLUMNS[f]]
+def compliance_of(f: str, required: tuple[str, ...]) -> list[str]:
     complete = " AND ".join(f"{c} IS NOT NULL" for c in required)
     return [
         fact("schema_compliance", f"'schema_compliance_rate_{f}'", f, ",".join(required),
@@ -66,23 +65,31 @@ def compliance_sql(f: str) -> list[str]:
     ]
 
 
-def frequency_sql(f: str) -> list[str]:
-    if f not in DATE_COLUMN:
-        return []
-    day = f"CAST({DATE_COLUMN[f]} AS DATE)"
+def compliance_sql(f: str) -> list[str]:
+    return compliance_of(f, tuple(c for c in SPECS[f].required if c in COLUMNS[f]))
+
+
+def frequency_of(f: str, column: str) -> list[str]:
+    day = f"CAST({column} AS DATE)"
     value = f"round(least(100.0 * count(DISTINCT {day}) / (date_diff('day', min({day}), max({day})) + 1), 100.0), 2)"
-    return [fact("ingestion_frequency", f"'ingestion_frequency_compliance_{f}'", f, DATE_COLUMN[f], value,
-                 "percentage", f)]
+    return [fact("ingestion_frequency", f"'ingestion_frequency_compliance_{f}'", f, column, value, "percentage", f)]
 
 
-def duplicates_sql(f: str) -> list[str]:
-    keys = SPECS[f].duplicate_keys
+def frequency_sql(f: str) -> list[str]:
+    return frequency_of(f, DATE_COLUMN[f]) if f in DATE_COLUMN else []
+
+
+def duplicates_of(f: str, keys: tuple[str, ...]) -> list[str]:
     complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     groups = f"(SELECT count(*) AS copies FROM {f} WHERE {complete} GROUP BY {', '.join(keys)}) AS groups_{f}"
     return [fact("duplicates", f"'duplicate_rate_{f}'", f, ",".join(keys),
                  "round(100.0 * (sum(copies) - count(*)) / sum(copies), 2)", "percentage", groups)]
 
 
+def duplicates_sql(f: str) -> list[str]:
+    return duplicates_of(f, SPECS[f].duplicate_keys)
+
+
 def source_sql(f: str) -> list[str]:
     groups = f"(SELECT coalesce(source, 'UNKNOWN') AS s, count(*) AS n FROM {f} GROUP BY 1) AS sources_{f}"
     return [fact("volume_by_source", f"'volume_{f}_' || s", f, "source", "n", "count", groups)]

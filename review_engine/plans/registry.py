@@ -15,7 +15,7 @@ Run = Callable[[SparkSession, str], DataFrame]
 _RUNS: dict[str, Run] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ("scans", "shapes", "expressions", "quality", "opinion", "dashboards", "checks", "pages", "streams")
+MODULES = ("scans", "shapes", "expressions", "quality", "opinion", "dashboards", "checks", "pages", "streams", "batch")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:

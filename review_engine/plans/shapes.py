@@ -65,7 +65,7 @@ def sql_first_seen(column: str, relation: str, key: str = "canonical_title", ord
     )
 
 
-@query("silver_titles", f"""
+SILVER_TITLES_SQL = f"""
 WITH rows AS (SELECT *, row_number() OVER (ORDER BY bronze_file_name, pos) AS ord FROM ({PARTS_SQL}))
 SELECT t.k AS canonical_title, t.source_title, t.source AS source, u.url, f.first_id AS source_id, f.first_popularity AS popularity,
        i.source_id AS source_id_all, r.release_date AS release_date_all
@@ -76,7 +76,10 @@ LEFT JOIN {sql_first_seen('source_id', 'rows').replace('AS m_source_id', 'AS i')
 LEFT JOIN {sql_first_seen('release_date', 'rows').replace('AS m_release_date', 'AS r')} ON t.k = r.k
 JOIN (SELECT canonical_title AS k, arg_min(source_id, ord) FILTER (WHERE source_id IS NOT NULL) AS first_id,
              arg_min(popularity, ord) FILTER (WHERE popularity IS NOT NULL) AS first_popularity
-      FROM rows GROUP BY 1) AS f ON t.k = f.k""")
+      FROM rows GROUP BY 1) AS f ON t.k = f.k"""
+
+
+@query("silver_titles", SILVER_TITLES_SQL)
 def silver_titles(spark, folder):
     """The whole titles step: flatten, require, dedup, merge."""
     api, scraped = docs.title_documents(spark, folder)

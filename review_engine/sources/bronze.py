@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from review_engine.schemas import FAMILY_BY_SOURCE_TYPE, IGNORED_FAMILY, SOURCE_TYPE_BY_PREFIX
 from review_engine.session import small_table
 
+REJECT = "file_path string, file_name string, reason string"
+NOT_JSON, NOT_OF_SCHEMA = "not JSON", "does not fit the schema"
+
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.json", recursive: bool = False) -> DataFrame:
     """One row per file: path, name, size and time. File contents are not read."""
@@ -92,3 +95,24 @@ def read_documents(spark: SparkSession, paths: str | list[str], schema: T.Struct
         .json(paths)
         .select("*", F.col("_metadata.file_name").alias("bronze_file_name"))
     )
+
+
+def sorted_documents(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The readable documents, and the broken ones as (file_path, file_name, reason).
+
+    As ``read_documents``, but a document that is no JSON, or does not fit the schema in some
+    field, is set aside whole; none of its entries are taken.
+    """
+    read = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField("_broken", T.StringType())]))
+        .option("multiLine", "true")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_broken")
+        .json(paths)
+        .select("*", F.col("_metadata.file_name").alias("bronze_file_name"), F.col("_metadata.file_path").alias("file_path"))
+    )
+    reason = F.when(F.try_parse_json("_broken").isNull(), NOT_JSON).otherwise(NOT_OF_SCHEMA)
+    # Always true: both sides then parse every field, not only those a later step reads, and agree on what is broken.
+    whole = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
+    rejects = read.filter(F.col("_broken").isNotNull() & whole).select("file_path", F.col("bronze_file_name").alias("file_name"), reason.alias("reason"))
+    return read.filter(F.col("_broken").isNull() & whole).drop("_broken", "file_path"), rejects

@@ -12,7 +12,7 @@ import __spark_entry__ as entry_module
 from review_engine.plans import registry
 
 RUNS, SQLS = registry.runs(), registry.sqls()
-WRITES = ("stream_", "mart_", "manifest_load", "read_family_drift", "scan_family", "latest_snapshot_or", "sink_")
+WRITES = ("stream_", "mart_", "batch_silver", "batch_governance", "batch_storytelling", "batch_rejects", "batch_manifest", "manifest_load", "read_family_drift", "scan_family", "latest_snapshot_or", "sink_")
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
                  "boolean": "BOOLEAN"}
 

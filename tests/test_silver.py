@@ -192,3 +192,63 @@ def test_both_runs(spark, raw, tmp_path):
     assert story["tmdb_sentiment_POSITIVE"] == ("POSITIVE", 1.0)  # no label in the data: filled from text
     assert story["rt_critic_vs_audience_the film"] == ("the film", 90.0) and story["tmdb_avg_rating"] == ("tmdb", 8.0)
     assert story["rt_reviewer_rank_1"] == ("A", 1.0)
+
+
+def test_unreadable_files_are_left_out_on_demand(spark, tmp_path):
+    base = str(tmp_path)
+    snapshots.write_snapshot(small_table(spark, "id bigint", [(1,)]), base, "f", "20250101_000000")
+    assert snapshots.write_snapshot_if_any(small_table(spark, "id bigint", [(2,)]).limit(0), base, "f", "20250103_000000") is None
+    for run in ("20250101_000000", "20250102_000000"):  # beside a good file, and alone in a run without an entry
+        (tmp_path / "f" / f"run_stamp={run}").mkdir(exist_ok=True)
+        (tmp_path / "f" / f"run_stamp={run}" / "bad.parquet").write_text("junk")
+    with pytest.raises(Exception, match="bad.parquet"):
+        snapshots.read_family_drift(spark, base, "f").collect()
+    assert [r.id for r in snapshots.read_family_drift(spark, base, "f", skip_unreadable=True).collect()] == ["1"]
+    left_out = [(r.file_path.split("run_stamp=")[1], r.bytes) for r in snapshots.unreadable_files(spark, base, "f").collect()]
+    assert sorted(left_out) == [("20250101_000000/bad.parquet", 4), ("20250102_000000/bad.parquet", 4)]
+
+
+def test_schemas_come_from_the_registry(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    for day in range(1, 6):
+        snapshots.write_snapshot(small_table(spark, "id bigint", [(day,)]), base, "f", f"2025010{day}_000000")
+    small_table(spark, "id double", [(9.0,)]).write.parquet(f"{base}/f/run_stamp=20250106_000000")  # no entry
+    opened = []
+    own = snapshots._own_schema
+    monkeypatch.setattr(snapshots, "_own_schema", lambda s, path, *skip: opened.append(path) or own(s, path, *skip))
+    df = snapshots.read_family_drift(spark, base, "f")
+    assert sorted(r.id for r in df.collect()) == ["1", "2", "3", "4", "5", "9.0"]
+    assert len(opened) == 1 and opened[0].endswith("20250106_000000")
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_broken_documents_are_set_aside(spark, raw, tmp_path):
+    from review_engine import jobs
+
+    silver, known, rejects = (str(tmp_path / n) for n in ("silver", "manifest", "rejects"))
+    broken = {f"tmdb_movie_reviews_9_{STAMP}": '{"results": [', f"rottentomatoes_theaters_{STAMP}": '{"results": [{"title": "x", "id": "none"}]}',
+              f"tmdb_now_playing_9_{STAMP}": ""}
+    for name, text in broken.items():
+        (raw / name).write_text(text)
+    run = lambda stamp: {r.family: (r.rows, r.rejected) for r in jobs.run_silver(spark, str(raw), silver, known, stamp, AT, rejects).collect()}
+    assert run("20250103_000000") == {"silver_titles": (2, 1), "silver_rt_reviews": (2, 0), "silver_tmdb_reviews": (1, 1)}
+    found = {r.file_name: r.reason for r in spark.read.parquet(rejects).collect()}
+    assert found == dict(zip(broken, (bronze.NOT_JSON, bronze.NOT_OF_SCHEMA), strict=False))  # the empty file waits
+    assert manifest.load_manifest(spark, known).count() == 5
+    # mended, the file is taken up; the others are met again
+    (raw / f"tmdb_movie_reviews_9_{STAMP}").write_text('{"results": [{"movie": {"id": 2, "title": "B"}, "reviews": [{"review_id": "r9"}]}]}')
+    assert run("20250104_000000") == {"silver_tmdb_reviews": (1, 0)}
+    assert manifest.load_manifest(spark, known).count() == 6
+    with pytest.raises(Exception, match="rottentomatoes_theaters"):  # without a table of rejects
+        jobs.run_silver(spark, str(raw), silver, known, "20250105_000000", AT)
+
+
+def test_catalogs_of_both_shapes_are_read_once(spark, raw):
+    docs = bronze.read_documents(spark, f"{raw}/*[tey]_2*.json", schemas.CATALOG_DOC)
+    once = flatten.transform_titles(docs, docs, at())
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    api = bronze.read_documents(spark, f"{raw}/tmdb_now*", schemas.API_CATALOG_DOC)
+    scraped = bronze.read_documents(spark, f"{raw}/rottentomatoes_at_home_2*", schemas.SCRAPED_CATALOG_DOC)
+    apart = flatten.transform_titles(api, scraped, at())
+    assert once.columns == apart.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
