@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_engine.llm.common import code_points, mix, worker_cache, written
-from review_engine.llm.components import components
+from review_engine.llm.components import components, forest
 
 SAMPLES = 256
 SEED = 20240
@@ -198,16 +198,16 @@ def _name(key: str) -> Column:
     return F.coalesce(F.min(key), F.xxhash64("fingerprint"))
 
 
-def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0.8, bands: int = 32,
-                    drawn: int = 6) -> DataFrame:
-    """Links (left, right, likeness) between documents of like fingerprints.
+def _joined_up(marked: DataFrame, key: str, threshold: float = 0.8, bands: int = 32, drawn: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Links between documents of like fingerprints, and the components they give.
 
     Equal fingerprints are one class, stood for by its least key. A class shares a band with
     another if ``drawn`` sampled places agree. Each member of a band is verified against
-    the band's head, another one in each band, so links grow with the rows and not with the
-    square of a group. Members that are then still in different groups are compared all the same,
-    block by block inside tasks. Joined up, the links give the groups that all pairs of all
-    bands would give.
+    the band's head; heads are taken by one order of all classes, so the bands of a group agree on
+    few of them, and links grow with the rows and not with the square of a group. Members that are
+    then still in different groups are compared all the same, block by block inside tasks, which
+    return the links that join what is apart. Joined up, the links give the groups that all pairs
+    of all bands would give.
     """
     classes = written(marked.groupBy("fingerprint").agg(_name(key).alias("id")), "fingerprint-classes")
     places = np.random.default_rng(SEED).permuted(np.tile(np.arange(SAMPLES), (bands, 1)), axis=1)[:, :drawn]
@@ -216,7 +216,7 @@ def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0
     every = classes.select("id", F.explode(F.transform(banded, lambda b: F.xxhash64(b))).alias("band"))
     shared = every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = written(every.join(shared, "band"), "fingerprint-bands")
-    heads = members.groupBy("band").agg(F.min_by("id", F.xxhash64("id", "band")).alias("head"))
+    heads = members.groupBy("band").agg(F.min_by("id", F.struct(F.xxhash64("id"), "id")).alias("head"))
     pairs = members.join(heads, "band").where("id <> head").select(
         F.least("id", "head").alias("left"), F.greatest("id", "head").alias("right")).distinct()
     for side, name in (("left", "a"), ("right", "b")):
@@ -225,13 +225,22 @@ def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0
     close = F.greatest(F.lit(0.0), (same / SAMPLES - 1 / 16) * 16 / 15)
     links = written(pairs.select("left", "right", close.alias("likeness")).where(F.col("likeness") >= threshold),
                     "fingerprint-links")
-    named = components(links.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    named = components(_ends(links))
     grouped = members.join(named.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     apart = grouped.groupBy("band", "n").agg(
         F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y AND n > 2")
-    rest = _links_in_blocks(grouped.join(apart.select("band"), "band", "left_semi"), classes, threshold)
-    return written(links.union(rest.distinct()), "fingerprint-all-links")
+    rest = written(_links_in_blocks(grouped.join(apart.select("band"), "band", "left_semi"), classes, threshold).distinct(), "fingerprint-links")
+    return links.union(rest), components(_ends(rest), named)
+
+
+def near_duplicates(marked: DataFrame, key: str = "doc_id", threshold: float = 0.8, bands: int = 32, drawn: int = 6) -> DataFrame:
+    """Links (left, right, likeness) between documents of like fingerprints that join up their groups."""
+    return _joined_up(marked, key, threshold, bands, drawn)[0]
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    return links.select(F.col("left").alias("a"), F.col("right").alias("b"))
 
 
 def _links_in_blocks(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -247,17 +256,24 @@ def _links_in_blocks(members: DataFrame, classes: DataFrame, threshold: float) -
                          F.greatest("own", "other").alias("high"))
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
         made = np.frombuffer(bytes.fromhex("".join(frame["fingerprint"])), np.uint8).reshape(len(frame), -1)
         made = np.stack([made >> 4, made & 15], axis=2).reshape(len(frame), SAMPLES)
         ids, component, own = (frame[c].to_numpy() for c in ("id", "component", "own"))
         apart = len(set(own)) > 1
-        for i in range(len(frame)):
-            near = likeness(made[i], made)
-            some = (near >= threshold) & (ids > ids[i]) & (component != component[i])
-            if apart:
-                some &= own != own[i]
-            out += [(ids[i], ids[j], near[j]) for j in np.flatnonzero(some)]
+        found: list[tuple[int, int, float]] = []
+
+        def pairs() -> Iterator[tuple[int, int]]:
+            for i in range(len(frame)):
+                near = likeness(made[i], made)
+                some = (near >= threshold) & (ids > ids[i]) & (component != component[i])
+                if apart:
+                    some &= own != own[i]
+                for j in np.flatnonzero(some):
+                    found.append((ids[i], ids[j], near[j]))
+                    yield i, j
+
+        kept = forest(component, pairs())
+        out = [found[k] for k in kept]
         return pd.DataFrame(out, columns=["left", "right", "likeness"]).astype(
             {"left": "int64", "right": "int64", "likeness": "float64"})
 
@@ -267,8 +283,7 @@ def _links_in_blocks(members: DataFrame, classes: DataFrame, threshold: float) -
 def classed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Fingerprints, with ``class_id``: the least key of the group of near duplicates."""
     marked = written(fingerprints(docs, text, key), "fingerprints")
-    links = near_duplicates(marked, key)
-    named = components(links.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    _, named = _joined_up(marked, key)
     classes = marked.groupBy("fingerprint").agg(_name(key).alias("node")).join(named, "node", "left").select(
         "fingerprint", F.coalesce("component", "node").alias("class_id"))
     return marked.join(classes, "fingerprint").select(*marked.columns, "class_id")

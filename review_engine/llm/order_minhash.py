@@ -14,7 +14,9 @@ members are first compared with its most central one (whose buckets are the larg
 few rounds of centres for the members still apart. What is then still in different groups
 is compared all the same: pair by pair in buckets of a few texts, block by block inside
 tasks in larger ones, where only the links come out. So pairs grow with the rows, tasks hold a
-bounded number of texts, and no link between different texts in a bucket is passed over.
+bounded number of texts, and no link between different texts in a bucket is passed over. A task
+returns those links only that join groups still apart (a spanning forest), so there are fewer of
+them than members, however many pairs of a group are alike.
 
 Defined results: a null text counts as empty. Texts without words are alike only if equal.
 A key names one document: rows that share a key share its class. A null key is named by its
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_engine.llm.common import groups, mix, word_hashes, written
-from review_engine.llm.components import components
+from review_engine.llm.components import components, forest
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -169,15 +171,14 @@ class _Search:
             F.xxhash64("band", "sketch").alias("bucket"), "node", "length", "weight"), "omh-buckets")
         wanted = weights.select("node").join(self.nodes.select("node", "digest"), "node")
         self.texts = written(rows.join(wanted, "digest").groupBy("node").agg(F.first("text").alias("text")), "omh-texts")
-        self.links: DataFrame | None = None
+        self.named: DataFrame | None = None
         self.tested: DataFrame | None = None
 
     def grouped(self) -> DataFrame:
         """Buckets with each member's component so far."""
-        if self.links is None:
+        if self.named is None:
             return self.buckets.withColumn("component", F.col("node"))
-        return self.buckets.join(components(self.links), "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
+        return self.buckets.join(self.named, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     def open_buckets(self) -> DataFrame:
         """Members of buckets that still hold more than one component."""
@@ -194,11 +195,13 @@ class _Search:
         named = {x: self.texts.withColumnsRenamed({"node": x, "text": f"text_{x}"}) for x in "ab"}
         checked = written(fresh.join(named["a"], "a").join(named["b"], "b").mapInPandas(
             _verified, "a long, b long, similarity double"), "omh-checked")
-        found = checked.where(F.col("similarity") >= threshold).select("a", "b")
-        self.links = found if self.links is None else self.links.union(found)
+        self.join_up(checked.where(F.col("similarity") >= threshold).select("a", "b"))
         seen = checked.select("a", "b")
         self.tested = seen if self.tested is None else self.tested.union(seen)
 
+    def join_up(self, links: DataFrame) -> None:
+        self.named = components(links, self.named)
+
 
 def _pair(left: str, right: str) -> list[Column]:
     a, b = F.col(left), F.col(right)
@@ -220,7 +223,6 @@ def _links_in_blocks(members: DataFrame, texts: DataFrame, threshold: float) ->
                          F.greatest("own", "other").alias("high"))
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
         runs = list(_all_shingles(frame["text"].tolist()))
         sets = [np.unique(labelled(r)) for r in runs]
         sizes = np.array([len(x) for x in sets])
@@ -231,9 +233,9 @@ def _links_in_blocks(members: DataFrame, texts: DataFrame, threshold: float) ->
         enough &= (node[:, None] < node[None, :]) & (component[:, None] != component[None, :])
         if low != high:
             enough &= own[:, None] != own[None, :]
-        for i, j in np.argwhere(enough):
-            if similarity(runs[i], runs[j], threshold) >= threshold:
-                out.append((node[i], node[j]))
+        pairs = np.argwhere(enough)
+        kept = forest(component, pairs, lambda i, j: similarity(runs[i], runs[j], threshold) >= threshold)
+        out = [(node[i], node[j]) for i, j in pairs[kept]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return dealt.join(texts, "node").groupBy("bucket", "low", "high").applyInPandas(linked, "a long, b long")
@@ -265,7 +267,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
         counts = members.groupBy("bucket", "me.component").agg(
             F.count("*").alias("n"), F.max(F.struct("weight", "me")).alias("top"))
         centres = counts.groupBy("bucket").agg(
-            F.min(F.struct(F.col("n"), -F.col("top.weight"), F.col("top.me").alias("me"))).alias("c") if search.links is not None
+            F.min(F.struct(F.col("n"), -F.col("top.weight"), F.col("top.me").alias("me"))).alias("c") if search.named is not None
             else F.max(F.struct(F.col("top.weight"), F.col("top.me").alias("me"))).alias("c")).select(
             "bucket", F.col("c.me").alias("centre"))
         pairs = members.join(centres, "bucket").where("me.component <> centre.component").select(*_pair("centre", "me"))
@@ -276,8 +278,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     left, right = few.withColumnRenamed("me", "x"), few.withColumnRenamed("me", "y")
     rest = left.join(right, "bucket").where("x.node < y.node AND x.component <> y.component").select(*_pair("x", "y"))
     search.test(rest, threshold)
-    search.links = search.links.union(written(_links_in_blocks(members.where(F.col("n") > FEW), search.texts, threshold), "omh-blocks"))
-    named = components(search.links)
+    search.join_up(_links_in_blocks(members.where(F.col("n") > FEW), search.texts, threshold))
+    named = search.named
     classes = search.nodes.select("digest", "node").join(named, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class_id"))
     marked = docs.withColumn("_digest", _digest(F.col(text)))

@@ -77,6 +77,49 @@ def test_blocks_find_links_between_blocks(small, copies, spark, monkeypatch):
     assert links and all(joined.get(i, i) == c for i, c in expected.items())
 
 
+@pytest.mark.parametrize("n", [200, 400])
+def test_links_of_a_large_group_are_fewer_than_its_members(spark, n):
+    """Alike texts in two components: a task joins the two once, and no more."""
+    rng = random.Random(n)
+    base = words(rng, 120)
+    texts = spark.createDataFrame([(i, changed(rng, base, 1)) for i in range(n)], "node bigint, text string")
+    me = F.struct("node", F.lit(1).alias("length"), (F.col("node") % 2).alias("component"))
+    links = order_minhash._links_in_blocks(texts.select(F.lit(1).alias("bucket"), F.lit(n).alias("n"), me.alias("me")), texts, 0.8).collect()
+    assert 0 < len(links) <= 3 and all(a % 2 != b % 2 for a, b in links)
+
+    prints = [fingerprints.as_text(x) for x in fingerprints.embed([r.text for r in texts.orderBy("node").collect()])]
+    classes = spark.createDataFrame([(i, p) for i, p in enumerate(prints)], "id bigint, fingerprint string")
+    members = classes.select(F.lit(1).alias("band"), F.lit(n).alias("n"), "id", (F.col("id") % 2).alias("component"))
+    links = fingerprints._links_in_blocks(members, classes, 0.8).collect()
+    assert 0 < len(links) <= 3 and all(r.left % 2 != r.right % 2 for r in links)
+
+
+def test_links_of_near_copies_grow_with_them(spark, small):
+    rng = random.Random(8)
+    base = words(rng, 400)
+    docs = small([(i, changed(rng, base, 1), "en", "s") for i in range(300)])
+    marked = fingerprints.fingerprints(docs)
+    links = fingerprints.near_duplicates(marked)
+    joined = {r.node: r.component for r in components(links.selectExpr("left AS a", "right AS b")).collect()}
+    prints = fingerprints.embed([r.text for r in docs.orderBy("doc_id").collect()])
+    alike = [(i, int(j)) for i in range(300) for j in np.flatnonzero(fingerprints.likeness(prints[i], prints) >= 0.8) if i < j]
+    every = {r.node: r.component for r in components(spark.createDataFrame(alike, "a bigint, b bigint")).collect()}
+    stands = {i: int(np.flatnonzero((prints == prints[i]).all(axis=1))[0]) for i in every}  # equal fingerprints are one node
+    assert joined == {i: c for i, c in every.items() if stands[i] == i} and len(alike) > 20_000 and links.count() < 3 * 300
+    assert {r.class_id for r in order_minhash.near_duplicates(docs).collect()} == {0}
+
+
+def test_components_of_new_links(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(0, k) for k in range(1000, 1400)]
+    frame = lambda pairs: spark.createDataFrame(pairs, "a bigint, b bigint")
+    whole = {r.node: r.component for r in components(frame(rows)).collect() if r.node != r.component}
+    known = None
+    for part in (rows[:100], rows[100:101], rows[101:], []):
+        known = components(frame(part), known)
+    assert {r.node: r.component for r in known.collect() if r.node != r.component} == whole
+
+
 def test_alignment():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 9, 80).astype(np.uint64)
