@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
+from review_engine.session import shared_path
 from review_engine.sources.bronze import source_type
 
 
@@ -82,17 +85,54 @@ def ingest_idempotent(stream: DataFrame, output: str, checkpoint: str, file_colu
     )
 
 
-def publish_totals(counted: DataFrame, output: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Totals by ``keys``, each key's total in a partition of its own.
+def totals_writer(output: str, window: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """Writer that merges a batch's totals into the windows they belong to.
 
-    In update mode a batch brings the totals it changed and replaces only those; older
-    windows are not written again, and the watermark frees their state. A replay ends in
+    A window is a partition of one file. The windows a batch touches are read, the batch's
+    totals take the place of those of the same keys, and the windows are replaced.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, names = batch.sparkSession, batch.columns
+        stage = lambda df: _staged(df, f"totals-{batch_id}")
+        changed = stage(batch)
+        # A batch touches the windows the watermark leaves open; their names prune what is read.
+        touched = [row[window] for row in changed.select(window).distinct().collect()]
+        if not touched:
+            return
+        merged = changed
+        try:
+            stored = read_totals(spark, output, batch.schema)
+        except AnalysisException:
+            stored = None
+        if stored is not None:
+            held = F.col(window).isin([t for t in touched if t is not None])
+            held = held | F.col(window).isNull() if None in touched else held
+            same = [stored[k].eqNullSafe(changed[k]) for k in keys]
+            kept = stored.filter(held).join(changed, reduce(Column.__and__, same), "left_anti")
+            merged = stage(kept.select(*names).unionByName(changed))
+        (merged.repartition(window).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(window).parquet(output))
+
+    return write
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def publish_totals(counted: DataFrame, output: str, checkpoint: str, keys: list[str], window: str = "period_start") -> StreamingQuery:
+    """Totals by ``keys``, those of each ``window`` (one of the keys) in a partition of its own.
+
+    In update mode a batch brings the totals it changed and replaces only those; windows it does
+    not touch are not written again, and the watermark frees their state. A replay ends in
     the same totals, however it cuts its batches, as long as no row is later than the
-    watermark allows. Partitions are named by a digest, which tells null from empty keys.
+    watermark allows. The window must not be empty text, which reads back as null.
     """
-    named = counted.withColumn("total_key", F.md5(F.to_json(F.struct(*keys))))
     return (
-        named.writeStream.foreachBatch(batch_writer(output, ["total_key"]))
+        counted.writeStream.foreachBatch(totals_writer(output, window, keys))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

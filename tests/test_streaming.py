@@ -94,6 +94,22 @@ def test_trend_equals_batch(spark, source, tmp_path, width):
     assert got.agg(F.sum("mentions")).first()[0] == len(ROWS)
 
 
+def test_files_grow_with_windows_not_labels(spark, tmp_path):
+    """A thousand labels, null and empty ones too, in batches cut differently: a file for each window, the same totals."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(i, DAY + dt.timedelta(days=i % 3, minutes=i % 60), None if i % 1000 == 0 else "" if i % 1000 == 1 else f"l{i % 1000}") for i in range(2400)]
+    for part in range(4):
+        small_table(spark, SCHEMA, rows[part::4]).coalesce(1).write.mode("append").parquet(path)
+    expected = trend.sentiment_trend(spark.read.parquet(path), "ts", "label", "30 days")
+    for run, files_per_trigger in enumerate((1, 1000, 2)):
+        events = ingest.read_parquet_stream(spark, path, SCHEMA, files_per_trigger=files_per_trigger)
+        counted = trend.sentiment_trend(events, "ts", "label", "30 days")
+        wait(ingest.publish_totals(counted, out, str(tmp_path / f"check{run}"), ["period_start", "label"]))
+        got = ingest.read_totals(spark, out, counted.schema)
+        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+        assert len(list((tmp_path / "out").rglob("*.parquet"))) == 3
+
+
 def test_closed_windows_are_left_alone(spark, tmp_path):
     path, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
 
