@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,10 @@ from pyspark.sql import functions as F
 from review_engine.llm.common import worker_cache
 
 GAP = "▁"
-CACHED = 300_000
+CACHED = 250_000
 LONGEST_CACHED = 64
+NONE = -1
+SHIFT = 22  # more numbers than there are pieces and characters
 NEVER = float("-inf")
 # Fixed value: what the library writes for an unknown id.
 UNKNOWN = " ⁇ ".encode()
@@ -61,12 +64,19 @@ class Pieces:
         self.scores = {names[i]: library.get_score(i) for i in range(n) if not special[i]}
         self.bytes = {int(names[i].strip("<>"), 16): i for i in range(n) if library.is_byte(i)}
         self.unknown = library.unk_id()
+        # Tokens by number: pieces by their id, from n on characters without a piece.
+        self.texts, self.sizes, self.shorter = names, [len(p) for p in names], [NONE] * n
+        self.characters: dict[str, int] = {}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece[::-1], len(piece))
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece[::-1], i)
+            self.shorter[i] = next((self.ids[piece[:k]] for k in range(len(piece) - 1, 0, -1) if piece[:k] in self.ids), NONE)
+            if self.shorter[i] == NONE and len(piece) > 1:
+                self.shorter[i] = self._character(piece[0])
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.apart = not any(GAP in p.lstrip(GAP) or "\n" in p for p in self.ids)
         self.spelled = [b"" if x else name.replace(GAP, " ").encode() for x, name in zip(special, names, strict=True)]
         self.spelled[self.unknown] = UNKNOWN
@@ -91,62 +101,80 @@ class Pieces:
                 joint[i] = score(parts[i] + parts[i + 1], NEVER)
         return parts
 
-    def fits(self, before: str, piece: str) -> bool:
-        """Whether ``piece`` may follow ``before`` (or begin a text, after an empty one)."""
-        key = (before, piece)
-        known = self.pairs.get(key)
+    def _character(self, character: str) -> int:
+        """The number of a character: its piece, or a number of its own."""
+        known = self.ids.get(character, self.characters.get(character))
         if known is None:
-            if len(self.pairs) >= CACHED:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
+            known = self.characters[character] = len(self.texts)
+            self.texts.append(character)
+            self.sizes.append(1)
+            self.shorter.append(NONE)
         return known
 
-    def pieces_of(self, text: str) -> list[str]:
+    def fits(self, before: int, token: int) -> bool:
+        """Whether a token may follow another (or begin a text, after none)."""
+        if len(self.pairs) >= CACHED:
+            self.pairs.clear()
+        last = [] if before == NONE else [self.texts[before]]
+        known = self.pairs[before << SHIFT | token] = self.merged("".join(last) + self.texts[token]) == [*last, self.texts[token]]
+        return known
+
+    def tokens_of(self, text: str) -> list[int]:
         """The encoding of a text (gap markers in place) by backtracking."""
-        n, ids = len(text), self.ids
-        longest = [1] * (n + 1)
-        for end, length in self.automaton.iter(text[::-1]):
-            if longest[n - 1 - end] < length:
-                longest[n - 1 - end] = length
-        failed = bytearray((n >> 3) + 1)
-        made: list[str] = []
-        at, length, before = 0, longest[0], ""
+        n = len(text)
+        longest = [NONE] * (n + 1)
+        for end, token in self.automaton.iter(text[::-1]):  # of the pieces at a place the longest comes first
+            if longest[n - 1 - end] == NONE:
+                longest[n - 1 - end] = token
+        if NONE in longest[:n]:
+            longest = [self._character(c) if t == NONE else t for c, t in zip(text, longest, strict=False)] + [NONE]
+        sizes, shorter, pairs = self.sizes, self.shorter, self.pairs
+        failed, some_failed = bytearray((n >> 3) + 1), False
+        made: list[int] = []
+        at, before, token = 0, NONE, longest[0]
         while at < n:
-            while length:
-                piece, end = text[at : at + length], at + length
-                if ((length == 1 or piece in ids) and not failed[end >> 3] >> (end & 7) & 1 and self.fits(before, piece)):
-                    break
-                length -= 1
-            if length:
-                made.append(piece)
-                at, before, length = end, piece, longest[end]
+            while token != NONE:
+                end = at + sizes[token]
+                if not (some_failed and failed[end >> 3] >> (end & 7) & 1):
+                    fits = pairs.get(before << SHIFT | token)
+                    if fits or (fits is None and self.fits(before, token)):
+                        break
+                token = shorter[token]
+            if token != NONE:
+                made.append(token)
+                at, before, token = end, token, longest[end]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                length = len(made[-1]) - 1
-                at -= length + 1
-                made.pop()
-                before = made[-1] if made else ""
+                some_failed = True
+                last = made.pop()
+                at, before, token = at - sizes[last], made[-1] if made else NONE, shorter[last]
         return made
 
+    def pieces_of(self, text: str) -> list[str]:
+        return [self.texts[token] for token in self.tokens_of(text)]
+
     def _unit(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces_of(unit):
-            known = self.ids.get(piece)
-            if known is not None:
-                ids.append(known)
-            elif self.bytes:
-                ids.extend(self.bytes[b] for b in piece.encode())
-            else:
-                ids.append(self.unknown)
-        return np.array(ids, np.int32).tobytes()
+        made = self.tokens_of(unit)
+        if self.characters:
+            ids: list[int] = []
+            for token in made:
+                if token < len(self.spelled):
+                    ids.append(token)
+                elif self.bytes:
+                    ids.extend(self.bytes[b] for b in self.texts[token].encode())
+                else:
+                    ids.append(self.unknown)
+            made = ids
+        return array("i", made).tobytes()
 
     def __getitem__(self, unit: str) -> bytes:
+        """Ids of a unit. Met units are kept in two generations, so the frequent ones stay."""
         made = self.units.get(unit)
         if made is None:
-            made = self._unit(unit)
+            made = self.older.get(unit) or self._unit(unit)
             if len(unit) <= LONGEST_CACHED:
                 if len(self.units) >= CACHED:
-                    self.units.clear()
+                    self.units, self.older = {}, self.units
                 self.units[unit] = made
         return made
 
