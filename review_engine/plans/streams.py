@@ -52,6 +52,21 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(output)
 
 
+@query("stream_dedup_across_runs", """
+SELECT user_id, event_type, CASE WHEN bool_or(event_id % 2 = 0) THEN 'first' ELSE 'second' END AS kept_by,
+       coalesce(min(event_id) FILTER (WHERE event_id % 2 = 0), min(event_id)) AS event_id
+FROM events GROUP BY 1, 2""")
+def stream_dedup_across_runs(spark, folder):
+    """Two runs over two halves, each with a checkpoint of its own; the second keeps what the first has not met."""
+    output, state = shared_path(spark, "unique"), shared_path(spark, "unique-keys")
+    for half, run in enumerate(("first", "second")):
+        stream = event_stream(spark, folder).filter(F.col("event_id") % 2 == half).select("event_id", "user_id", "event_type")
+        finish(dedup.dedup_across_runs(stream, output, state, shared_path(spark, "unique_checkpoint"),
+                                       ["user_id", "event_type"], ["event_id"], run))
+    kept_by = F.split("run", "-")[0].alias("kept_by")
+    return spark.read.parquet(output).select("user_id", "event_type", kept_by, "event_id")
+
+
 LABEL = "CASE event_type WHEN 'purchase' THEN 'POSITIVE' WHEN 'error' THEN 'NEGATIVE' WHEN 'signup' THEN NULL ELSE 'NEUTRAL' END"
 
 

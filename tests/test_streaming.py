@@ -76,6 +76,25 @@ def test_dedup_equals_batch(spark, source, tmp_path, salts):
     assert got.count() == expected.count() and got.exceptAll(expected).count() == 0
 
 
+def test_dedup_across_runs(spark, source, tmp_path):
+    """A second run with a fresh checkpoint adds no known key; a repeated run replaces its own rows."""
+    df, path = source
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run(name, checkpoint):
+        stream = ingest.read_parquet_stream(spark, path, df.schema)
+        wait(dedup.dedup_across_runs(stream, out, state, str(tmp_path / checkpoint), ["k", "label"], ["ts"], name))
+        return {(r.k, r.label, r.run) for r in spark.read.parquet(out).collect()}
+
+    first = {(r.k, r.label) for r in df.filter("k < 20").collect()}
+    assert run("a", "check_a") == {(*key, "a-0") for key in first}
+    assert run("a", "check_lost") == {(*key, "a-0") for key in first}
+    add_rest(df, path)
+    every = {(r.k, r.label) for r in df.collect()}
+    assert run("b", "check_b") == {(*key, "a-0" if key in first else "b-0") for key in every}
+    assert spark.read.parquet(state).count() == len(every)
+
+
 @pytest.mark.parametrize("width", ["1 day", "7 days"])
 def test_trend_equals_batch(spark, source, tmp_path, width):
     df, path = source
