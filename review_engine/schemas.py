@@ -74,6 +74,8 @@ USER_REVIEWS_DOC = _results(REVIEWED_MOVIE, "total_movies bigint, ingested_at st
 
 # --- silver tables -----------------------------------------------------------
 
+# Columns of the silver tables and the key sets rows are deduplicated by.
+
 TITLES = _schema(
     "canonical_title string, source_title string, source string, source_type string, source_id bigint, "
     "url string, poster_url string, release_date date, release_year int, popularity double, "
