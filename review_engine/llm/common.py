@@ -29,7 +29,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
