@@ -33,6 +33,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that a table does not have, whatever its user's columns are called."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def worker_cache(key: str, build: Callable[[], object]) -> object:
     """A value kept for the life of this Python process, whichever task runs."""
     kept = sys.modules.setdefault("_review_engine_worker", type(sys)("_review_engine_worker")).__dict__

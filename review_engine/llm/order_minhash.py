@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from review_engine.llm.common import groups, mix, word_hashes, written
+from review_engine.llm.common import groups, mix, unused, word_hashes, written
 from review_engine.llm.components import components, forest
 
 WORDS = 5
@@ -282,9 +282,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     named = search.named
     classes = search.nodes.select("digest", "node").join(named, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class_id"))
-    marked = docs.withColumn("_digest", _digest(F.col(text)))
-    return marked.join(classes.withColumnRenamed("digest", "_digest"), "_digest").select(
-        *[F.col(f"`{c}`") for c in docs.columns], "class_id")
+    by = unused(docs, "digest")
+    marked = docs.withColumn(by, _digest(F.col(text)))
+    return marked.join(classes.withColumnRenamed("digest", by), by).select(*[F.col(f"`{c}`") for c in docs.columns], "class_id")
 
 
 def one_of_each(classed: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

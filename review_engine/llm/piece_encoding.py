@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from review_engine.llm.common import worker_cache
+from review_engine.llm.common import unused, worker_cache
 
 GAP = "▁"
 CACHED = 250_000
@@ -225,8 +225,9 @@ def decoded(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded"
 
 def digests(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """Number of ids and digests of the ids and of the text they decode to."""
-    made = decoded(encoded(docs, model, text, "_ids"), model, "_ids", "_decoded")
+    ids, back = unused(docs, "ids"), unused(docs, "decoded")
+    made = decoded(encoded(docs, model, text, ids), model, ids, back)
     return made.withColumns({
-        "n_tokens": F.size("_ids").cast("long"),
-        "ids_sha256": F.sha2(F.concat_ws(",", F.col("_ids").cast("array<string>")), 256),
-        "decoded_sha256": F.sha2("_decoded", 256)}).drop("_ids", "_decoded")
+        "n_tokens": F.size(ids).cast("long"),
+        "ids_sha256": F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")), 256),
+        "decoded_sha256": F.sha2(back, 256)}).drop(ids, back)

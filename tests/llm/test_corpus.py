@@ -139,7 +139,9 @@ def test_components(spark):
 
 
 def test_near_duplicates_of_odd_rows(small, odd_rows):
-    rows = order_minhash.near_duplicates(small(odd_rows).withColumn("class_id", F.lit("clash"))).collect()
+    clashing = small(odd_rows).withColumns({c: F.lit("clash") for c in ("class_id", "digest", "Digest_", "node")})
+    rows = order_minhash.near_duplicates(clashing).collect()
+    assert {(r.digest, r.Digest_, r.node) for r in rows} == {("clash",) * 3}
     classes = collections.defaultdict(set)
     for r in rows:
         classes[r.class_id].add(r.doc_id)

@@ -71,11 +71,12 @@ def test_long_texts_without_gaps(library):
 
 
 def test_encoding_of_rows(library, small, odd_rows):
-    df = small(odd_rows).withColumn("ids_sha256", F.lit("clash"))
+    df = small(odd_rows).withColumns({"ids_sha256": F.lit("clash"), "ids": F.lit("own"), "decoded": F.lit("own")})
     rows = piece_encoding.digests(df, B).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in rows) == sorted((i or 0, t or "") for i, t, _, _ in odd_rows)
     for r in rows:
         ids = library.encode(r.text or "")
+        assert r.ids == r.decoded == "own"  # columns of any other name pass through
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     assert piece_encoding.digests(df.limit(0), B).count() == 0
