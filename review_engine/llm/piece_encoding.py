@@ -10,9 +10,10 @@ else the next shorter piece is tried, and when none is left the last piece is ta
 What is encoded so far is always the one right encoding of its characters, hence a place
 from which no piece went on fails for good: it is marked in a bitfield and never tried again.
 
-Characters without a piece become their UTF-8 bytes, as the library does. If no piece holds a
-line feed or a gap marker after other characters, a text is cut there first, and each worker
-keeps the ids of units it has met; other models are encoded as whole texts.
+Characters without a piece become their UTF-8 bytes, as the library does. No merge spans two
+characters that no piece holds side by side. If that is so for line feeds, for gap markers after other
+characters and for punctuation marks after letters, a text is cut there first, and each
+worker keeps the ids of units it has met; other models are encoded as whole texts.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Rows repeat as
 given; other columns pass through, those of the result's names are replaced. Models that
@@ -24,7 +25,7 @@ from __future__ import annotations
 import codecs
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +43,33 @@ NEVER = float("-inf")
 # Fixed value: what the library writes for an unknown id.
 UNKNOWN = " ⁇ ".encode()
 PROBE = " Two  words,\n\tﬁ é 中　x \x00" + GAP
-_UNITS = re.compile(f"\n|{GAP}*[^{GAP}\n]+|{GAP}+")
+MARKS = ".,;:!?"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_UNITS = re.compile(f"{GAP}*[{LETTERS}]++(?=[{GAP}\n{MARKS}]|\\Z)|{GAP}*[^{GAP}\n]+|{GAP}+|\n")
+_JOINED = re.compile(f"[^{GAP}]{GAP}|\n|[{LETTERS}][{MARKS}]")
 
 
 def _one_by_one(error: UnicodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
 
+class Units(dict):
+    """Ids of the units met, in two generations, so the frequent ones stay."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        made = self.older.get(unit) or self.encode(unit)
+        if len(unit) <= LONGEST_CACHED:
+            if len(self) >= CACHED:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = made
+        return made
+
+
 class Pieces:
     """A merge-type vocabulary: encodes texts to ids and decodes ids."""
 
@@ -75,9 +96,8 @@ class Pieces:
                 self.shorter[i] = self._character(piece[0])
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.apart = not any(GAP in p.lstrip(GAP) or "\n" in p for p in self.ids)
+        self.units = Units(self._unit)
+        self.apart = not any(map(_JOINED.search, self.ids))
         self.spelled = [b"" if x else name.replace(GAP, " ").encode() for x, name in zip(special, names, strict=True)]
         self.spelled[self.unknown] = UNKNOWN
         for byte, i in self.bytes.items():
@@ -167,23 +187,12 @@ class Pieces:
             made = ids
         return array("i", made).tobytes()
 
-    def __getitem__(self, unit: str) -> bytes:
-        """Ids of a unit. Met units are kept in two generations, so the frequent ones stay."""
-        made = self.units.get(unit)
-        if made is None:
-            made = self.older.get(unit) or self._unit(unit)
-            if len(unit) <= LONGEST_CACHED:
-                if len(self.units) >= CACHED:
-                    self.units, self.older = {}, self.units
-                self.units[unit] = made
-        return made
-
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
         marked = GAP + text.replace(" ", GAP)
         units = _UNITS.findall(marked) if self.apart else [marked]
-        return np.frombuffer(b"".join(map(self.__getitem__, units)), np.int32)
+        return np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "review_engine_bytes")
@@ -218,7 +227,9 @@ def decoded(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded"
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = opened(model)
         for batch in batches:
-            yield pa.array([None if not x.is_valid else pieces.decode(x.values.to_pylist()) for x in batch], pa.string())
+            flat, ends = batch.values.to_numpy(zero_copy_only=False), batch.offsets.to_numpy()
+            made = (pieces.decode(flat[i:j].tolist()) for i, j in zip(ends, ends[1:], strict=False))
+            yield pa.array([text if known else None for text, known in zip(made, batch.is_valid().to_pylist(), strict=True)], pa.string())
 
     return docs.withColumn(text, decode(F.col(ids)))
 
