@@ -7,6 +7,8 @@ the files of each run are broken ones, which are set aside.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,26 +39,28 @@ def _blocks(documents: DataFrame, prefix: str) -> DataFrame:
         (F.col("block") % 2 + 1).alias("run"))
 
 
-def raw_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(run, name, value): the content of every raw file."""
-    api, scraped = docs.title_documents(spark, folder)
-    parts = [
-        api.withColumn("run", F.lit(1)), scraped.withColumn("run", F.lit(2)),
-        _blocks(docs.review_documents(spark, folder), "rottentomatoes_reviews_"),
-        _blocks(docs.user_review_documents(spark, folder), "tmdb_movie_reviews_"),
-    ]
-    text = None
-    for part in parts:
-        document = F.to_json(F.struct("results", "ingested_at"), {"pretty": "true", "ignoreNullFields": "false"})
-        part = part.select(F.col("run").cast("int").alias("run"), F.col("bronze_file_name").alias("name"), document.alias("value"))
-        text = part if text is None else text.unionByName(part)
-    nation = table(spark, folder, "nation")
-    key = F.col("n_nationkey")
-    broken = nation.select(
-        (key % 2 + 1).cast("int").alias("run"),
-        docs.file_name("tmdb_trending_movie_day_", key).alias("name"),
-        F.when(key % 3 == 0, '{"results": [\n').when(key % 3 == 1, '{"results": [{"id": "no number"}]}').otherwise('{"results": []}').alias("value"))
-    return text.unionByName(broken)
+SOURCES = ("titles", "reviews", "user_reviews", "broken")
+
+
+def raw_files(spark: SparkSession, folder: str, sources: tuple[str, ...] = SOURCES) -> DataFrame:
+    """(run, name, value): the content of the raw files of these sources."""
+    parts = []
+    if "titles" in sources:
+        api, scraped = docs.title_documents(spark, folder)
+        parts += [api.withColumn("run", F.lit(1)), scraped.withColumn("run", F.lit(2))]
+    if "reviews" in sources:
+        parts.append(_blocks(docs.review_documents(spark, folder), "rottentomatoes_reviews_"))
+    if "user_reviews" in sources:
+        parts.append(_blocks(docs.user_review_documents(spark, folder), "tmdb_movie_reviews_"))
+    document = F.to_json(F.struct("results", "ingested_at"), {"pretty": "true", "ignoreNullFields": "false"})
+    texts = [part.select(F.col("run").cast("int").alias("run"), F.col("bronze_file_name").alias("name"), document.alias("value")) for part in parts]
+    if "broken" in sources:
+        key = F.col("n_nationkey")
+        texts.append(table(spark, folder, "nation").select(
+            (key % 2 + 1).cast("int").alias("run"),
+            docs.file_name("tmdb_trending_movie_day_", key).alias("name"),
+            F.when(key % 3 == 0, '{"results": [\n').when(key % 3 == 1, '{"results": [{"id": "no number"}]}').otherwise('{"results": []}').alias("value")))
+    return reduce(DataFrame.unionByName, texts)
 
 
 def lay_out(files: DataFrame, target: str) -> None:
@@ -75,10 +79,10 @@ def lay_out(files: DataFrame, target: str) -> None:
             fs.rename(part, path(target, name.removeprefix("name=")))
 
 
-def silver_runs(spark: SparkSession, folder: str) -> tuple[str, str, str]:
-    """Both silver runs; returns the folders of silver tables, rejects and manifest."""
+def silver_runs(spark: SparkSession, folder: str, *sources: str) -> tuple[str, str, str]:
+    """Both silver runs over these sources (all if none is named); returns the folders of silver tables, rejects and manifest."""
     raw, silver, rejects, manifest = (shared_path(spark, n) for n in ("raw", "silver", "rejects", "manifest"))
-    files = raw_files(spark, folder)
+    files = raw_files(spark, folder, sources or SOURCES)
     for number, stamp in ((1, FIRST), (2, SECOND)):
         lay_out(files.filter(F.col("run") == number).select("name", "value"), raw)
         jobs.run_silver(spark, raw, silver, manifest, stamp, AT, rejects)
@@ -95,7 +99,7 @@ def _runs(df: DataFrame) -> DataFrame:
 
 @query("batch_silver_titles", f"SELECT *, {stamped("source = 'tmdb'")} FROM ({shapes.SILVER_TITLES_SQL})")
 def batch_silver_titles(spark, folder):
-    silver, _, _ = silver_runs(spark, folder)
+    silver, _, _ = silver_runs(spark, folder, "titles", "broken")
     return _runs(snapshots.scan_family(spark, silver, "silver_titles")).select(
         "canonical_title", "source_title", "source", "url", "source_id", "popularity", "source_id_all", "release_date_all", "run_stamp")
 
@@ -106,7 +110,7 @@ REVIEWS_SQL = shapes.TWO_ARRAYS_SQL.replace("90.0 AS critics_score", f"CAST(90.0
 
 @query("batch_silver_reviews", REVIEWS_SQL)
 def batch_silver_reviews(spark, folder):
-    silver, _, _ = silver_runs(spark, folder)
+    silver, _, _ = silver_runs(spark, folder, "reviews", "broken")
     rows = _runs(snapshots.scan_family(spark, silver, "silver_rt_reviews"))
     return rows.select(*shapes.TWO_ARRAYS_COLUMNS, F.date_format("review_date", "yyyy-MM-dd HH:mm:ss").alias("review_date"), "critics_score", "run_stamp")
 
@@ -117,7 +121,7 @@ SELECT 'tmdb_trending_movie_day_' || n_nationkey || '{docs.STAMPED}' AS file_nam
        {stamped('n_nationkey % 2 = 0')} FROM nation WHERE n_nationkey % 3 < 2""")
 def batch_rejects(spark, folder):
     """Broken documents with their reason. As they are not in the manifest, the second run meets those of the first again."""
-    _, rejects, _ = silver_runs(spark, folder)
+    _, rejects, _ = silver_runs(spark, folder, "titles", "broken")
     found = _runs(spark.read.parquet(rejects))
     return found.groupBy("file_name", "reason").agg(F.min("run_stamp").alias("run_stamp"))
 
@@ -151,9 +155,9 @@ tmdb_reviews AS (
 STORED_KINDS = ("volume", "volume_by_source", "duplicates", "schema_compliance", "ingestion_frequency", "outlier_rate")
 
 
-def stored_facts(spark: SparkSession, folder: str) -> str:
-    """Silver and gold runs; returns the gold folder."""
-    silver, _, _ = silver_runs(spark, folder)
+def stored_facts(spark: SparkSession, folder: str, *sources: str) -> str:
+    """Silver and gold runs over these sources; returns the gold folder."""
+    silver, _, _ = silver_runs(spark, folder, *sources)
     gold = shared_path(spark, "gold")
     jobs.run_gold(spark, silver, gold, GOLD, opinion.lexicon(spark))
     return gold
@@ -173,7 +177,7 @@ def _quality_sql() -> str:
 @query("batch_governance", _quality_sql())
 def batch_governance(spark, folder):
     """Stored quality facts of both review families, read back as the newest gold run."""
-    gold = stored_facts(spark, folder)
+    gold = stored_facts(spark, folder, "reviews", "user_reviews")
     facts = snapshots.latest_or_empty(spark, gold, "governance", schemas.GOVERNANCE_FACT)
     return facts.filter(F.col("kpi_type").isin(*STORED_KINDS) & F.col("family").isin("rt_reviews", "tmdb_reviews"))
 
@@ -190,7 +194,7 @@ UNION ALL SELECT 'critic_vs_audience', 'rt_critic_vs_audience_' || canonical_tit
 UNION ALL SELECT 'top_titles_by_reviews', 'tmdb_title_rank_' || rank, title, 'tmdb_reviews', n FROM talks
 UNION ALL SELECT 'avg_rating_by_source', 'tmdb_avg_rating', 'tmdb', 'tmdb_reviews', round(avg(rating), 2) FROM tmdb_reviews""")
 def batch_storytelling(spark, folder):
-    gold = stored_facts(spark, folder)
+    gold = stored_facts(spark, folder, "reviews", "user_reviews")
     facts = snapshots.latest_or_empty(spark, gold, "storytelling", schemas.STORY_FACT)
     kept = [("rt_reviews", k) for k in ("sentiment_distribution", "source_volume", "critic_vs_audience")]
     kept += [("tmdb_reviews", k) for k in ("top_titles_by_reviews", "avg_rating_by_source")]
@@ -203,7 +207,7 @@ SELECT 'rt_reviews · rottentomatoes' AS label, 'rt_reviews' AS family, 'source_
 UNION ALL SELECT 'titles · ' || source, 'titles', 'volume_by_source', count(*) FROM ({shapes.SILVER_TITLES_SQL}) GROUP BY source""")
 def mart_stored_sources(spark, folder):
     """A mart over the stored gold layer, which is built once and read by any number of marts."""
-    gold = stored_facts(spark, folder)
+    gold = stored_facts(spark, folder, "titles", "reviews")
     return marts.sources(snapshots.latest_or_empty(spark, gold, "storytelling", schemas.STORY_FACT))
 
 
@@ -213,7 +217,7 @@ SELECT 'rottentomatoes_reviews_' || conv_id // {TALKS} || '{docs.STAMPED}' AS br
 def stream_documents(spark, folder):
     """Raw review documents as a stream of JSON files, in two runs over one checkpoint."""
     raw, output, checkpoint = (shared_path(spark, n) for n in ("raw", "documents", "documents_checkpoint"))
-    files = raw_files(spark, folder).filter(F.col("name").startswith("rottentomatoes_reviews_"))
+    files = raw_files(spark, folder, ("reviews",))
     for number in (1, 2):
         lay_out(files.filter(F.col("run") == number).select("name", "value"), raw)
         stream = ingest.read_document_stream(spark, raw, schemas.TITLE_REVIEWS_DOC)
