@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_engine.functions.markup import clean_review_text
@@ -20,6 +20,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def table_file(name: str) -> Column:
+    """Name of the file a row of the table came from. A table kept as a folder of parts is one file: its parts are named anew by every copy."""
+    entry = F.regexp_extract("_metadata.file_path", rf"/({name}\.parquet)(?:/.*)?$", 1)
+    return F.coalesce(F.nullif(entry, F.lit("")), F.col("_metadata.file_name"))
+
+
 # --- SQL pieces --------------------------------------------------------------
 
 

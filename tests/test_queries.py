@@ -107,3 +107,10 @@ def test_reports_read_each_family_few_times(spark, folder):
 def test_marts_plan_what_they_show(spark, folder, name, read):
     df = RUNS[name](spark, folder)
     assert {t: n for t in ("part", "documents", "events", "orders", "labels") if (n := scans(df, t))} == read
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_lineage_names_the_file_of_a_table_kept_in_parts(spark, folder, tmp_path, parts):
+    spark.read.parquet(f"{folder}/documents.parquet").repartition(parts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = RUNS["with_lineage"](spark, str(tmp_path)).collect()
+    assert len(rows) > 1 and {r.bronze_file_name for r in rows} == {"documents.parquet"}
