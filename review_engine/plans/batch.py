@@ -7,6 +7,7 @@ the files of each run are broken ones, which are set aside.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ FIRST, SECOND = "20250103_000000", "20250104_000000"
 GOLD = Run("20250105_000000", "2025-01-05T00:00:00")
 AT = "2025-01-03 00:00:00"
 TALKS = 256  # conversations in a file
+MOVERS = 8  # threads that move files
 
 
 def _blocks(documents: DataFrame, prefix: str) -> DataFrame:
@@ -64,19 +66,30 @@ def raw_files(spark: SparkSession, folder: str, sources: tuple[str, ...] = SOURC
 
 
 def lay_out(files: DataFrame, target: str) -> None:
-    """Write each file under its own name: Spark writes a folder for each, and the one part in it is moved."""
+    """Write each file under its own name: Spark writes a folder for each, and the one part in it is moved.
+
+    The number of tasks is given, as Spark would join small files into one task whatever their number. The
+    parts are listed by Spark and moved by several threads, so that little is asked of the driver for a file.
+    """
     spark = files.sparkSession
     staged = shared_path(spark, "raw-staged")
-    files.repartition("name").write.partitionBy("name").text(staged)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files.repartition(tasks, "name").write.partitionBy("name").text(staged)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path(target))
-    for status in fs.listStatus(path(staged)):
-        name = status.getPath().getName()
-        if name.startswith("name="):
-            part, = [p.getPath() for p in fs.listStatus(status.getPath()) if p.getPath().getName().startswith("part-")]
-            fs.rename(part, path(target, name.removeprefix("name=")))
+    parts = [row.file_path for row in bronze.list_files(spark, staged, "part-*", recursive=True).select("file_path").collect()]
+    names = [part.rsplit("/", 2)[1].removeprefix("name=") for part in parts]
+    if len(set(names)) < len(names):
+        raise ValueError("a raw file was written in several parts")
+
+    def move(part: str, name: str) -> bool:
+        return fs.rename(path(part), path(f"{target}/{name}"))
+
+    with ThreadPoolExecutor(MOVERS) as pool:
+        if not all(pool.map(move, parts, names)):
+            raise OSError(f"not all raw files could be moved to {target}")
 
 
 def silver_runs(spark: SparkSession, folder: str, *sources: str) -> tuple[str, str, str]:

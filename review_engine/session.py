@@ -17,6 +17,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Lists of files are looked up many to a task; Spark's own bound of 10,000 makes it a task for each file.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

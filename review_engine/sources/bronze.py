@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from review_engine.schemas import FAMILY_BY_SOURCE_TYPE, IGNORED_FAMILY, SOURCE_TYPE_BY_PREFIX
-from review_engine.session import small_table
+from review_engine.session import shared_path, small_table
 
 REJECT = "file_path string, file_name string, reason string"
 NOT_JSON, NOT_OF_SCHEMA = "not JSON", "does not fit the schema"
@@ -101,7 +101,9 @@ def sorted_documents(spark: SparkSession, paths: str | list[str], schema: T.Stru
     """The readable documents, and the broken ones as (file_path, file_name, reason).
 
     As ``read_documents``, but a document that is no JSON, or does not fit the schema in some
-    field, is set aside whole; none of its entries are taken.
+    field, is set aside whole; none of its entries are taken. The parsed documents are written once below
+    the shared folder: each file is opened once, every field is parsed before a document counts as readable,
+    and later steps are planned over that one table, as Spark compares the list of all paths at each step.
     """
     read = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField("_broken", T.StringType())]))
@@ -109,10 +111,13 @@ def sorted_documents(spark: SparkSession, paths: str | list[str], schema: T.Stru
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_broken")
         .json(paths)
-        .select("*", F.col("_metadata.file_name").alias("bronze_file_name"), F.col("_metadata.file_path").alias("file_path"))
     )
     reason = F.when(F.try_parse_json("_broken").isNull(), NOT_JSON).otherwise(NOT_OF_SCHEMA)
-    # Always true: both sides then parse every field, not only those a later step reads, and agree on what is broken.
-    whole = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
-    rejects = read.filter(F.col("_broken").isNotNull() & whole).select("file_path", F.col("bronze_file_name").alias("file_name"), reason.alias("reason"))
-    return read.filter(F.col("_broken").isNull() & whole).drop("_broken", "file_path"), rejects
+    parsed = read.select(
+        *schema.names, F.when(F.col("_broken").isNotNull(), reason).alias("reason"),
+        F.col("_metadata.file_name").alias("bronze_file_name"), F.col("_metadata.file_path").alias("file_path"))
+    path = shared_path(spark, "documents")
+    parsed.write.parquet(path)
+    stored = spark.read.schema(parsed.schema).parquet(path)
+    rejects = stored.filter(F.col("reason").isNotNull()).select("file_path", F.col("bronze_file_name").alias("file_name"), "reason")
+    return stored.filter(F.col("reason").isNull()).drop("reason", "file_path"), rejects

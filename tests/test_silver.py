@@ -252,3 +252,27 @@ def test_catalogs_of_both_shapes_are_read_once(spark, raw):
     apart = flatten.transform_titles(api, scraped, at())
     assert once.columns == apart.columns
     assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_documents_are_parsed_once_for_both_sides(spark, raw, tmp_path):
+    (raw / f"tmdb_now_playing_9_{STAMP}").write_text('{"results": [')
+    names = [str(p) for p in raw.glob("tmdb_now*")]
+    good, rejected = bronze.sorted_documents(spark, names, schemas.CATALOG_DOC)
+    for side in (good, rejected):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "FileScan json" not in plan
+    assert good.columns == [*schemas.CATALOG_DOC.names, "bronze_file_name"]
+    assert good.count() == len(names) - 1 and [r.reason for r in rejected.collect()] == [bronze.NOT_JSON]
+
+
+def test_small_raw_files_are_laid_out_by_several_tasks(spark, tmp_path, monkeypatch):
+    from review_engine.plans import batch
+
+    listed = []
+    whole = bronze.list_files
+    monkeypatch.setattr(batch.bronze, "list_files", lambda *a, **k: listed.append(whole(*a, **k)) or listed[-1])
+    batch.lay_out(spark.range(60).selectExpr("concat('f', id, '.json') AS name", "concat('{\"id\": ', id, '}') AS value"), f"{tmp_path}/raw")
+    parts = {p.rsplit("/", 1)[1].split("-")[1] for p in (f.split("/name=")[1] for f in listed[0].inputFiles())} if listed else set()
+    assert len(parts) > 1
+    assert {p.name: p.read_text() for p in (tmp_path / "raw").glob("*.json")} == {f"f{i}.json": f'{{"id": {i}}}\n' for i in range(60)}
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 1000
