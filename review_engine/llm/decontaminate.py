@@ -61,14 +61,14 @@ class Index:
     idf: np.ndarray  # by hashed word
     vocabulary: np.ndarray  # sorted word hashes of the passages
     latent: np.ndarray  # latent coordinates of each passage, scaled to unit TF-IDF length
-    products: np.ndarray  # of each column's latent coordinates with each passage's
-    sizes: np.ndarray  # window of each passage, in segments
-    needed: np.ndarray  # words of each passage that must be found
+    products: np.ndarray  # of each column's latent coordinates with each passage's; the last row is for no column
+    spans: list[list[tuple[int, int, int]]]  # window in segments, first and last passage; windows of one list double
+    needed: list[int]  # words of each passage that must be found
     least: np.ndarray  # product with a passage of any window in which it can be found
     missing: np.ndarray  # the most by which products of a column are short of the exact ones, by passage
-    own: np.ndarray  # whether a passage has a column's words; the last row is for no column
     items: list[int]
     words: list[np.ndarray]  # word hashes of each passage
+    held: list[frozenset[int]]  # places of each passage's words in the vocabulary
     copies: list[int]  # rows of the benchmark that are this passage
 
 
@@ -105,10 +105,16 @@ def inverse_frequencies(docs: DataFrame, text: str) -> np.ndarray:
     return np.log((1.0 + total) / (1.0 + docs_with)).astype(np.float32) + np.float32(0.1)
 
 
+def _places(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """Place of each word in the vocabulary; -1 for words the passages do not have."""
+    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == words, at, -1)
+
+
 def _columns(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     """Column of each word; -1 for words the passages do not have."""
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at % MOST_COLUMNS, -1)
+    places = _places(words, vocabulary)
+    return np.where(places < 0, -1, places % MOST_COLUMNS)
 
 
 def _row(words: np.ndarray, idf: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,27 +167,31 @@ def fit(idf: np.ndarray, passages: DataFrame) -> Index | None:
         passages = passages.withColumn("copies", F.lit(1))
     rows = passages.orderBy("item_id", "text").collect()
     words = list(_texts_words([r["text"] for r in rows]))
-    rows, words = [r for r, w in zip(rows, words, strict=True) if len(w)], [w for w in words if len(w)]
-    if not rows:
+    # Passages of one window stand together, and windows that come of each other by doubling.
+    kept = sorted((i for i, w in enumerate(words) if len(w)), key=lambda i: (_window(len(words[i])) % 3 == 0, _window(len(words[i]))))
+    if not kept:
         return None
+    rows, words = [rows[i] for i in kept], [words[i] for i in kept]
     vocabulary = np.unique(np.concatenate(words))
     basis = randomised_svd(passages.select("text").coalesce(4), idf, vocabulary, len(rows))
     laid = [_row(w, idf, vocabulary) for w in words]
     latent = np.array([v @ basis[f] for f, v in laid], np.float32)
     products = basis @ latent.T
-    own = np.zeros((len(basis) + 1, len(words)), bool)
     least, missing = np.zeros(len(words)), np.zeros(len(words))
     for i, (found, values) in enumerate(laid):
-        own[found, i] = True
         short = -products[:, i]
         short[found] += values.astype(np.float32)
         missing[i] = max(0.0, short.max())
         # The words that must be found weigh as much as the passage's lightest ones, or more.
         exact = values[np.searchsorted(found, _columns(words[i], vocabulary))] * idf[_bucket(words[i])]
         least[i] = np.sort(exact)[: _needed(len(exact))].sum() * (1 - EXACT)
-    return Index(idf, vocabulary, latent, products, np.array([_window(len(w)) for w in words]),
-                 np.array([_needed(len(w)) for w in words]), least, missing, own,
-                 [r["item_id"] for r in rows], words, [r["copies"] for r in rows])
+    sizes = [_window(len(w)) for w in words]
+    spans: list[list[tuple[int, int, int]]] = [[], []]
+    for size in dict.fromkeys(sizes):
+        spans[size % 3 == 0].append((size, sizes.index(size), sizes.index(size) + sizes.count(size)))
+    return Index(idf, vocabulary, latent, np.vstack([products, np.zeros_like(products[:1])]), [s for s in spans if s],
+                 [_needed(len(w)) for w in words], least, missing, [r["item_id"] for r in rows], words,
+                 [frozenset(_places(w, vocabulary).tolist()) for w in words], [r["copies"] for r in rows])
 
 
 def common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
@@ -225,60 +235,86 @@ def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, float] | None
     return (cover, answer) if answer >= ANSWER else None
 
 
-def candidates(words: np.ndarray, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
-    """Windows of a text that may hold a passage: first word, passage, number of words, cosine."""
-    columns = _columns(words, index.vocabulary)
-    weight = index.idf[_bucket(words)]
-    starts = np.arange(0, len(words), SEGMENT)
-    at = np.flatnonzero(columns >= 0)
-    if not len(at):
+def _window_sums(segments: np.ndarray, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Sums of every so many segments in a row, by doubling: size, first passage, sums of the span's passages."""
+    begin, end, size = spans[0][1], spans[-1][2], 1
+    sums = segments[:, begin:end]
+    if spans[0][0] % 3 == 0:
+        sums, size = sums[:-2] + sums[1:-1] + sums[2:], 3
+    for wanted, first, last in spans:
+        if wanted >= len(segments):  # one window is all there is
+            yield len(segments), first, segments[:, first:last].sum(axis=0, keepdims=True)
+            continue
+        sums, begin = sums[:, first - begin :], first
+        while size < wanted:
+            sums, size = sums[:-size] + sums[size:], 2 * size
+        yield size, first, sums[:, : last - first]
+
+
+def candidates(columns: np.ndarray, weight: np.ndarray, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Windows of a text that may hold a passage: first word, passage, number of words."""
+    if not (columns >= 0).any():
         return
-    sums = np.zeros((len(starts) + 1, len(index.items)))
-    parts = at // SEGMENT
-    begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
-    sums[parts[begins] + 1] = np.add.reduceat(weight[at, None] * index.products[columns[at]], begins)
-    np.cumsum(sums, axis=0, out=sums)
-    energy, weights = (np.concatenate([[0.0], np.cumsum(np.add.reduceat(w, starts), dtype=float)])
-                       for w in (weight * weight, np.where(columns >= 0, weight, 0)))
-    for size in np.unique(index.sizes):
-        passages = np.flatnonzero(index.sizes == size)
-        size = min(size, len(starts))
-        laid = sums[:, passages]
-        laid = laid[size:] - laid[:-size]
-        heaviest = (weights[size:] - weights[:-size]).max()
-        first, which = np.nonzero(laid >= index.least[passages] - heaviest * index.missing[passages])
-        cosine = laid[first, which] / np.sqrt(energy[first + size] - energy[first])
-        which = passages[which]
-        keep = _enough(columns, first * SEGMENT, size * SEGMENT, which, index)
-        yield first[keep] * SEGMENT, which[keep], int(size) * SEGMENT, cosine[keep]
-
-
-def _enough(columns: np.ndarray, first: np.ndarray, size: int, which: np.ndarray, index: Index) -> np.ndarray:
-    """Whether so many words of a window are the passage's as the passage must find."""
-    padded = np.concatenate([columns, np.full(size, -1)])
-    keep = np.zeros(len(first), bool)
-    step = max(1, (1 << 20) // size)
-    for k in range(0, len(first), step):
-        some = slice(k, k + step)
-        held = index.own[padded[first[some, None] + np.arange(size)], which[some, None]]
-        keep[some] = held.sum(axis=1) >= index.needed[which[some]]
-    return keep
+    n = -(-len(columns) // SEGMENT)
+    laid = np.full(n * SEGMENT, len(index.products) - 1)
+    laid[: len(columns)] = np.where(columns >= 0, columns, laid[0])
+    by_segment = np.zeros((n, 1, SEGMENT), np.float32)
+    by_segment.ravel()[: len(columns)] = np.where(columns >= 0, weight, 0)
+    segments = np.matmul(by_segment, np.take(index.products, laid, axis=0, mode="clip").reshape(n, SEGMENT, -1))[:, 0]
+    weights = np.concatenate([[0.0], np.cumsum(by_segment.sum(axis=2)[:, 0], dtype=float)])
+    for spans in index.spans:
+        for size, begin, sums in _window_sums(segments, spans):
+            passages = slice(begin, begin + sums.shape[1])
+            heaviest = (weights[size:] - weights[:-size]).max()
+            least = (index.least[passages] - heaviest * index.missing[passages]).astype(np.float32)
+            first, which = np.divmod(np.flatnonzero(sums >= least), sums.shape[1])
+            yield first * SEGMENT, begin + which, size * SEGMENT
+
+
+def _cosine(columns: np.ndarray, weight: np.ndarray, passage: int, index: Index) -> float:
+    """Of a window's words and a passage, in the latent space."""
+    own = columns >= 0
+    product = weight[own] @ index.products[columns[own], passage].astype(float)
+    return float(product / np.sqrt(weight @ weight))
 
 
 def hits_of(words: np.ndarray, index: Index) -> list[dict]:
     if not len(words):
         return []
-    overlap = int(index.sizes.max()) * SEGMENT + -(-max(map(len, index.words)) // SEGMENT) * SEGMENT
+    overlap = max(s for spans in index.spans for s, _, _ in spans) * SEGMENT + -(-max(map(len, index.words)) // SEGMENT) * SEGMENT
     size_of_piece = max(PIECE, overlap)
     best: dict[int, dict] = {}
     most: dict[int, tuple[float, float]] = {}
     for begin in range(0, max(1, len(words) - overlap), size_of_piece):
         piece = words[begin : begin + size_of_piece + overlap]
-        for first, which, size, cosine in candidates(piece, index):
-            for w, i, c in zip(first.tolist(), which.tolist(), cosine.tolist(), strict=True):
-                item, reach = index.words[i], len(index.words[i])
-                found = verified(item, piece[max(0, w - reach) : w + size + reach])
-                if found and (found[0], c) > most.get(i, (0.0, 0.0)):
+        places = _places(piece, index.vocabulary)
+        columns, weight = np.where(places < 0, -1, places % MOST_COLUMNS), index.idf[_bucket(piece)]
+        # The passages' words alone, and how many of them stand before each word.
+        listed, before = places[places >= 0].tolist(), [0, *np.cumsum(places >= 0).tolist()]
+        n = len(piece)
+        for first, which, size in candidates(columns, weight, index):
+            order = np.argsort(which, kind="stable")
+            run, until, some = -1, 0, False
+            for w, i in zip(first[order].tolist(), which[order].tolist(), strict=True):
+                item, reach, held, needed = index.words[i], len(index.words[i]), index.held[i], index.needed[i]
+                spare = reach - len(held)
+                if i != run or w >= until:  # windows that begin within this one are looked at together first
+                    run, until = i, w + size
+                    around = listed[before[max(0, w - reach)] : before[min(n, until + size + reach)]]
+                    some = spare + len(held.intersection(around)) >= needed
+                if not some:
+                    continue
+                # Words of the passage that are not there leave fewer than must be found; the window itself has so many.
+                begins, ends = max(0, w - reach), min(n, w + size + reach)
+                if spare + len(held.intersection(listed[before[begins] : before[ends]])) < needed:
+                    continue
+                if sum(map(held.__contains__, listed[before[w] : before[min(n, w + size)]])) < needed:
+                    continue
+                found = verified(item, piece[begins:ends])
+                if not found or found[0] < most.get(i, (0.0, 0.0))[0]:
+                    continue
+                c = _cosine(columns[w : w + size], weight[w : w + size].astype(float), i, index)
+                if (found[0], c) > most.get(i, (0.0, 0.0)):
                     most[i] = found[0], c
                     best[i] = {"item_id": index.items[i], "cosine": c, "cover": found[0],
                                "answer": found[1], "word": int(begin + w), "copies": index.copies[i]}

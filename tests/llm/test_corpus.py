@@ -370,3 +370,24 @@ def test_pipeline_of_nothing(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("n", [3, 50, 800])
+def test_windows_that_are_added_up_equal_those_summed_one_by_one(spark, n):
+    rng = random.Random(n)
+    bench = spark.createDataFrame([(i, prose(rng, k)) for i, k in enumerate((3, 9, 15, 21, 30, 45, 59, 130))], "item_id bigint, text string")
+    index = decontaminate.fit(np.ones(1 << decontaminate.IDF_BITS, np.float32), bench)
+    (words_of_text,) = decontaminate._texts_words([prose(rng, n)])
+    columns = decontaminate._columns(words_of_text, index.vocabulary)
+    weight = index.idf[decontaminate._bucket(words_of_text)]
+    expected, spans = set(), [s for some in index.spans for s in some]
+    assert len({size for size, _, _ in spans}) > 4 and sum(last - first for _, first, last in spans) == 8
+    segments = -(-n // decontaminate.SEGMENT)
+    for size, first, last in spans:
+        size = min(size, segments) * decontaminate.SEGMENT
+        for at in range(0, max(1, segments * decontaminate.SEGMENT - size + 1), decontaminate.SEGMENT):
+            some = columns[at : at + size]
+            laid = weight[at : at + size][some >= 0] @ index.products[some[some >= 0]]
+            expected |= {(at, i, size) for i in range(first, last) if laid[i] >= index.least[i]}
+    assert {(w, i, size) for first, which, size in decontaminate.candidates(columns, weight, index)
+            for w, i in zip(first.tolist(), which.tolist(), strict=True)} == expected
