@@ -28,17 +28,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_engine.llm.common import groups, worker_cache
+from review_engine.llm.units import Ids, UnitIds
 
 MAGIC = b"PFOR"
 BLOCK = 4096
 PERCENT = 98
 SEGMENT_IDS = 1 << 19
-CACHED = 700_000
+CACHED = 600_000
 LONGEST_CACHED = 64
 
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<long>, lengths array<int>, payload binary"
@@ -98,7 +101,7 @@ def unpack_segment(payload: bytes, first: int = 0, last: int | None = None) -> n
 
 
 class Encoder:
-    """Ids of texts as bytes, by way of a bounded cache of lower-case words.
+    """Ids of texts as bytes, by way of bounded tables of words and of lower-case words.
 
     The tokenizer drops white space and joins nothing over it, so a text's ids are those of
     its words in order. Words of Latin letters with punctuation behind them go to the
@@ -115,6 +118,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merged = self.tokenizer.model.tokenize
         self.heads: dict[str, bytes] = {}
+        self.units = UnitIds(self._words)
         # The library's spelling of letters beyond ASCII, as its merge model wants them.
         spelled = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.spelling = {c: spelled(chr(c))[0][0] for c in range(0xDF, 0x100) if chr(c).isalpha()}
@@ -131,9 +135,7 @@ class Encoder:
             self.heads[head] = found
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
+    def _words(self, words: list[str]) -> list[Ids]:
         made: dict[str, bytes] = {}
         tails: dict[str, bytes] = {"": b""}
         known = self.heads
@@ -142,9 +144,16 @@ class Encoder:
             if tail not in tails:
                 tails[tail] = self.whole(tail)
             made[word] = (known.get(head) or self._head(head)) + tails[tail]
-        for word in words.difference(made):
-            made[word] = self.whole(word)
-        return [b"".join(map(made.__getitem__, words)) for words in split]
+        found = [made[word] if word in made else self.whole(word) for word in words]
+        return [(np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) // 4)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+        ((ids, sizes),) = self.units.of(split.flatten())
+        # The ids of a text end with those of its last word.
+        ends = 4 * np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        joined, places = ids.tobytes(), ends.tolist()
+        return [joined[a:b] for a, b in zip(places, places[1:], strict=False)]
 
 
 def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int, text: str = "text",
@@ -167,7 +176,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int, text:
             for batch in batches:
                 texts = batch["text"].tolist()
                 names = [None if pd.isna(k) else int(k) for k in batch["key"]]
-                for a, b in groups(texts, 1 << 21):
+                for a, b in groups(texts, 1 << 22):
                     yield from zip(names[a:b], encoder.encode(texts[a:b]), strict=True)
 
         for name, ids in encoded():

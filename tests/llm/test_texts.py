@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from review_engine.llm import html_extract, langid, queries, token_blocks, token_counts
+from review_engine.llm import html_extract, langid, queries, token_blocks, token_counts, units
 
 SPM, HF = (queries.tokenizer_path(n) for n in (queries.PIECES, queries.WORDS))
 ODD = "ab AÉ \n\t▁é　\x1c\x85'12ﬁ\x00\rΣ<|endoftext|>!*"
@@ -43,6 +43,19 @@ def test_encoder_equals_the_library():
         assert made == np.array(e.ids, np.uint32).tobytes()
 
 
+@pytest.mark.parametrize("bounds", [{"MOST_UNITS": 20}, {"MOST_IDS": 50}])
+def test_words_met_before_are_not_encoded_again(monkeypatch, bounds):
+    encoder, learned = token_blocks.Encoder(HF), []
+    monkeypatch.setattr(encoder.units, "encode", lambda words: (learned.extend(words), encoder._words(words))[1])
+    texts = [t for t in odd_texts(300, 6) if t] + ["one  two\nthree", "", " ", "three one"]
+    expected = [encoder.whole(t) for t in texts]
+    assert encoder.encode(texts) == expected == encoder.encode(texts) and len(learned) == len(set(learned)) > 300
+    for name, value in bounds.items():
+        monkeypatch.setattr(units, name, value)
+    assert [encoder.encode([t])[0] for t in texts] == expected and encoder.encode([]) == []
+    assert len(encoder.units.places) <= 20 or sum(len(k[0]) for k in encoder.units.kept) <= 50
+
+
 @pytest.mark.parametrize("ids", [[5], [7] * 9000, [0, 2**32 - 1], list(range(5000)) + [2**31], []])
 def test_blocks_round_trip(ids):
     ids = np.array(ids, np.uint32)
