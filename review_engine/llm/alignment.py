@@ -1,6 +1,7 @@
 """Alignment of two tokenizers' tokens: lockstep merging of their byte ranges.
 
-Both tokenizers cut the same bytes, so their tokens are two sorted lists of ends, merged by a
+Texts are cut into units that no token of either reaches over, and a worker encodes a unit once
+(if B has pieces over gaps or changes texts, it gets them whole). Both tokenizers cut the same bytes, so their tokens are two sorted lists of ends, merged by a
 pointer in each. One NumPy state vector holds the pointers of all documents of a batch: a step
 emits the link under every pair of pointers, marks a cut where both tokens end together, and
 advances the pointer whose token ends first (both at a cut). Finished documents are compacted
@@ -34,11 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_engine.llm.common import groups, worker_cache, written
+from review_engine.llm.units import Ids, UnitIds
 
 GAP = "▁"
-CACHED = 300_000
+PROBE = " Two  words,\n\t\ufb01 \u00e9 \u4e2d\u3000x\u00a0 \x00"
 # A's pattern begins a new pre-token at a single space between these, whatever stands around them.
-APART = re.compile("(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff.,;:!?])(?= [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])")
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+MARKS = "0-9.,;:!?"
+_JOINABLE = re.compile(f" [{LETTERS}](?s:.*)(?<=[{LETTERS}{MARKS}])\\Z")
+JOINED = 64  # units that are encoded in one call
 LANE = 256
 BATCH_CHARS = 1 << 20
 BLOCK_PAIRS = 400_000
@@ -82,31 +87,95 @@ class Pair:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(t.strip("<>"), 16)]) if self.b.is_byte(i) else t.replace(GAP, " ").encode() for i, t in enumerate(names)]
         self.sizes_a, self.sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
-        self.units: dict[str, bytes | None] = {}
+        # No piece of B goes on over a gap and texts are left as they are, so B can be cut where A is.
+        joining = any(GAP in n.lstrip(GAP) for n in names)
+        probed = b"".join(map(self.bytes_b.__getitem__, self.b.encode(PROBE)))
+        self.apart = not joining and probed == utf8(" " + PROBE)
+        self.units = UnitIds(self._units)
+
+    def _ids_a(self, texts: list[str]) -> list[list[int]]:
+        return [made.ids for made in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids_b(self, texts: list[str]) -> list[list[int]]:
+        """Of texts that begin with the space that B puts in front."""
+        return self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def _units(self, units: list[bytes]) -> list[Ids]:
+        """Ids of units; none for a unit whose tokens do not spell it."""
+        texts = [u.decode("utf-8", "surrogatepass") for u in units]
+        # Units that can stand side by side are encoded together, and cut at their bytes.
+        joinable = [bool(_JOINABLE.match(t)) for t in texts]
+        places = np.flatnonzero(joinable).tolist()
+        runs = [places[k : k + JOINED] for k in range(0, len(places), JOINED)]
+        encoders = [(self._ids_a, self.bytes_a, self.sizes_a)]
+        if self.apart:
+            encoders.append((self._ids_b, self.bytes_b, self.sizes_b))
+        out = []
+        for encode, spelling, lengths in encoders:
+            ids: list[np.ndarray] = [np.empty(0, np.int32)] * len(units)
+            alone = [k for k, apart in enumerate(joinable) if not apart]
+            for run, made in zip(runs, encode(["".join(map(texts.__getitem__, run)) for run in runs]), strict=True):
+                if b"".join(map(spelling.__getitem__, made)) != b"".join(map(units.__getitem__, run)):
+                    alone += run
+                    continue
+                of_run, begin = np.array(made, np.int32), 0
+                ends = np.searchsorted(np.cumsum(lengths[of_run]), np.cumsum([len(units[k]) for k in run])) + 1
+                for k, end in zip(run, ends.tolist(), strict=True):
+                    ids[k], begin = of_run[begin:end], end
+            for k, made in zip(alone, encode([texts[k] for k in alone]), strict=True):
+                if b"".join(map(spelling.__getitem__, made)) == units[k]:
+                    ids[k] = np.array(made, np.int32)
+            out.append((np.concatenate([np.empty(0, np.int32), *ids]), np.fromiter(map(len, ids), np.int64, len(ids))))
+        return out
 
-    def _learn(self, units: set[str]) -> None:
-        """Ids of A for new units; none for a unit whose tokens do not spell it."""
-        if len(self.units) > CACHED:
-            self.units.clear()
-        new = [u for u in units if u not in self.units]
-        for unit, made in zip(new, self.a.encode_batch(new, add_special_tokens=False), strict=True):
-            spelled = b"".join(map(self.bytes_a.__getitem__, made.ids)) == utf8(unit)
-            self.units[unit] = np.array(made.ids, np.int32).tobytes() if spelled else None
+    def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B with the places where each text's begin; no ids where their bytes are not those of space and text."""
+        spelled = [utf8(" " + (t or "")) for t in texts]
+        units, firsts = cut(spelled)
+        found = self.units.of(units)
+        good = np.array([len(s) > 1 for s in spelled], bool)
+        for _, sizes in found:  # a unit without ids is not spelled
+            good &= np.diff(np.concatenate([[0], np.cumsum(sizes == 0)])[firsts]) == 0
+        out = [(ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[firsts])) for ids, sizes in found]
+        if not self.apart:
+            whole = self.b.encode([t or "" for t in texts], num_threads=1)
+            good &= [b"".join(map(self.bytes_b.__getitem__, ids)) == s for ids, s in zip(whole, spelled, strict=True)]
+            sizes = np.array([*map(len, whole)], np.int64)
+            out.append((np.fromiter(chain.from_iterable(whole), np.int32, sizes.sum()), sizes))
+        (a, n_a), (b, n_b) = ((ids[np.repeat(good, sizes)], np.where(good, sizes, 0)) for ids, sizes in out)
+        return a, np.concatenate([[0], np.cumsum(n_a)]), b, np.concatenate([[0], np.cumsum(n_b)])
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[list[int]]]:
-        """Ids of A and of B; none of either where their bytes are not those of space and text."""
-        full = [t or "" for t in texts]
-        cut = [APART.split(" " + t) for t in full]
-        self._learn(set(chain.from_iterable(cut)))
-        ids_a, ids_b = [], self.b.encode(full, num_threads=1)
-        for k, text in enumerate(full):
-            of_units = [*map(self.units.__getitem__, cut[k])]
-            if text and None not in of_units and b"".join(map(self.bytes_b.__getitem__, ids_b[k])) == utf8(" " + text):
-                ids_a.append(np.frombuffer(b"".join(of_units), np.int32))
-            else:
-                ids_a.append(np.empty(0, np.int32))
-                ids_b[k] = []
-        return ids_a, ids_b
+        """Ids of A and of B by text."""
+        a, firsts_a, b, firsts_b = self.flat(texts)
+        return np.split(a, firsts_a[1:-1]), [ids.tolist() for ids in np.split(b, firsts_b[1:-1])]
+
+
+def _byte_set(letters: str) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a byte is one of the letters; whether it is so after the first byte of U+00C0 to U+00FF."""
+    one = re.compile(f"[{letters}]")
+    plain = np.array([i < 0x80 and bool(one.match(chr(i))) for i in range(256)])
+    second = np.array([0x80 <= i < 0xC0 and bool(one.match(chr(i + 0x40))) for i in range(256)])
+    return plain, second
+
+
+def cut(spelled: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Units of texts that begin with a space, and the place of each text's first unit (one more than texts).
+
+    A unit begins at a space that has a letter behind it and a letter, digit or mark before it.
+    """
+    data = b"".join(spelled)
+    begins = np.concatenate([[0], np.cumsum([*map(len, spelled)], dtype=np.int64)])
+    at = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x20)
+    around = np.frombuffer(b"\0\0" + data + b"\0\0", np.uint8)
+    earlier, before, after, later = (around[at + k] for k in (0, 1, 3, 4))
+    (plain, second), (letter, accented) = _byte_set(LETTERS + MARKS), _byte_set(LETTERS)
+    keep = (plain[before] | (second[before] & (earlier == 0xC3))) & (letter[after] | ((after == 0xC3) & accented[later]))
+    keep[np.searchsorted(at, begins[:-1])] = True
+    starts = at[keep]
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return units, np.searchsorted(starts, begins)
 
 
 def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, firsts_a: np.ndarray, lane: int = LANE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,16 +269,10 @@ class Dictionary:
         return len(self.pairs) >= BLOCK_PAIRS or self.links >= BLOCK_LINKS
 
 
-def _firsts(lists: list) -> np.ndarray:
-    return np.cumsum([0, *map(len, lists)], dtype=np.int64)
-
-
 def align_batch(pair: Pair, texts: list[str | None], known: Dictionary) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list[bytes]]:
     """The four sizes, the alignment texts and the packed links of a batch of documents."""
-    ids_a, ids_b = pair.encode(texts)
-    firsts_a, firsts_b = _firsts(ids_a), _firsts(ids_b)
-    a = np.concatenate([*ids_a, np.empty(0, np.int32)]).astype(np.int64)
-    b = np.fromiter(chain.from_iterable(ids_b), np.int64, firsts_b[-1])
+    a, firsts_a, b, firsts_b = pair.flat(texts)
+    a, b = a.astype(np.int64), b.astype(np.int64)
     ends_a, ends_b = np.cumsum(pair.sizes_a[a]), np.cumsum(pair.sizes_b[b])
     at_a, at_b, cut_a = lockstep(ends_a, ends_b, firsts_a)
     cut_b = np.zeros(len(b), bool)

@@ -172,6 +172,22 @@ def test_units_of_a_are_cut_where_its_pattern_cuts():
         assert not len(ids) or ids.tolist() == whole.encode(" " + text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_units_are_encoded_once_for_both_tokenizers(monkeypatch, apart):
+    pair, learned = alignment.Pair(A, B), []
+    monkeypatch.setattr(pair, "apart", apart and pair.apart)
+    monkeypatch.setattr(pair.units, "encode", lambda units: (learned.extend(units), pair._units(units))[1])
+    texts = [*odd_texts(2000, 7), "an \u00e9t\u00e9 \u00d7 \u00f7 x\u00d7 y\u00f7 z\u00ff a", "a \u2581b c", "Ende. Und  so\n weiter, ja", None, "", " ", "<|endoftext|> a"]
+    assert pair.apart == apart and len(texts) > 2000
+    made = [pair.encode(texts) for _ in range(2)]
+    assert len(learned) == len(set(learned))
+    for t, a, b in zip(texts, *made[0], strict=True):
+        whole_a, whole_b = pair.a.encode(" " + (t or ""), add_special_tokens=False).ids, pair.b.encode(t or "")
+        spelled = t and all(b"".join(map(s.__getitem__, ids)) == (" " + t).encode() for s, ids in ((pair.bytes_a, whole_a), (pair.bytes_b, whole_b)))
+        assert (a.tolist(), b) == ((whole_a, whole_b) if spelled else ([], []))
+    assert [x.tolist() for x in made[0][0]] == [x.tolist() for x in made[1][0]] and made[0][1] == made[1][1]
+
+
 def test_links_are_packed_without_loss():
     rng = np.random.default_rng(1)
     for n in (0, 1, 5, 3000):
