@@ -1,12 +1,13 @@
 """Alignment of two tokenizers' tokens: lockstep merging of their byte ranges.
 
 Texts are cut into units that no token of either reaches over, and a worker encodes a unit once
-(if B has pieces over gaps or changes texts, it gets them whole). Both tokenizers cut the same bytes, so their tokens are two sorted lists of ends, merged by a
-pointer in each. One NumPy state vector holds the pointers of all documents of a batch: a step
-emits the link under every pair of pointers, marks a cut where both tokens end together, and
-advances the pointer whose token ends first (both at a cut). Finished documents are compacted
-away. A document of more than ``LANE`` tokens rides on several lanes of the vector, each
-beginning where a token of A begins, so one long document does not hold up the others.
+(if B has pieces over gaps or changes texts, it gets them whole). Both tokenizers cut the same
+bytes, so their tokens are two sorted lists of ends, merged by a pointer in each. One NumPy state
+vector holds the pointers of all documents of a batch: a step emits the link under every pair of
+pointers, marks a cut where both tokens end together, and advances the pointer whose token ends
+first (both at a cut). Finished documents are compacted away. A document of more than ``LANE``
+tokens rides on several lanes of the vector, each beginning where a token of A begins, so one
+long document does not hold up the others.
 
 How often an id pair is linked over the whole corpus is counted without shuffling links. A map
 task numbers the pairs it meets (a block's dictionary: bounded, the next block starts a new
