@@ -338,4 +338,4 @@ WITH words AS (SELECT regexp_extract_all(lower(text), '{WORDS}') AS w FROM docum
 pairs AS (SELECT unnest(w[:-2]) || ' ' || unnest(w[2:]) AS ngram FROM words WHERE len(w) >= 2)
 SELECT ngram, count(*) AS mentions FROM pairs GROUP BY 1 ORDER BY mentions DESC, ngram LIMIT 10""")
 def nlp_top_bigrams(spark, folder):
-    return sentiment.top_counts(sentiment.ngram_counts(table(spark, folder, "documents"), "text"), "ngram", 10)
+    return sentiment.top_ngrams(table(spark, folder, "documents"), "text", 10)

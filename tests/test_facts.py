@@ -1,5 +1,8 @@
 """Quality and opinion facts, marts and validation on small frames."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +160,19 @@ def test_ngrams(spark):
     assert {r.ngram for r in sentiment.ngram_counts(docs, "t", 3).collect()} == {"one two one", "two one two"}
 
 
+@pytest.mark.parametrize("spread", [0.0, 2.0])
+@pytest.mark.parametrize("k, n, buckets", [(1, 2, 1 << 16), (1, 2, 256), (3, 2, 512), (2, 3, 256), (10, 2, 2), (5000, 2, 1 << 16)])
+def test_top_ngrams_are_those_of_all_counts(spark, spread, k, n, buckets):
+    """Also where the counts are even, so that buckets beyond the heaviest hold some of the top, and where names decide."""
+    rand = random.Random(f"{spread} {k} {n} {buckets}")
+    texts = [" ".join(f"w{int(60 * rand.random() ** (1 + spread)):02}" for _ in range(rand.randrange(30))) for _ in range(200)]
+    docs = small_table(spark, "t string", [*((t,) for t in texts), (None,), ("",), ("alone",), ("w01 w02",)])
+    counts = Counter(" ".join(w[i:i + n]) for t in [*texts, "w01 w02"] for w in [t.split()] for i in range(len(w) - n + 1))
+    top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
+    got = sentiment.top_ngrams(docs, "t", k, n, buckets)
+    assert [tuple(r) for r in got.collect()] == top
+
+
 def story(spark, rows):
     full = [(k, f"m_{d}", "x", d, f, val, "u", "2025-01-01T00:00:00", "s") for k, d, f, val in rows]
     return small_table(spark, STORY_FACT, full)

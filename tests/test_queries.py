@@ -86,6 +86,14 @@ def test_scans_are_pruned_and_filtered(spark, folder):
     assert "Join" not in plan("sto_top_keywords") and "Join" not in plan("gov_text_stats")
 
 
+def test_bigrams_are_counted_by_name_in_heavy_buckets_only(spark, folder):
+    """And no filter finds the tokens of a text a second time."""
+    plan = RUNS["nlp_top_bigrams"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" in plan and not re.search(r"Filter [^\n]*regexp_extract_all", plan)
+    by_name = re.findall(r"Exchange hashpartitioning\(_w0.*\n.*HashAggregate.*\n.*Project.*\n.*", plan)
+    assert by_name and all("BroadcastHashJoin" in part and "LeftSemi" in part for part in by_name)
+
+
 def scans(df, name):
     return df._jdf.queryExecution().executedPlan().toString().count(f"/{name}.parquet")
 
