@@ -173,6 +173,15 @@ def test_top_ngrams_are_those_of_all_counts(spark, spread, k, n, buckets):
     assert [tuple(r) for r in got.collect()] == top
 
 
+@pytest.mark.parametrize("k", [2, 7])
+def test_top_ngrams_of_light_buckets_are_found(spark, k):
+    """Heavy buckets hold many pairs of one mention each, and the top pairs are elsewhere."""
+    twice = [(f"twice n{i}n",) for i in range(5)] * 2
+    docs = small_table(spark, "t string", [*((f"a{i:04} b{i:04}",) for i in range(4000)), *twice])
+    top = [*((f"twice n{i}n", 2) for i in range(5)), ("a0000 b0000", 1), ("a0001 b0001", 1)][:k]
+    assert [tuple(r) for r in sentiment.top_ngrams(docs, "t", k, buckets=1024).collect()] == top
+
+
 def story(spark, rows):
     full = [(k, f"m_{d}", "x", d, f, val, "u", "2025-01-01T00:00:00", "s") for k, d, f, val in rows]
     return small_table(spark, STORY_FACT, full)
